@@ -82,3 +82,12 @@ def replay(src: str, name: str) -> str:
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
+
+
+def cut_at_version(v: int, name: str) -> str:
+    return (f"{name} AS (SELECT * FROM cdc_flat WHERE event_ts < "
+            f"(SELECT committed_at FROM commits WHERE snapshot_id = {v}))")
+
+
+CLICK_BROWSER = ("CASE WHEN ts >= TIMESTAMP '2024-01-16 00:00:00' AND k % 2 = 0 "
+                 "THEN 'b' || CAST(k % 4 AS VARCHAR) END")

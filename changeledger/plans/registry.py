@@ -1,7 +1,7 @@
 """Registered queries: ``name → (spark, sf_dir) → DataFrame`` and their oracle SQL.
 
 Every query reads the benchmark tables in ``sf_dir`` (or data Spark derives and
-writes from them) in full.
+writes from them) in full.  Queries live in the ``q_*`` modules by area.
 """
 
 from __future__ import annotations
@@ -9,13 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from ..operators import aggregates as agg
-from ..operators import changes as ch
-from ..operators import merge as mg
-from ..sources import testdata as td
-from . import oracle as O
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -30,32 +23,8 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-# ---------------------------------------------------------------- change log
-@register("cdc_replay", O.with_(O.EV, O.CDC_FLAT, O.replay("cdc_flat", "st"))
-          + "SELECT * FROM st")
-def q_cdc_replay(spark, sf_dir):
-    return ch.replay(td.cdc_flat(spark, sf_dir))
-
-
-# ---------------------------------------------------------------- aggregates
-@register("merchant_totals", O.with_(O.ORDERS_SRC) + """
-SELECT merchant_id, CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS sum_amount,
-       count(*) AS order_count
-FROM orders_src GROUP BY merchant_id""")
-def q_merchant_totals(spark, sf_dir):
-    return agg.merchant_totals(td.orders_src(spark, sf_dir))
-
-
-# ---------------------------------------------------------------- merges
-@register("latest_per_key", O.with_(O.ORDERS_SRC, O.ORDERS_DELTA, O.DELTA_LATEST)
-          + "SELECT * FROM delta_latest")
-def q_latest_per_key(spark, sf_dir):
-    return mg.latest_per_key(td.orders_delta(spark, sf_dir), "order_id", ["event_ts", "src_file"])
+def _load() -> None:
+    from . import q_changes, q_history, q_ingest, q_quality, q_storage, q_stream  # noqa: F401
 
 
-@register("snapshot_upsert", O.with_(O.ORDERS_SRC, O.ORDERS_DELTA, O.DELTA_LATEST, O.UPSERTED)
-          + "SELECT * FROM upserted")
-def q_snapshot_upsert(spark, sf_dir):
-    target = td.orders_src(spark, sf_dir).select(*td.ORDER_FIELDS)
-    return mg.snapshot_upsert(target, td.orders_delta(spark, sf_dir), "order_id",
-                              ["event_ts", "src_file"])
+_load()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -74,3 +75,24 @@ def bounded(df: DataFrame, max_rows: int) -> bool:
     input; callers use it before broadcasting a side of a join.
     """
     return df.limit(max_rows + 1).count() <= max_rows
+
+
+@contextlib.contextmanager
+def listing_parallelism(spark: SparkSession, tasks: int | None = None):
+    """Bound the number of tasks Spark uses to list many partition folders.
+
+    By default a listing job gets one task per folder (up to 10,000); for a
+    date-partitioned landing zone with thousands of tiny day folders, a few
+    tasks per core list them far faster.
+    """
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    tasks = tasks or max(8, spark.sparkContext.defaultParallelism * 4)
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, str(tasks))
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)

@@ -169,3 +169,13 @@ def clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").alias("event_ts"),
         F.when(v2, 2).otherwise(1).alias("version"),
     )
+
+
+def full_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full-document-only change feed ``(seq, value)``: one JSON document per upsert."""
+    e = read_table(spark, sf_dir, "events").withColumn("k", prop_k())
+    f = cdc_flat(spark, sf_dir).join(e.select(F.col("event_id").alias("seq"), "k"), "seq")
+    doc = F.to_json(F.struct(
+        F.col("order_id").alias("_id"), "order_id", "merchant_id", "status", "amount", "currency",
+        F.when(F.col("k") % 3 != 0, iso(F.col("event_ts"))).alias("event_ts")))
+    return f.where(F.col("op") != "delete").select("seq", doc.alias("value"))
