@@ -74,12 +74,11 @@ def backfill(spark: SparkSession, raw_root: str, main_path: str, staging_path: s
              start: str, end: str, columns: list[str]) -> bool:
     """Re-ingest days [start, end) from raw into staging, audit, then overwrite
     exactly those ``event_date`` partitions of main (O65)."""
-    raw = raw_scan(spark, raw_root).where(
-        (F.col("dt") >= F.lit(start).cast("date")) & (F.col("dt") < F.lit(end).cast("date")))
+    raw = raw_scan(spark, raw_root, dates=(start, end))
     rows = normalize_event_ts(flatten(raw.drop("dt")))
     rows = rows.where(F.col("_bad_event_ts").isNull()).select(*columns) \
         if "_bad_event_ts" in rows.columns else rows.select(*columns)
-    lay.with_event_date(rows).write.mode("overwrite").partitionBy("event_date").parquet(staging_path)
+    lay.write_days(rows, staging_path)
     staged = spark.read.parquet(staging_path)
     report = qc.quality_report(staged, staged, ["order_id"], ["order_id", "event_ts"],
                                max_change=0.0, max_null_rate=0.0)

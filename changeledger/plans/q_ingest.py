@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import cdc
 from ..functions.flatten import flatten
 from ..functions.rest import rest_entries, rest_pack, rest_value
+from ..operators import layout as lay
 from ..operators import merge as mg
 from ..schemas import ORDER_COLUMNS
 from ..session import listing_parallelism, work_path
@@ -220,13 +221,13 @@ def q_backfill_branch(spark, sf_dir):
     full = td.orders_src(spark, sf_dir).select(*td.ORDER_FIELDS)
     lo, hi = (F.lit(b).cast("timestamp_ntz") for b in BACKFILL)
     gap = full.where(~((F.col("event_ts") >= lo) & (F.col("event_ts") < hi)))
-    gap.withColumn("event_date", F.to_date("event_ts")).write.mode("overwrite") \
-       .partitionBy("event_date").parquet(main)
+    lay.write_days(gap, main)
     ok = jobs.backfill(spark, raw_root, main, work_path(spark, "staging-orders"),
                        BACKFILL[0], BACKFILL[1], td.ORDER_FIELDS)
     if not ok:
         raise RuntimeError("backfill blocked by quality checks")
-    return spark.read.parquet(main).select(*td.ORDER_FIELDS)
+    with listing_parallelism(spark):
+        return spark.read.parquet(main).select(*td.ORDER_FIELDS)
 
 
 @register("write_audit_publish")

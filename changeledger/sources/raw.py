@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,7 +31,7 @@ def raw_land(df: DataFrame, root: str, date_col: str = "event_ts",
 
 
 def raw_scan(spark: SparkSession, root: str, date: str | None = None,
-             schema=None) -> DataFrame:
+             schema=None, dates: tuple[str, str] | None = None) -> DataFrame:
     """Read a collection's landed documents, optionally one day.
 
     With ``basePath`` set to the collection root, ``dt`` stays a partition
@@ -39,7 +42,22 @@ def raw_scan(spark: SparkSession, root: str, date: str | None = None,
     if schema is not None:
         reader = reader.schema(schema)
     if date is not None:
-        return reader.json(f"{root.rstrip('/')}/dt={date}")
+        try:
+            return reader.json(f"{root.rstrip('/')}/dt={date}")
+        except AnalysisException:  # nothing landed that day: empty result, collection schema
+            with listing_parallelism(spark):
+                return reader.json(root).where(F.col("dt") == F.lit(date).cast("date"))
+    if dates is not None:
+        # a day range: list only the folders of those days (globs that match nothing are skipped)
+        lo, hi = (dt.date.fromisoformat(d) for d in dates)
+        days = [(lo + dt.timedelta(days=i)).isoformat() for i in range((hi - lo).days)]
+        try:
+            return reader.json(f"{root.rstrip('/')}/dt={{{','.join(days)}}}")
+        except AnalysisException:  # no landed day in the range: filter the full listing
+            with listing_parallelism(spark):
+                return reader.json(root).where(
+                    (F.col("dt") >= F.lit(dates[0]).cast("date"))
+                    & (F.col("dt") < F.lit(dates[1]).cast("date")))
     with listing_parallelism(spark):
         return reader.json(root)
 
