@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import bounded
+
+# Source snapshots with at most this many keys are merged by broadcast anti join.
+BROADCAST_KEYS = 2_000_000
+
 
 def latest_per_key(df: DataFrame, key: str, order_by: list[str]) -> DataFrame:
     """One winning row per key: greatest ``order_by`` tuple.
@@ -21,16 +26,28 @@ def latest_per_key(df: DataFrame, key: str, order_by: list[str]) -> DataFrame:
 
 
 def snapshot_upsert(target: DataFrame, source: DataFrame, key: str = "order_id",
-                    order_by: list[str] | None = None) -> DataFrame:
+                    order_by: list[str] | None = None,
+                    broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
     """New table content after merging a snapshot into ``target``.
 
-    Source keys are first made unique (O26), then target rows with a source
-    match are dropped (anti join) and the source rows added.  Both sides end up
-    hash-partitioned on ``key``; the aggregation's partitioning is reused by
-    the join, so the source is shuffled once.
+    MERGE ON key: matched → UPDATE SET *, not matched → INSERT *, with source
+    keys made unique first (O26: greatest ``order_by`` wins).
+
+    * Small source (at most ``broadcast_keys`` distinct keys, checked): the key
+      set is broadcast and target rows with a match are dropped by an anti
+      join — the large target is never shuffled.
+    * Large source: target and source are unioned with a priority column and
+      reduced by ``max_by`` per key — one shuffle of both, no join.
     """
-    order_by = order_by or ["event_ts"]
-    src = latest_per_key(source, key, order_by) if order_by else source
+    order_by = order_by if order_by is not None else ["event_ts"]
     cols = target.columns
-    kept = target.join(src.select(key), key, "left_anti")
-    return kept.select(*cols).unionByName(src.select(*cols))
+    keys = source.select(key).distinct()
+    if bounded(keys, broadcast_keys):
+        src = latest_per_key(source, key, order_by) if order_by else source
+        kept = target.join(F.broadcast(keys), key, "left_anti")
+        return kept.select(*cols).unionByName(src.select(*cols))
+    extra = [c for c in order_by if c not in cols]
+    both = (target.select(*cols, *[F.lit(None).cast(source.schema[c].dataType).alias(c) for c in extra],
+                          F.lit(0).alias("_prio"))
+            .unionByName(source.select(*cols, *extra, F.lit(1).alias("_prio"))))
+    return latest_per_key(both, key, ["_prio", *order_by]).select(*cols)

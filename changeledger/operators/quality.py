@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 REPORT_COLUMNS = ["check_name", "value", "threshold", "passed"]
 
 
@@ -55,16 +57,31 @@ def partition_presence(observed_days: DataFrame, start: str | None = None,
 
 def quality_report(previous: DataFrame, current: DataFrame, key: list[str],
                    attributes: list[str], day_col: str | None = None,
-                   max_change: float = 0.5, max_null_rate: float = 0.05) -> DataFrame:
-    """All checks as rows (check_name, value, threshold, passed)."""
-    delta = row_count_delta(previous, current, max_change).select(
-        F.lit("row_count_delta").alias("check_name"),
-        F.col("change_ratio").alias("value"), "threshold", "passed")
-    nulls = null_rates(current, attributes).select(
+                   max_change: float = 0.5, max_null_rate: float = 0.05,
+                   materialize: bool = True) -> DataFrame:
+    """All checks as rows (check_name, value, threshold, passed).
+
+    ``current`` is checkpointed once to the shared checkpoint folder (unless it
+    is already a stored table), so the checks scan stored rows instead of
+    re-running the plan that produced them.  Row count and null rates come
+    from one aggregate pass; duplicates and missing days need one more each.
+    """
+    if materialize:
+        current = cut_lineage(current)
+    prev_n = previous.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    stats = current.agg(F.count(F.lit(1)).alias("_n"),
+                        *[F.avg(F.when(F.col(c).isNull(), 1.0).otherwise(0.0)).alias(c)
+                          for c in attributes])
+    change = F.when(F.lit(prev_n) == 0, F.when(F.col("_n") == 0, 0.0).otherwise(1.0)) \
+              .otherwise(F.abs(F.col("_n") - F.lit(prev_n)) / F.lit(prev_n)).cast("double")
+    delta = stats.select(F.lit("row_count_delta").alias("check_name"), change.alias("value"),
+                         F.lit(float(max_change)).alias("threshold"),
+                         (change <= max_change).alias("passed"))
+    nulls = stats.unpivot([], attributes, "column_name", "null_rate").select(
         F.concat(F.lit("null_rate:"), F.col("column_name")).alias("check_name"),
-        F.col("null_rate").alias("value"),
+        F.coalesce("null_rate", F.lit(0.0)).alias("value"),
         F.lit(float(max_null_rate)).alias("threshold"),
-        (F.col("null_rate") <= max_null_rate).alias("passed"))
+        (F.coalesce("null_rate", F.lit(0.0)) <= max_null_rate).alias("passed"))
     dups = duplicate_keys(current, key).agg(F.count(F.lit(1)).cast("double").alias("value")) \
         .select(F.lit("duplicate_keys").alias("check_name"), "value",
                 F.lit(0.0).alias("threshold"), (F.col("value") <= 0).alias("passed"))

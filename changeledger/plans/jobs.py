@@ -59,7 +59,7 @@ def write_audit_publish(staged: DataFrame, previous: DataFrame, main_path: str,
     ``main_path`` never see it before the gate opens.  Returns the decision
     and the report.
     """
-    report = qc.quality_report(previous, staged, key, attributes, **thresholds)
+    report = qc.quality_report(previous, staged, key, attributes, materialize=False, **thresholds)
     report = report.cache()
     ok = qc.all_passed(report)
     if ok:
@@ -81,7 +81,7 @@ def backfill(spark: SparkSession, raw_root: str, main_path: str, staging_path: s
     lay.write_days(rows, staging_path)
     staged = spark.read.parquet(staging_path)
     report = qc.quality_report(staged, staged, ["order_id"], ["order_id", "event_ts"],
-                               max_change=0.0, max_null_rate=0.0)
+                               max_change=0.0, max_null_rate=0.0, materialize=False)
     if not qc.all_passed(report):
         return False
     # dynamic overwrite: only the staged days are replaced in main

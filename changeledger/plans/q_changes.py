@@ -90,12 +90,10 @@ base_seq AS (SELECT max(seq) AS s FROM arr WHERE arrival < TIMESTAMP '{CUT}')"""
 
 
 def _arrivals(spark, sf_dir):
-    log = td.cdc_flat(spark, sf_dir)
-    k = td.read_table(spark, sf_dir, "events").select(F.col("event_id").alias("seq"),
-                                                       (td.prop_k() % 10).alias("_delay"))
-    return log.join(k, "seq").withColumn(
-        "arrival", F.col("event_ts") + F.make_dt_interval(F.lit(0), F.col("_delay").cast("int"))
-    ).drop("_delay")
+    log = td.cdc_flat_k(spark, sf_dir)
+    return log.withColumn(
+        "arrival", F.col("event_ts") + F.make_dt_interval(F.lit(0), (F.col("k") % 10).cast("int"))
+    ).drop("k")
 
 
 @register("cdc_late_events", O.with_(O.EV, O.CDC_FLAT, LATE_SQL) + f"""

@@ -85,7 +85,7 @@ def q_normalize_event_ts(spark, sf_dir):
 SELECT seq, op AS operationType, CASE WHEN op <> 'delete' THEN order_id END AS doc_order_id,
        order_id AS key_id, {ISO} AS clusterTime FROM cdc_flat""")
 def q_parse_envelope(spark, sf_dir):
-    env = cdc.parse_envelope(td.envelopes(spark, sf_dir))
+    env = cdc.parse_envelope(td.envelopes(spark, sf_dir).select("seq", "value"))
     return env.select("seq", "operationType",
                       F.col("fullDocument.order_id").alias("doc_order_id"),
                       F.col("documentKey._id").alias("key_id"), "clusterTime")
@@ -99,7 +99,8 @@ SELECT seq, order_id, op,
        CASE WHEN op <> 'delete' THEN currency END AS currency,
        event_ts FROM cdc_flat""")
 def q_cdc_project(spark, sf_dir):
-    return cdc.good_changes(cdc.cdc_project(cdc.parse_envelope(td.envelopes(spark, sf_dir))))
+    env = td.envelopes(spark, sf_dir).select("seq", "value")
+    return cdc.good_changes(cdc.cdc_project(cdc.parse_envelope(env)))
 
 
 @register("cdc_source_fulldoc", O.with_(O.EV, O.CDC_FLAT) + """
@@ -117,7 +118,8 @@ SELECT event_id AS seq,
             WHEN k = 57 THEN 'unknown_operation' ELSE 'bad_timestamp' END AS reason
 FROM ev WHERE k IN (13, 42, 57) OR (k = 71 AND event_type <> 'error')""")
 def q_dead_letter(spark, sf_dir):
-    projected = cdc.cdc_project(cdc.parse_envelope(td.envelopes(spark, sf_dir, corrupt=True)))
+    env = td.envelopes(spark, sf_dir, corrupt=True).select("seq", "value")
+    projected = cdc.cdc_project(cdc.parse_envelope(env))
     return cdc.dead_letters(projected).select("seq", "reason")
 
 

@@ -19,7 +19,7 @@ CUT = "2024-01-20 00:00:00"
 
 def _records(spark, sf_dir):
     env = td.envelopes(spark, sf_dir)
-    return env.join(td.cdc_flat(spark, sf_dir).select("seq", "order_id", "event_ts"), "seq").select(
+    return env.select(
         F.col("order_id").alias("key"), "value", F.lit("payments.cdc.orders").alias("topic"),
         F.lit(0).alias("partition"), F.col("seq").alias("offset"), "event_ts")
 

@@ -62,10 +62,15 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{base}/changeledger/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise a DataFrame in the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Materialise a DataFrame as Parquet in the shared checkpoint folder.
+
+    The plan runs once; later readers scan the stored columns (with pruning and
+    pushdown), and the files survive the loss of any executor.
+    """
+    path = work_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def bounded(df: DataFrame, max_rows: int) -> bool:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cdc import CHANGE_OUT
 from ..operators.changes import compact_log, replay
+from ..session import bounded
 
 
 def committed_log(spark: SparkSession, root: str, upto: int | None = None) -> DataFrame:
@@ -19,8 +20,10 @@ def committed_log(spark: SparkSession, root: str, upto: int | None = None) -> Da
     if upto is not None:
         log = log.where(F.col("batch_id") <= upto)
         commits = commits.where(F.col("batch_id") <= upto)
-    # batch ids are few (one per micro-batch): broadcast keeps the log unshuffled
-    return log.join(F.broadcast(commits), "batch_id", "left_semi").select("batch_id", *CHANGE_OUT)
+    # one commit row per micro-batch: broadcast (size checked) keeps the log unshuffled
+    if bounded(commits, 5_000_000):
+        commits = F.broadcast(commits)
+    return log.join(commits, "batch_id", "left_semi").select("batch_id", *CHANGE_OUT)
 
 
 def dead_letter_log(spark: SparkSession, root: str) -> DataFrame:

@@ -76,12 +76,8 @@ def orders_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changed.unionByName(stale).unionByName(new)
 
 
-def cdc_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One change row per event: inserts (signup), deletes (error), updates (rest).
-
-    Status is missing where k % 7 = 0 and amount where k % 5 = 0, so partial
-    updates (a null never clears a value) are exercised.
-    """
+def cdc_flat_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``cdc_flat`` plus the payload's ``k``, in one projection of ``events``."""
     e = read_table(spark, sf_dir, "events").withColumn("k", prop_k())
     return e.select(
         F.col("event_id").alias("seq"),
@@ -94,19 +90,29 @@ def cdc_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("k") % 5 != 0, F.col("value")).alias("amount"),
         F.lit("USD").alias("currency"),
         F.col("ts").alias("event_ts"),
+        "k",
     )
 
 
+def cdc_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One change row per event: inserts (signup), deletes (error), updates (rest).
+
+    Status is missing where k % 7 = 0 and amount where k % 5 = 0, so partial
+    updates (a null never clears a value) are exercised.
+    """
+    return cdc_flat_k(spark, sf_dir).drop("k")
+
+
 def envelopes(spark: SparkSession, sf_dir: str, corrupt: bool = False) -> DataFrame:
-    """Change events as JSON text in the change-stream envelope, ``(seq, value)``.
+    """Change events as JSON text in the change-stream envelope,
+    ``(seq, order_id, event_ts, value)``.
 
     Deletes carry no full document; where k % 3 = 0 the document has no
     event_ts and the cluster time stands in.  With ``corrupt`` some payloads
     are broken: k = 13 → not JSON, k = 42 → no operation, k = 57 → unknown
     operation, k = 71 → unparsable timestamp.
     """
-    e = read_table(spark, sf_dir, "events").withColumn("k", prop_k())
-    f = cdc_flat(spark, sf_dir).join(e.select(F.col("event_id").alias("seq"), "k"), "seq")
+    f = cdc_flat_k(spark, sf_dir)
     is_del = F.col("op") == "delete"
     doc_ts = F.when(F.col("k") % 3 != 0, iso(F.col("event_ts")))
     op = F.col("op")
@@ -124,7 +130,7 @@ def envelopes(spark: SparkSession, sf_dir: str, corrupt: bool = False) -> DataFr
         iso(F.col("event_ts")).alias("clusterTime")))
     if corrupt:
         value = F.when(F.col("k") == 13, F.lit("{bad")).otherwise(value)
-    return f.select("seq", value.alias("value"))
+    return f.select("seq", "order_id", "event_ts", value.alias("value"))
 
 
 def nested_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,8 +179,7 @@ def clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def full_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full-document-only change feed ``(seq, value)``: one JSON document per upsert."""
-    e = read_table(spark, sf_dir, "events").withColumn("k", prop_k())
-    f = cdc_flat(spark, sf_dir).join(e.select(F.col("event_id").alias("seq"), "k"), "seq")
+    f = cdc_flat_k(spark, sf_dir)
     doc = F.to_json(F.struct(
         F.col("order_id").alias("_id"), "order_id", "merchant_id", "status", "amount", "currency",
         F.when(F.col("k") % 3 != 0, iso(F.col("event_ts"))).alias("event_ts")))
