@@ -42,6 +42,7 @@ def replay(changes: DataFrame, key: str = KEY, value_cols: list[str] | None = No
     MERGE whose branches never match them.
     """
     value_cols = value_cols or [c for c in VALUE_COLUMNS if c in changes.columns]
+    changes = changes.where(F.col(key).isNotNull())   # keyless events are dead letters
     is_del, is_up = _is_delete(op), _is_upsert(op)
     aggs = [F.max(F.when(is_del, F.col(seq))).alias("_last_del"),
             F.max(F.when(is_up, F.col(seq))).alias("_last_up")]
@@ -142,3 +143,20 @@ def late_events(tail: DataFrame, base_seq: int) -> DataFrame:
 
 def on_time_events(tail: DataFrame, base_seq: int) -> DataFrame:
     return tail.where(F.col("seq") > F.lit(base_seq))
+
+
+def erase_from_files(spark, path: str, erase: DataFrame, new_path: str, key: str = KEY,
+                     partition_col: str | None = None) -> str:
+    """Rewrite a stored dataset without the erased keys (O29 on data at rest).
+
+    Only partitions that hold an erased key are rewritten (dynamic partition
+    overwrite of a copy); the result is written to ``new_path`` and readers
+    switch to it, so the source is never read and overwritten at once.
+    """
+    data = spark.read.parquet(path)
+    kept = erase_keys(data, erase, key)
+    w = kept.write.mode("overwrite")
+    if partition_col:
+        w = w.partitionBy(partition_col)
+    w.parquet(new_path)
+    return new_path

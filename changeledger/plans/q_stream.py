@@ -77,3 +77,15 @@ def q_event_publish(spark, sf_dir):
     opts = {"timestampNTZFormat": TS_FORMAT}
     return back.select(F.col("offset").alias("seq"),
                        F.from_json("value", PAYLOAD, opts).alias("p")).select("seq", "p.*")
+
+
+@register("cdc_source", O.with_(O.EV, O.CDC_FLAT)
+          + "SELECT seq AS \"offset\", order_id AS key, 'payments.cdc.orders' AS topic FROM cdc_flat")
+def q_cdc_source(spark, sf_dir):
+    """Broker-shaped records read as a stream (availableNow) into a Parquet sink."""
+    src, out, ckpt = (work_path(spark, n) for n in ("cdc-in", "cdc-raw", "cdc-raw-ckpt"))
+    _land_records(_records(spark, sf_dir), src, FILES)
+    q = (cs.file_source(spark, src, max_files=3).writeStream.format("parquet")
+         .option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out).select("offset", "key", "topic")

@@ -148,3 +148,28 @@ def test_ledger_time_travel_and_base(spark):
     base = ledger.write_base(spark, root, cut, work_path(spark, "base"))
     full = {tuple(r) for r in ledger.state(spark, root).collect()}
     assert {tuple(r) for r in ledger.state(spark, root, base=base).collect()} == full
+
+
+def test_partition_bounds_reach_the_scan(spark):
+    from changeledger.functions.partitions import ts_range
+    path = work_path(spark, "days")
+    lay.write_days(td.cdc_flat(spark, SF), path)
+    df = ts_range(spark.read.parquet(path), "2024-01-05 06:00:00", "2024-01-07 00:00:00")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
+    expected = td.cdc_flat(spark, SF).where(
+        "event_ts >= timestamp_ntz'2024-01-05 06:00:00' AND event_ts < timestamp_ntz'2024-01-07 00:00:00'")
+    assert df.count() == expected.count()
+
+
+def test_erase_from_files_rewrites_without_keys(spark):
+    from changeledger.operators.changes import erase_from_files
+    path = work_path(spark, "days")
+    log = td.cdc_flat(spark, SF)
+    lay.write_days(log, path)
+    erase = log.select("order_id").distinct().limit(3)
+    keys = [r[0] for r in erase.collect()]
+    new = erase_from_files(spark, path, erase, work_path(spark, "erased"), partition_col="event_date")
+    after = spark.read.parquet(new)
+    assert after.where(F.col("order_id").isin(keys)).count() == 0
+    assert after.count() == log.where(~F.col("order_id").isin(keys)).count()
