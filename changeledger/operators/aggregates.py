@@ -34,7 +34,7 @@ def merchant_totals_refresh(stored: DataFrame, orders_now: DataFrame,
     aggregate nor the table is shuffled for the split.
     """
     groups = touched.select(dim).distinct()
-    if bounded(groups, BROADCAST_GROUPS):
+    if bounded(touched.select(dim), BROADCAST_GROUPS):
         groups = F.broadcast(groups)
     fresh = merchant_totals(orders_now.join(groups, dim, "left_semi"), dim)
     return stored.join(groups, dim, "left_anti").unionByName(fresh)
@@ -44,7 +44,7 @@ def touched_groups(before: DataFrame, delta: DataFrame, key: str = "order_id",
                    dim: str = "merchant_id") -> DataFrame:
     """Groups of changed rows, old and new version (a row may move merchants)."""
     keys = delta.select(key).distinct()
-    if bounded(keys, BROADCAST_GROUPS):
+    if bounded(delta.select(key), BROADCAST_GROUPS):
         keys = F.broadcast(keys)
     old = before.join(keys, key, "left_semi").select(dim)
     return old.unionByName(delta.select(dim)).distinct()

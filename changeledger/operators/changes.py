@@ -80,7 +80,8 @@ def cdc_merge(state: DataFrame, batch: DataFrame, key: str = KEY) -> DataFrame:
     batch = batch.select("seq", key, "op", *value_cols)
     as_events = state_as_changes(state, key, value_cols)
     keys = batch.select(key).distinct()
-    if bounded(keys, BROADCAST_KEYS):
+    # bound the batch rows (no shuffle to check); its distinct keys are fewer
+    if bounded(batch.select(key), BROADCAST_KEYS):
         keys = F.broadcast(keys)
         touched = as_events.join(keys, key, "left_semi")
         untouched = state.join(keys, key, "left_anti")
@@ -116,7 +117,7 @@ def erase_keys(df: DataFrame, erase: DataFrame, key: str = KEY) -> DataFrame:
     (large) dataset is filtered without being shuffled.
     """
     keys = erase.select(key).where(F.col(key).isNotNull()).distinct()
-    if bounded(keys, BROADCAST_KEYS):
+    if bounded(erase.select(key), BROADCAST_KEYS):
         keys = F.broadcast(keys)
     return df.join(keys, key, "left_anti")
 

@@ -65,12 +65,15 @@ def as_of_version(changes: DataFrame, commits: DataFrame, version: int,
     return replay(changes.where(F.col(ts) < F.lit(cut)))
 
 
-def as_of_timestamp(changes: DataFrame, commits: DataFrame, at: str) -> DataFrame:
+def as_of_timestamp(changes: DataFrame, commits: DataFrame, at: str,
+                    ts: str = "event_ts") -> DataFrame:
     """State at a point in time: newest commit not after ``at``."""
-    v = snapshot_at(commits, at)
-    if v is None:
+    # one job: the newest commit time not after `at` is the cut itself
+    cut = (commits.where(F.col("committed_at") <= F.lit(at).cast("timestamp_ntz"))
+                  .agg(F.max("committed_at")).first()[0])
+    if cut is None:
         return replay(changes.limit(0))
-    return as_of_version(changes, commits, v)
+    return replay(changes.where(F.col(ts) < F.lit(cut)))
 
 
 def tag_snapshots(spark: SparkSession, commits: DataFrame, policy: list[tuple[str, str]]) -> DataFrame:

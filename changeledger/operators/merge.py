@@ -42,7 +42,7 @@ def snapshot_upsert(target: DataFrame, source: DataFrame, key: str = "order_id",
     order_by = order_by if order_by is not None else ["event_ts"]
     cols = target.columns
     keys = source.select(key).distinct()
-    if bounded(keys, broadcast_keys):
+    if bounded(source.select(key), broadcast_keys):   # rows bound keys; no shuffle to check
         src = latest_per_key(source, key, order_by) if order_by else source
         kept = target.join(F.broadcast(keys), key, "left_anti")
         return kept.select(*cols).unionByName(src.select(*cols))

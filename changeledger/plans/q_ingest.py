@@ -232,7 +232,21 @@ def q_backfill_branch(spark, sf_dir):
         return spark.read.parquet(main).select(*td.ORDER_FIELDS)
 
 
-@register("write_audit_publish")
+WAP_SQL = O.with_(O.ORDERS_SRC, O.ORDERS_DELTA, O.DELTA_LATEST, O.UPSERTED).rstrip() + """,
+checks AS (
+  SELECT 'row_count_delta' AS check_name,
+         CAST(abs((SELECT count(*) FROM upserted) - (SELECT count(*) FROM orders_src)) AS DOUBLE)
+           / (SELECT count(*) FROM orders_src) AS value, 0.5 AS threshold
+  UNION ALL SELECT 'null_rate:order_id', avg(CASE WHEN order_id IS NULL THEN 1.0 ELSE 0.0 END), 0.05 FROM upserted
+  UNION ALL SELECT 'null_rate:merchant_id', avg(CASE WHEN merchant_id IS NULL THEN 1.0 ELSE 0.0 END), 0.05 FROM upserted
+  UNION ALL SELECT 'null_rate:event_ts', avg(CASE WHEN event_ts IS NULL THEN 1.0 ELSE 0.0 END), 0.05 FROM upserted
+  UNION ALL SELECT 'duplicate_keys', CAST(count(*) AS DOUBLE), 0.0 FROM (
+    SELECT order_id FROM upserted GROUP BY order_id HAVING count(*) > 1))
+SELECT check_name, value, threshold, value <= threshold AS passed,
+       bool_and(value <= threshold) OVER () AS published FROM checks"""
+
+
+@register("write_audit_publish", WAP_SQL)
 def q_write_audit_publish(spark, sf_dir):
     """Upserted snapshot staged, checked against yesterday's table, published when green."""
     previous = td.orders_src(spark, sf_dir).select(*td.ORDER_FIELDS)
