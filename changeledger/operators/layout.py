@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import MERCHANT_BUCKETS
+from ..session import default_parallelism
 
 
 def write_tasks(spark: SparkSession) -> int:
     """Writer task count: the session's shuffle partitions, at least the cores."""
     n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(n, spark.sparkContext.defaultParallelism)
+    return max(n, default_parallelism(spark))
 
 
 def distribute_for_write(df: DataFrame, part_col: str, spread: list[str] | None = None,
@@ -73,7 +74,7 @@ def write_ordered(df: DataFrame, path: str, ts: str = "event_ts", files: int | N
                   mode: str = "overwrite") -> None:
     """Files sorted by ``ts`` with non-overlapping ranges (O38): range partition, then
     sort within each partition, so Parquet min/max statistics skip row groups."""
-    n = files or df.sparkSession.sparkContext.defaultParallelism
+    n = files or default_parallelism(df.sparkSession)
     df.repartitionByRange(n, F.col(ts)).sortWithinPartitions(ts).write.mode(mode).parquet(path)
 
 

@@ -33,29 +33,49 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8,
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    if _context(spark) is not None:
+        spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
+_LOCAL_FALLBACK: dict[int, str] = {}
+
+
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a classic context (Spark Connect)
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
     as is.  Only when nothing is configured (local tests) a folder is created.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
+    sc = _context(spark)
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="changeledger-ckpt-")
+        configured = _LOCAL_FALLBACK.setdefault(id(spark), tempfile.mkdtemp(prefix="changeledger-ckpt-"))
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def default_parallelism(spark: SparkSession) -> int:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.default.parallelism", "8"))
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint dir for one job's outputs."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
@@ -91,7 +111,7 @@ def listing_parallelism(spark: SparkSession, tasks: int | None = None):
     tasks per core list them far faster.
     """
     key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
-    tasks = tasks or max(8, spark.sparkContext.defaultParallelism * 4)
+    tasks = tasks or max(8, default_parallelism(spark) * 4)
     old = spark.conf.get(key, None)
     spark.conf.set(key, str(tasks))
     try:
