@@ -38,17 +38,42 @@ def commits(spark: SparkSession, root: str) -> DataFrame:
 
 def state(spark: SparkSession, root: str, upto: int | None = None,
           base: str | None = None) -> DataFrame:
-    """Table state: replay of (compacted base ∪ committed log after it)."""
-    log = committed_log(spark, root, upto).drop("batch_id")
-    if base is not None:
-        b = spark.read.parquet(base)
-        cut = b.agg(F.max("seq")).first()[0]
-        if cut is not None:
-            log = b.unionByName(log.where(F.col("seq") > cut))
-    return replay(log)
-
-
-def write_base(spark: SparkSession, root: str, upto_seq: int, path: str) -> str:
-    """Fold the committed log up to ``upto_seq`` into a base dataset."""
-    compact_log(committed_log(spark, root).drop("batch_id"), upto_seq).write.mode("overwrite").parquet(path)
+    """Table state: replay of (compacted base ∪ committed batches after it).
+
+    Tail rows whose ``seq`` is not above the base's cut are late (O43): they
+    are left out here and reported by ``late_events``.
+    """
+    log = committed_log(spark, root, upto)
+    if base is None:
+        return replay(log.drop("batch_id"))
+    b = spark.read.parquet(base)
+    meta = b.agg(F.max("base_batch").alias("bb"), F.max("seq").alias("s")).first()
+    if meta["bb"] is None:
+        return replay(log.drop("batch_id"))
+    tail = log.where((F.col("batch_id") > meta["bb"]) & (F.col("seq") > meta["s"]))
+    return replay(b.drop("base_batch").unionByName(tail.drop("batch_id")))
+
+
+def late_events(spark: SparkSession, root: str, base: str) -> DataFrame:
+    """Committed rows after the base's batches that belong before its cut."""
+    b = spark.read.parquet(base)
+    meta = b.agg(F.max("base_batch").alias("bb"), F.max("seq").alias("s")).first()
+    log = committed_log(spark, root)
+    if meta["bb"] is None:
+        return log.limit(0)
+    return log.where((F.col("batch_id") > meta["bb"]) & (F.col("seq") <= meta["s"]))
+
+
+def write_base(spark: SparkSession, root: str, upto_batch: int, path: str) -> str:
+    """Fold committed batches ``<= upto_batch`` into a base dataset.
+
+    Base rows are ``update`` events at the prefix's last ``seq`` and remember
+    the last folded batch, so the tail is exactly the later batches.
+    """
+    prefix = committed_log(spark, root, upto_batch)
+    cut = prefix.agg(F.max("seq")).first()[0]
+    if cut is None:
+        raise ValueError(f"no committed rows up to batch {upto_batch}")
+    (compact_log(prefix.drop("batch_id"), cut).withColumn("base_batch", F.lit(upto_batch).cast("long"))
+        .write.mode("overwrite").parquet(path))
     return path
