@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import aggregates as agg
 from ..operators import changes as ch
 from ..operators import merge as mg
+from ..session import cut_lineage
 from ..sources import testdata as td
 from . import oracle as O
 from .registry import register
@@ -136,9 +137,10 @@ def q_merchant_totals_refresh(spark, sf_dir):
     """Stored totals of yesterday's table refreshed for merchants the delta touched."""
     before = td.orders_src(spark, sf_dir).select(*td.ORDER_FIELDS)
     delta = td.orders_delta(spark, sf_dir)
-    stored = agg.merchant_totals(before)
+    stored = cut_lineage(agg.merchant_totals(before), "merchant-totals")   # the stored aggregate
+    now = cut_lineage(upserted(spark, sf_dir), "orders-now")               # the table after the merge
     touched = agg.touched_groups(before, delta)
-    return agg.merchant_totals_refresh(stored, upserted(spark, sf_dir), touched)
+    return agg.merchant_totals_refresh(stored, now, touched)
 
 
 @register("raw_projection", O.with_(O.EV, O.CDC_FLAT, O.replay("cdc_flat", "st"))

@@ -8,7 +8,7 @@ from ..functions.rest import conditional_update
 from ..operators import evolution as evo
 from ..operators import history as h
 from ..schemas import RAW_TTL_DAYS, RETENTION_DAYS, SNAPSHOT_TAGS, ZONE_RETENTION_DAYS
-from ..session import work_path
+from ..session import cut_lineage, work_path
 from ..sources import testdata as td
 from . import oracle as O
 from .registry import register
@@ -26,8 +26,10 @@ HIST = (O.EV, O.CDC_FLAT, O.COMMITS)
 
 
 def _log(spark, sf_dir):
+    """The change log and its commits; commits are stored once (a few rows per day),
+    as the commit dataset of a ledger is, so each use scans a tiny table."""
     log = td.cdc_flat(spark, sf_dir)
-    return log, h.commits_by_day(log)
+    return log, cut_lineage(h.commits_by_day(log), "commits")
 
 
 @register("snapshot_log", O.with_(*HIST) + "SELECT * FROM commits")
