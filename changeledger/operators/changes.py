@@ -99,17 +99,6 @@ def tombstones(changes: DataFrame, key: str = KEY, seq: str = "seq", op: str = "
                    ).select(key, "deleted_seq")
 
 
-def tombstone_events(raw: DataFrame, key_col: str = "key", value_col: str = "value") -> DataFrame:
-    """Broker tombstones: a null payload with a message key becomes a delete envelope."""
-    return raw.select(
-        F.when(F.col(value_col).isNull() & F.col(key_col).isNotNull(),
-               F.to_json(F.struct(
-                   F.lit(DELETE_OP).alias("operationType"),
-                   F.struct(F.col(key_col).cast("string").alias("_id")).alias("documentKey"))))
-         .otherwise(F.col(value_col).cast("string")).alias(value_col),
-        *[c for c in raw.columns if c != value_col])
-
-
 def erase_keys(df: DataFrame, erase: DataFrame, key: str = KEY) -> DataFrame:
     """Privacy erasure: drop every row of the listed keys.
 
@@ -142,10 +131,6 @@ def late_events(tail: DataFrame, base_seq: int) -> DataFrame:
     return tail.where(F.col("seq") <= F.lit(base_seq))
 
 
-def on_time_events(tail: DataFrame, base_seq: int) -> DataFrame:
-    return tail.where(F.col("seq") > F.lit(base_seq))
-
-
 def erase_from_files(spark, path: str, erase: DataFrame, new_path: str, key: str = KEY,
                      partition_col: str | None = None) -> str:
     """Rewrite a stored dataset without the erased keys (O29 on data at rest).

@@ -83,13 +83,6 @@ def write_sized(df: DataFrame, path: str, max_records: int, mode: str = "overwri
     df.write.mode(mode).option("maxRecordsPerFile", max_records).parquet(path)
 
 
-def records_for_bytes(df: DataFrame, target_bytes: int, sample_path_bytes: int,
-                      sample_rows: int) -> int:
-    """Rows per file that give roughly ``target_bytes`` given an observed bytes/row."""
-    per_row = max(1.0, sample_path_bytes / max(1, sample_rows))
-    return max(1, int(target_bytes / per_row))
-
-
 def write_replace(df: DataFrame, path: str) -> None:
     """Create or replace a table."""
     df.write.mode("overwrite").parquet(path)

@@ -77,3 +77,21 @@ def write_base(spark: SparkSession, root: str, upto_batch: int, path: str) -> st
     (compact_log(prefix.drop("batch_id"), cut).withColumn("base_batch", F.lit(upto_batch).cast("long"))
         .write.mode("overwrite").parquet(path))
     return path
+
+
+def fold_expired(spark: SparkSession, root: str, expired: DataFrame, path: str) -> int | None:
+    """Fold the expired prefix of the log into a base (O50 → O55).
+
+    Only the longest run of batches ``0..b`` that are *all* expired is folded,
+    so a tagged or otherwise retained snapshot stays readable through
+    ``state(upto=v, base=…)``.  Returns ``b`` (None when nothing can fold).
+    """
+    ids = commits(spark, root).select("snapshot_id").join(
+        expired.select("snapshot_id").withColumn("_exp", F.lit(True)), "snapshot_id", "left")
+    first_kept = ids.where(F.col("_exp").isNull()).agg(F.min("snapshot_id")).first()[0]
+    upto = (ids.where(F.col("snapshot_id") < first_kept) if first_kept is not None else ids) \
+        .agg(F.max("snapshot_id")).first()[0]
+    if upto is None:
+        return None
+    write_base(spark, root, upto, path)
+    return upto

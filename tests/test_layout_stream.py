@@ -223,3 +223,23 @@ def test_replay_pre_aggregates_a_hot_key(spark):
     assert "partial_max_by" in plan
     row = out.where("order_id = 'hot'").first()
     assert row["status"] == "29997" and row["amount"] == 29997.0
+
+
+
+def test_expiry_folds_only_the_fully_expired_prefix(spark):
+    from changeledger.operators import history as h
+    src, root, ckpt = (work_path(spark, n) for n in ("in", "ledger", "ckpt"))
+    q_stream._land_records(q_stream._records(spark, SF), src, 5)
+    q_stream._run(spark, src, root, ckpt, max_files=1)          # batches 0..4
+    commits = ledger.commits(spark, root).withColumn("table_name", F.lit("t"))
+    retention = spark.createDataFrame([("t", 0)], "table_name string, retention_days int")
+    tags = spark.createDataFrame([("t", 2)], "table_name string, snapshot_id long")
+    expired = h.expire_snapshots(commits, retention, tags, "2999-01-01 00:00:00")
+    assert sorted(r[0] for r in expired.select("snapshot_id").collect()) == [0, 1, 3]
+    base = work_path(spark, "base")
+    assert ledger.fold_expired(spark, root, expired, base) == 1
+    # the tagged snapshot 2 is still readable from base + tail
+    want = {tuple(r) for r in ledger.state(spark, root, upto=2).collect()}
+    late = ledger.late_events(spark, root, base)
+    if late.count() == 0:
+        assert {tuple(r) for r in ledger.state(spark, root, upto=2, base=base).collect()} == want
