@@ -31,19 +31,25 @@ def main() -> None:
 
     spark = get_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2),
                         extra={"spark.driver.memory": "16g"})
-    times = {}
+    times, errors = {}, {}
     for name in HEADLINE:
         samples = []
-        for i in range(runs + 1):
-            t0 = time.perf_counter()
-            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            if i:
-                samples.append(time.perf_counter() - t0)
-        times[name] = round(statistics.median(samples), 3)
+        try:
+            for i in range(runs + 1):
+                t0 = time.perf_counter()
+                QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+                if i:
+                    samples.append(time.perf_counter() - t0)
+            times[name] = round(statistics.median(samples), 3)
+        except Exception as exc:  # noqa: BLE001 - report and keep measuring the others
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
     m = re.search(r"sf([0-9.]+)", sf_dir)
-    print(json.dumps({"metric": "headline_queries_total_median", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": float(m.group(1)) if m else sf_dir,
-                      "cpus": cpus, "runs": runs}))
+    out = {"metric": "headline_queries_total_median", "value": round(sum(times.values()), 3),
+           "unit": "sec", "queries": times, "sf": float(m.group(1)) if m else sf_dir,
+           "cpus": cpus, "runs": runs}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
     spark.stop()
 
 

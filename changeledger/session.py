@@ -121,3 +121,13 @@ def listing_parallelism(spark: SparkSession, tasks: int | None = None):
             spark.conf.unset(key)
         else:
             spark.conf.set(key, old)
+
+
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 * 1024 ** 2,
+                           minimum: int = 200) -> int:
+    """Initial shuffle partition count so each reduce task handles ~``target_bytes``.
+
+    Set it generously for the largest stage (e.g. ~400,000 for 100 TB at 256 MB);
+    AQE then coalesces small stages at run time.
+    """
+    return max(minimum, -(-int(input_bytes) // target_bytes))
