@@ -29,25 +29,6 @@ def kafka_source(spark: SparkSession, servers: str, topic: str,
     return r.load()
 
 
-def document_change_source(spark: SparkSession, uri: str, database: str, collection: str) -> DataFrame:
-    """Change stream straight from the document database, full documents only.
-
-    Needs the database's Spark connector on the classpath.  The result has the
-    broker record shape (``value`` = the full document as JSON) so it feeds
-    ``start_ledger_stream(..., full_document_only=True)`` unchanged.
-    """
-    raw = (spark.readStream.format("mongodb")
-           .option("spark.mongodb.connection.uri", uri)
-           .option("spark.mongodb.database", database)
-           .option("spark.mongodb.collection", collection)
-           .option("change.stream.publish.full.document.only", "true").load())
-    return raw.select(F.lit(None).cast("string").alias("key"),
-                      F.to_json(F.struct(*[F.col(c) for c in raw.columns])).alias("value"),
-                      F.lit(f"{database}.{collection}").alias("topic"),
-                      F.lit(0).alias("partition"),
-                      F.monotonically_increasing_id().alias("offset"))
-
-
 def file_source(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """Broker-shaped records (key, value, topic, partition, offset) from JSON files."""
     r = spark.readStream.schema(RECORD_SCHEMA)
