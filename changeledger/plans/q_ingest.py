@@ -236,7 +236,7 @@ WAP_SQL = O.with_(O.ORDERS_SRC, O.ORDERS_DELTA, O.DELTA_LATEST, O.UPSERTED).rstr
 checks AS (
   SELECT 'row_count_delta' AS check_name,
          CAST(abs((SELECT count(*) FROM upserted) - (SELECT count(*) FROM orders_src)) AS DOUBLE)
-           / (SELECT count(*) FROM orders_src) AS value, 0.5 AS threshold
+           / (SELECT count(*) FROM orders_src) AS value, CAST(0.5 AS DOUBLE) AS threshold
   UNION ALL SELECT 'null_rate:order_id', avg(CASE WHEN order_id IS NULL THEN 1.0 ELSE 0.0 END), 0.05 FROM upserted
   UNION ALL SELECT 'null_rate:merchant_id', avg(CASE WHEN merchant_id IS NULL THEN 1.0 ELSE 0.0 END), 0.05 FROM upserted
   UNION ALL SELECT 'null_rate:event_ts', avg(CASE WHEN event_ts IS NULL THEN 1.0 ELSE 0.0 END), 0.05 FROM upserted

@@ -33,7 +33,7 @@ missing AS (
 @register("row_count_delta", O.with_(O.ORDERS_SRC, O.ORDERS_DELTA, O.DELTA_LATEST, O.UPSERTED,
                                      ROW_DELTA_SQL) + """
 SELECT previous_rows, current_rows, CAST(change_ratio AS DOUBLE) AS change_ratio,
-       0.5 AS threshold, change_ratio <= 0.5 AS passed FROM rcd""")
+       CAST(0.5 AS DOUBLE) AS threshold, change_ratio <= 0.5 AS passed FROM rcd""")
 def q_row_count_delta(spark, sf_dir):
     return qc.row_count_delta(td.orders_src(spark, sf_dir), upserted(spark, sf_dir), 0.5)
 
@@ -62,7 +62,7 @@ def q_partition_presence(spark, sf_dir):
     O.ORDERS_SRC, O.ORDERS_DELTA, O.DELTA_LATEST, O.UPSERTED, ROW_DELTA_SQL,
     f"nr AS ({NULLS_SQL.format(src='upserted')})",
     MISSING_SQL.format(col="event_ts", src="upserted")) + """
-SELECT 'row_count_delta' AS check_name, CAST(change_ratio AS DOUBLE) AS value, 0.5 AS threshold,
+SELECT 'row_count_delta' AS check_name, CAST(change_ratio AS DOUBLE) AS value, CAST(0.5 AS DOUBLE) AS threshold,
        change_ratio <= 0.5 AS passed FROM rcd
 UNION ALL
 SELECT 'null_rate:' || column_name, null_rate, 0.05, null_rate <= 0.05 FROM nr
