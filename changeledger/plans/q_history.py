@@ -103,8 +103,7 @@ FROM sa a FULL OUTER JOIN sb b ON a.order_id = b.order_id
 WHERE a.order_id IS NULL OR b.order_id IS NULL OR {_DISTINCT}""")
 def q_snapshot_diff(spark, sf_dir):
     log, commits = _log(spark, sf_dir)
-    return h.snapshot_diff(h.as_of_version(log, commits, DIFF_FROM),
-                           h.as_of_version(log, commits, DIFF_TO))
+    return h.diff_versions(log, commits, DIFF_FROM, DIFF_TO)
 
 
 _RET_VALUES = ", ".join(f"('{t}', {d})" for t, d in RETENTION_DAYS.items())

@@ -37,6 +37,8 @@ TARGET_FILE_BYTES = {
     "payments.merchant_events": 268435456,
     "payments.clickstream": 134217728,
 }
+# Compaction target file size by refinement zone, in bytes.
+ZONE_TARGET_FILE_BYTES = {"bronze": 536870912, "gold": 268435456}
 # Documents per extracted page / landed file.
 EXTRACT_PAGE_SIZE = 1000
 # Topic naming: <database>.cdc.<collection>; dead letters get this suffix.
