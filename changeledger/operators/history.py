@@ -45,11 +45,19 @@ def first_snapshot(commits: DataFrame) -> DataFrame:
         F.min("committed_at").alias("committed_at"))
 
 
+def commit_times(commits: DataFrame, versions: list[int]) -> dict:
+    """Commit time of each requested snapshot, in one small job."""
+    rows = commits.where(F.col("snapshot_id").isin(*versions)) \
+                  .select("snapshot_id", "committed_at").collect()
+    found = {r[0]: r[1] for r in rows}
+    missing = [v for v in versions if v not in found]
+    if missing:
+        raise ValueError(f"unknown snapshot(s) {missing}")
+    return found
+
+
 def commit_time(commits: DataFrame, version: int):
-    row = commits.where(F.col("snapshot_id") == version).select("committed_at").first()
-    if row is None:
-        raise ValueError(f"unknown snapshot {version}")
-    return row[0]
+    return commit_times(commits, [version])[version]
 
 
 def snapshot_at(commits: DataFrame, ts: str) -> int | None:
@@ -131,7 +139,8 @@ def diff_versions(changes: DataFrame, commits: DataFrame, v_from: int, v_to: int
     restriction is a broadcast semi join and the cost follows the number of
     changes, not the table size.
     """
-    lo, hi = commit_time(commits, v_from), commit_time(commits, v_to)
+    cuts = commit_times(commits, sorted({v_from, v_to}))
+    lo, hi = cuts[v_from], cuts[v_to]
     if lo > hi:
         lo, hi = hi, lo
     window = changes.where((F.col(ts) >= F.lit(lo)) & (F.col(ts) < F.lit(hi))).select(key)

@@ -25,11 +25,13 @@ TAG_POLICY = [("first-load", "first"), ("day-10", "10")] + SNAPSHOT_TAGS["paymen
 HIST = (O.EV, O.CDC_FLAT, O.COMMITS)
 
 
-def _log(spark, sf_dir):
-    """The change log and its commits; commits are stored once (a few rows per day),
-    as the commit dataset of a ledger is, so each use scans a tiny table."""
+def _log(spark, sf_dir, store: bool = False):
+    """The change log and its commits.  Queries that use the commits several
+    times store them once (a few rows per day), as a ledger's commit dataset
+    is stored, so each use scans a tiny table instead of the log."""
     log = td.cdc_flat(spark, sf_dir)
-    return log, cut_lineage(h.commits_by_day(log), "commits")
+    commits = h.commits_by_day(log)
+    return log, (cut_lineage(commits, "commits") if store else commits)
 
 
 @register("snapshot_log", O.with_(*HIST) + "SELECT * FROM commits")
@@ -73,7 +75,7 @@ TAGS_SQL = """tags AS (
 @register("tag_snapshots", O.with_(*HIST, TAGS_SQL) + """
 SELECT t.tag, t.snapshot_id, c.committed_at FROM tags t JOIN commits c ON t.snapshot_id = c.snapshot_id""")
 def q_tag_snapshots(spark, sf_dir):
-    _, commits = _log(spark, sf_dir)
+    _, commits = _log(spark, sf_dir, store=True)
     return h.tag_snapshots(spark, commits, TAG_POLICY)
 
 
@@ -81,7 +83,7 @@ def q_tag_snapshots(spark, sf_dir):
   (SELECT c.committed_at FROM commits c JOIN tags t ON c.snapshot_id = t.snapshot_id
    WHERE t.tag = 'first-load'))""", O.replay("pre", "st")) + "SELECT * FROM st")
 def q_as_of_tag(spark, sf_dir):
-    log, commits = _log(spark, sf_dir)
+    log, commits = _log(spark, sf_dir, store=True)
     tags = h.tag_snapshots(spark, commits, TAG_POLICY)
     return h.as_of_tag(log, commits, tags, "first-load")
 
@@ -123,7 +125,7 @@ WHERE c.committed_at < TIMESTAMP '{EXPIRE_NOW}' - to_days(CAST(p.retention_days
                   AND t.snapshot_id = c.snapshot_id)""")
 def q_expire_snapshots(spark, sf_dir):
     """Three tables share the change log's commit history; tags are taken first."""
-    _, commits = _log(spark, sf_dir)
+    _, commits = _log(spark, sf_dir, store=True)
     per_table = None
     for t in RETENTION_DAYS:
         part = commits.withColumn("table_name", F.lit(t))
@@ -143,7 +145,7 @@ SELECT p.zone, c.snapshot_id, c.committed_at FROM pol p, commits c
 WHERE c.committed_at < TIMESTAMP '{ZONE_NOW}' - to_days(CAST(p.retention_days AS INTEGER))
   AND c.snapshot_id <> (SELECT max(snapshot_id) FROM commits)""")
 def q_expire_by_zone(spark, sf_dir):
-    _, commits = _log(spark, sf_dir)
+    _, commits = _log(spark, sf_dir, store=True)
     per_zone = None
     for z in ZONE_RETENTION_DAYS:
         part = commits.withColumn("zone", F.lit(z))
