@@ -175,6 +175,33 @@ def orphan_files(files: DataFrame, live_paths: DataFrame) -> DataFrame:
     return files.join(live_paths.select("path").distinct(), "path", "left_anti")
 
 
+def delete_files(files: DataFrame, dry_run: bool = True) -> int:
+    """The explicit delete step after an orphan report (O52) or a TTL report.
+
+    ``dry_run`` (the default) only counts.  Otherwise executors delete their
+    share of the listed paths in parallel, so a long list never passes through
+    the driver; a retried task simply finds some files already gone.
+    """
+    def delete_partition(rows) -> None:
+        # defined here so it is shipped by value: executors need no copy of this package
+        from pyarrow import fs as pafs
+        for row in rows:
+            uri = row["path"]
+            if uri.startswith("file:") and not uri.startswith("file://"):
+                uri = "file://" + uri[len("file:"):]
+            filesystem, path = pafs.FileSystem.from_uri(uri)
+            try:
+                filesystem.delete_file(path)
+            except FileNotFoundError:
+                pass              # already gone: deleting is idempotent
+
+    paths = files.select("path").distinct()
+    n = paths.count()
+    if not dry_run and n:
+        paths.foreachPartition(delete_partition)
+    return n
+
+
 def raw_ttl(partitions: DataFrame, run_date: str, days: int, dt: str = "dt") -> DataFrame:
     """Landed date partitions older than ``days`` before ``run_date``."""
     limit = F.date_sub(F.lit(run_date).cast("date"), days)

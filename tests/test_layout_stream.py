@@ -243,3 +243,20 @@ def test_expiry_folds_only_the_fully_expired_prefix(spark):
     late = ledger.late_events(spark, root, base)
     if late.count() == 0:
         assert {tuple(r) for r in ledger.state(spark, root, upto=2, base=base).collect()} == want
+
+
+def test_orphan_delete_is_explicit_and_distributed(spark):
+    from changeledger.operators import history as h
+    root = work_path(spark, "orders-table")
+    lay.write_sized(td.orders_src(spark, SF), f"{root}/data/s1", max_records=200)
+    live = lay.compact_files(spark, f"{root}/data/s1", f"{root}/data", None, 1 << 29)
+    live_paths = spark.read.parquet(live).select(F.col("_metadata.file_path").alias("path"))
+    orphans = h.orphan_files(lay.file_stats(spark, f"{root}/data"), live_paths).cache()
+    n = orphans.count()
+    assert n > 1
+    assert h.delete_files(orphans) == n                      # dry run: nothing removed
+    assert lay.file_stats(spark, f"{root}/data").count() == n + live_paths.distinct().count()
+    h.delete_files(orphans, dry_run=False)
+    left = lay.file_stats(spark, f"{root}/data")
+    assert left.join(orphans.select("path"), "path", "left_semi").count() == 0
+    assert spark.read.parquet(live).count() == td.orders_src(spark, SF).count()
