@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import bounded
+from ..session import BROADCAST_MAX_KEYS, bounded
 from .merge import latest_per_key
 
 MONEY = "decimal(18,2)"
-BROADCAST_GROUPS = 2_000_000
+BROADCAST_GROUPS = BROADCAST_MAX_KEYS
 VALID_STATUS = ["created", "approved", "refunded"]
 
 

@@ -15,15 +15,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import CHANGE_COLUMNS, DELETE_OP, UPSERT_OPS
-from ..session import bounded
+from ..session import BROADCAST_MAX_KEYS, bounded
 
 KEY = "order_id"
 VALUE_COLUMNS = [c for c in CHANGE_COLUMNS if c != KEY]
 # State rows re-enter a fold as updates older than every logged event.
 STATE_SEQ = -(2 ** 62)
-# Batches with at most this many distinct keys are broadcast to split the
-# state into touched / untouched rows without shuffling the state.
-BROADCAST_KEYS = 2_000_000
+# Batches with at most this many rows have their key set broadcast to split
+# the state into touched / untouched rows without shuffling the state.
+BROADCAST_KEYS = BROADCAST_MAX_KEYS
 
 
 def _is_delete(op: str) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schemas import DEFAULT_RETENTION_DAYS
-from ..session import bounded
+from ..session import BROADCAST_MAX_KEYS, bounded
 from .changes import replay
 
 
@@ -131,7 +131,7 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str = "order_id") -> Data
 
 def diff_versions(changes: DataFrame, commits: DataFrame, v_from: int, v_to: int,
                   key: str = "order_id", ts: str = "event_ts",
-                  broadcast_keys: int = 2_000_000) -> DataFrame:
+                  broadcast_keys: int = BROADCAST_MAX_KEYS) -> DataFrame:
     """Diff of two snapshots computed from the log between them (O49 at scale).
 
     Only keys with a change committed in ``(v_from, v_to]`` can differ, so both

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import bounded
+from ..session import BROADCAST_MAX_KEYS, bounded
 
-# Source snapshots with at most this many keys are merged by broadcast anti join.
-BROADCAST_KEYS = 2_000_000
+# Source snapshots with at most this many rows are merged by broadcast anti join.
+BROADCAST_KEYS = BROADCAST_MAX_KEYS
 
 
 def latest_per_key(df: DataFrame, key: str, order_by: list[str]) -> DataFrame:

@@ -93,6 +93,11 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+# Largest key set broadcast to every executor: ~1M short keys is a hashed
+# relation of a few tens of MB; anything larger takes the shuffle path.
+BROADCAST_MAX_KEYS = 1_000_000
+
+
 def bounded(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 

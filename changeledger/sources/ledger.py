@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cdc import CHANGE_OUT
 from ..operators.changes import compact_log, replay
-from ..session import bounded
+from ..session import BROADCAST_MAX_KEYS, bounded
 
 
 def committed_log(spark: SparkSession, root: str, upto: int | None = None) -> DataFrame:
@@ -21,7 +21,7 @@ def committed_log(spark: SparkSession, root: str, upto: int | None = None) -> Da
         log = log.where(F.col("batch_id") <= upto)
         commits = commits.where(F.col("batch_id") <= upto)
     # one commit row per micro-batch: broadcast (size checked) keeps the log unshuffled
-    if bounded(commits, 5_000_000):
+    if bounded(commits, BROADCAST_MAX_KEYS):
         commits = F.broadcast(commits)
     return log.join(commits, "batch_id", "left_semi").select("batch_id", *CHANGE_OUT)
 
