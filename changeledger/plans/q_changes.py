@@ -40,11 +40,13 @@ def q_cdc_merge(spark, sf_dir):
 @register("compact_log", O.with_(O.EV, O.CDC_FLAT, O.replay("cdc_flat", "st"))
           + "SELECT * FROM st")
 def q_compact_log(spark, sf_dir):
-    """Base folded up to the last seq before the cut; base + tail = full replay."""
+    """Base folded up to the last seq before the cut; the tail merged onto it (merge-on-read)
+    equals the full replay."""
     log = td.cdc_flat(spark, sf_dir)
     s = log.where(F.col("event_ts") < F.lit(CUT).cast("timestamp_ntz")).agg(F.max("seq")).first()[0]
     base = ch.compact_log(log, s)
-    return ch.replay(base.unionByName(log.where(F.col("seq") > s)))
+    base_state = base.drop("seq", "op")
+    return ch.cdc_merge(base_state, log.where(F.col("seq") > s))
 
 
 @register("compact_log_base", O.with_(

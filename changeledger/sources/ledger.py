@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.cdc import CHANGE_OUT
-from ..operators.changes import compact_log, replay
+from ..operators.changes import cdc_merge, compact_log, replay
 from ..session import BROADCAST_MAX_KEYS, bounded
 
 
@@ -51,7 +51,10 @@ def state(spark: SparkSession, root: str, upto: int | None = None,
     if meta["bb"] is None:
         return replay(log.drop("batch_id"))
     tail = log.where((F.col("batch_id") > meta["bb"]) & (F.col("seq") > meta["s"]))
-    return replay(b.drop("base_batch").unionByName(tail.drop("batch_id")))
+    # merge-on-read: the tail is applied to the base state; with a bounded tail
+    # the base is split by a broadcast semi/anti join and never shuffled
+    base_state = b.select("order_id", *[c for c in CHANGE_OUT if c not in ("seq", "order_id", "op")])
+    return cdc_merge(base_state, tail.drop("batch_id"))
 
 
 def late_events(spark: SparkSession, root: str, base: str) -> DataFrame:
