@@ -10,7 +10,9 @@ predicate is a literal that reaches the Parquet scan.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schemas import DEFAULT_RETENTION_DAYS
@@ -45,6 +47,17 @@ def first_snapshot(commits: DataFrame) -> DataFrame:
         F.min("committed_at").alias("committed_at"))
 
 
+def ts_lit(value) -> Column:
+    """A wall-clock timestamp literal (``timestamp_ntz``), whatever the session zone.
+
+    ``F.lit(datetime)`` would become a zone-aware TIMESTAMP and shift against
+    ``timestamp_ntz`` columns when the session zone is not the driver's.
+    """
+    if isinstance(value, dt.datetime):
+        value = value.strftime("%Y-%m-%d %H:%M:%S.%f")
+    return F.lit(value).cast("timestamp_ntz")
+
+
 def commit_times(commits: DataFrame, versions: list[int]) -> dict:
     """Commit time of each requested snapshot, in one small job."""
     rows = commits.where(F.col("snapshot_id").isin(*versions)) \
@@ -71,7 +84,7 @@ def as_of_version(changes: DataFrame, commits: DataFrame, version: int,
                   ts: str = "event_ts") -> DataFrame:
     """State of the table at snapshot ``version``."""
     cut = commit_time(commits, version)
-    return replay(changes.where(F.col(ts) < F.lit(cut)))
+    return replay(changes.where(F.col(ts) < ts_lit(cut)))
 
 
 def as_of_timestamp(changes: DataFrame, commits: DataFrame, at: str,
@@ -82,7 +95,7 @@ def as_of_timestamp(changes: DataFrame, commits: DataFrame, at: str,
                   .agg(F.max("committed_at")).first()[0])
     if cut is None:
         return replay(changes.limit(0))
-    return replay(changes.where(F.col(ts) < F.lit(cut)))
+    return replay(changes.where(F.col(ts) < ts_lit(cut)))
 
 
 def tag_snapshots(spark: SparkSession, commits: DataFrame, policy: list[tuple[str, str]]) -> DataFrame:
@@ -143,13 +156,13 @@ def diff_versions(changes: DataFrame, commits: DataFrame, v_from: int, v_to: int
     lo, hi = cuts[v_from], cuts[v_to]
     if lo > hi:
         lo, hi = hi, lo
-    window = changes.where((F.col(ts) >= F.lit(lo)) & (F.col(ts) < F.lit(hi))).select(key)
+    window = changes.where((F.col(ts) >= ts_lit(lo)) & (F.col(ts) < ts_lit(hi))).select(key)
     keys = window.distinct()
     if bounded(window, broadcast_keys):
         keys = F.broadcast(keys)
     touched = changes.join(keys, key, "left_semi")
-    return snapshot_diff(replay(touched.where(F.col(ts) < F.lit(lo))),
-                         replay(touched.where(F.col(ts) < F.lit(hi))), key)
+    return snapshot_diff(replay(touched.where(F.col(ts) < ts_lit(lo))),
+                         replay(touched.where(F.col(ts) < ts_lit(hi))), key)
 
 
 def expire_snapshots(commits: DataFrame, retention: DataFrame, tags: DataFrame,

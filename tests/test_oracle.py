@@ -61,3 +61,18 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert df.columns == ["order_id", "merchant_id", "status", "amount", "currency", "event_ts"]
+
+
+@pytest.mark.parametrize("name", ["as_of_version", "as_of_timestamp", "snapshot_diff", "ingest_batch"])
+def test_results_do_not_depend_on_session_zone_or_ansi(spark, duck, name):
+    old = {k: spark.conf.get(k) for k in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled")}
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        df = E.queries()[name](spark, SF_SMALL)
+        got = _canon(df.columns, [tuple(r) for r in df.collect()])
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    cur = duck.execute(E.oracle_sql()[name])
+    assert got == _canon([d[0] for d in cur.description], cur.fetchall())
