@@ -260,3 +260,16 @@ def test_orphan_delete_is_explicit_and_distributed(spark):
     left = lay.file_stats(spark, f"{root}/data")
     assert left.join(orphans.select("path"), "path", "left_semi").count() == 0
     assert spark.read.parquet(live).count() == td.orders_src(spark, SF).count()
+
+
+def test_bucketed_write_keeps_file_count_near_day_bucket_pairs(spark):
+    path = work_path(spark, "bucketed")
+    name = "bucket_files_" + path.rsplit("-", 1)[-1]
+    log = td.cdc_flat(spark, SF)
+    lay.write_days_bucketed(log, path, name)
+    files = lay.file_stats(spark, path).count()
+    pairs = log.select(F.to_date("event_ts").alias("d"),
+                       F.pmod(F.hash("merchant_id"), F.lit(16)).alias("b")).distinct().count()
+    tasks = lay.write_tasks(spark)
+    assert files <= pairs + tasks            # each writer splits at most one pair with a neighbour
+    assert spark.table(name).count() == log.count()
