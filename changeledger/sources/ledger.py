@@ -36,49 +36,69 @@ def commits(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root}/commits").drop("batch_id")
 
 
+def _marks_path(base: str) -> str:
+    return base.rstrip("/") + "_marks"
+
+
+def _tail_split(spark: SparkSession, root: str, base: str, upto: int | None = None):
+    """Tail batches after the base, split into on-time rows and late rows.
+
+    A tail row is late when its key already had a folded event with a higher or
+    equal ``seq`` (O43).  Marks are per key, so ``seq`` only has to be ordered
+    within a key — true for a key-partitioned topic with several partitions.
+    The tail's keys are broadcast when bounded, so the (table-sized) marks are
+    filtered without a shuffle.
+    """
+    b = spark.read.parquet(base)
+    bb = b.agg(F.max("base_batch")).first()[0]
+    tail = committed_log(spark, root, upto)
+    if bb is not None:
+        tail = tail.where(F.col("batch_id") > bb)
+    keys = tail.select("order_id").distinct()
+    if bounded(tail.select("order_id"), BROADCAST_MAX_KEYS):
+        keys = F.broadcast(keys)
+    marks = spark.read.parquet(_marks_path(base)).join(keys, "order_id", "left_semi")
+    flagged = tail.join(marks, "order_id", "left") \
+        .withColumn("_late", F.coalesce(F.col("seq") <= F.col("_mark"), F.lit(False)))
+    return b, flagged.where(~F.col("_late")).drop("_mark", "_late"), \
+        flagged.where(F.col("_late")).drop("_late")
+
+
 def state(spark: SparkSession, root: str, upto: int | None = None,
           base: str | None = None) -> DataFrame:
-    """Table state: replay of (compacted base ∪ committed batches after it).
+    """Table state: replay of the committed log, or merge-on-read over a base.
 
-    Tail rows whose ``seq`` is not above the base's cut are late (O43): they
-    are left out here and reported by ``late_events``.
+    With a base, the on-time tail is merged onto the base state (``cdc_merge``):
+    a bounded tail splits the base by a broadcast semi/anti join, so the base is
+    never shuffled.  Late tail rows are left out and reported by ``late_events``.
     """
-    log = committed_log(spark, root, upto)
     if base is None:
-        return replay(log.drop("batch_id"))
-    b = spark.read.parquet(base)
-    meta = b.agg(F.max("base_batch").alias("bb"), F.max("seq").alias("s")).first()
-    if meta["bb"] is None:
-        return replay(log.drop("batch_id"))
-    tail = log.where((F.col("batch_id") > meta["bb"]) & (F.col("seq") > meta["s"]))
-    # merge-on-read: the tail is applied to the base state; with a bounded tail
-    # the base is split by a broadcast semi/anti join and never shuffled
+        return replay(committed_log(spark, root, upto).drop("batch_id"))
+    b, on_time, _late = _tail_split(spark, root, base, upto)
     base_state = b.select("order_id", *[c for c in CHANGE_OUT if c not in ("seq", "order_id", "op")])
-    return cdc_merge(base_state, tail.drop("batch_id"))
+    return cdc_merge(base_state, on_time.drop("batch_id"))
 
 
 def late_events(spark: SparkSession, root: str, base: str) -> DataFrame:
-    """Committed rows after the base's batches that belong before its cut."""
-    b = spark.read.parquet(base)
-    meta = b.agg(F.max("base_batch").alias("bb"), F.max("seq").alias("s")).first()
-    log = committed_log(spark, root)
-    if meta["bb"] is None:
-        return log.limit(0)
-    return log.where((F.col("batch_id") > meta["bb"]) & (F.col("seq") <= meta["s"]))
+    """Committed rows after the base's batches that belong before it, per key."""
+    return _tail_split(spark, root, base)[2].drop("_mark")
 
 
 def write_base(spark: SparkSession, root: str, upto_batch: int, path: str) -> str:
     """Fold committed batches ``<= upto_batch`` into a base dataset.
 
-    Base rows are ``update`` events at the prefix's last ``seq`` and remember
-    the last folded batch, so the tail is exactly the later batches.
+    Writes the base state (as ``update`` rows, remembering the last folded
+    batch) and, next to it, each key's highest folded ``seq`` — deleted keys
+    included — which later decides whether a tail row is late.
     """
-    prefix = committed_log(spark, root, upto_batch)
+    prefix = committed_log(spark, root, upto_batch).drop("batch_id")
     cut = prefix.agg(F.max("seq")).first()[0]
     if cut is None:
         raise ValueError(f"no committed rows up to batch {upto_batch}")
-    (compact_log(prefix.drop("batch_id"), cut).withColumn("base_batch", F.lit(upto_batch).cast("long"))
+    (compact_log(prefix, cut).withColumn("base_batch", F.lit(upto_batch).cast("long"))
         .write.mode("overwrite").parquet(path))
+    (prefix.groupBy("order_id").agg(F.max("seq").alias("_mark"))
+        .write.mode("overwrite").parquet(_marks_path(path)))
     return path
 
 
