@@ -10,7 +10,7 @@ is the replay of the committed log (``sources.ledger``).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.cdc import cdc_project, parse_envelope, parse_full_documents
@@ -77,17 +77,21 @@ def project_records(records: DataFrame, full_document_only: bool = False) -> Dat
     return cdc_project(parsed)
 
 
-def write_batch(projected: DataFrame, root: str, batch_id: int) -> None:
-    """One pass over the batch: usable rows and dead letters side by side."""
+def write_batch(projected: DataFrame, root: str, batch_id: int) -> int:
+    """One pass over the batch: usable rows and dead letters side by side.
+
+    Returns the number of usable rows, observed while writing (no second job).
+    """
     lane = F.when(F.col("_reason").isNull(), "ok").otherwise("dlq")
     out = projected.withColumn("_lane", lane).withColumn(
         "_payload", F.when(F.col("_reason").isNotNull(), F.col("_payload")))
+    obs = Observation(f"ledger_batch_{batch_id}")
+    out = out.observe(obs, F.sum(F.when(F.col("_lane") == "ok", 1).otherwise(0)).alias("ok"))
     out.write.mode("overwrite").partitionBy("_lane").parquet(f"{root}/log/batch_id={batch_id}")
+    return int(obs.get.get("ok") or 0)
 
 
-def write_commit(spark: SparkSession, root: str, batch_id: int) -> None:
-    added = (spark.read.parquet(f"{root}/log/batch_id={batch_id}")
-             .where(F.col("_lane") == "ok").count())
+def write_commit(spark: SparkSession, root: str, batch_id: int, added: int) -> None:
     commit = spark.range(1).select(
         F.lit(batch_id).cast("long").alias("snapshot_id"),
         F.localtimestamp().alias("committed_at"),
@@ -100,8 +104,8 @@ def batch_writer(root: str, full_document_only: bool = False):
     def _apply(batch_df: DataFrame, batch_id: int) -> None:
         if batch_df.isEmpty():          # O40: no files, no commit for empty batches
             return
-        write_batch(project_records(batch_df, full_document_only), root, batch_id)
-        write_commit(batch_df.sparkSession, root, batch_id)
+        added = write_batch(project_records(batch_df, full_document_only), root, batch_id)
+        write_commit(batch_df.sparkSession, root, batch_id, added)
     return _apply
 
 

@@ -123,6 +123,8 @@ def test_stream_routes_bad_payloads_to_dead_letters(spark):
     dlq = ledger.dead_letter_log(spark, root)
     assert dlq.count() > 0
     assert dlq.count() + ledger.committed_log(spark, root).count() == env.count()
+    added = ledger.commits(spark, root).agg(F.sum("added_rows")).first()[0]
+    assert added == ledger.committed_log(spark, root).count()
 
 
 def test_full_document_stream(spark):
