@@ -1,7 +1,7 @@
 """Benchmark the headline queries; prints one JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (default 3, after one warm-up pass over all queries).  Each query is executed to the end
+BENCH_RUNS (default 5, after one warm-up pass over all queries).  Each query is executed to the end
 with the ``noop`` sink (every row computed, nothing collected to the driver);
 the reported time per query is the median of the timed runs.
 """
@@ -25,7 +25,7 @@ HEADLINE = ["cdc_replay", "as_of_timestamp", "snapshot_upsert", "merchant_totals
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     from changeledger.plans.registry import QUERIES
     from changeledger.session import get_session
 
