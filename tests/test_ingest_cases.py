@@ -91,3 +91,29 @@ def test_ingest_batch_single_day_from_raw(spark):
     assert set(rows) == {"o1"}              # o2 has an unusable timestamp
     assert rows["o1"]["amount"] == 10.5
     assert rows["o1"]["_rest"] == {"promo": "X", "billing_card_brand": "visa"}
+
+
+def test_silver_keeps_valid_rows_one_per_key(spark):
+    from changeledger.operators.aggregates import silver_orders
+    rows = [("o1", "m1", "created", 10.456, "usd", "2024-01-01 00:00:00"),
+            ("o1", "m1", "approved", 11.0, "usd", "2024-01-02 00:00:00"),   # newer version wins
+            ("o2", "m2", "stale", 5.0, "usd", "2024-01-01 00:00:00"),       # unknown status
+            ("o3", "m3", "created", -1.0, "usd", "2024-01-01 00:00:00"),    # negative amount
+            ("o4", "m4", "created", 3.0, "usd", None)]                      # no event time
+    df = spark.createDataFrame(rows, "order_id string, merchant_id string, status string, "
+                                     "amount double, currency string, event_ts string") \
+        .withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz"))
+    out = silver_orders(df).collect()
+    assert [(r["order_id"], r["status"], r["amount"], r["currency"]) for r in out] == \
+        [("o1", "approved", 11.0, "USD")]
+    assert str(out[0]["event_date"]) == "2024-01-02"
+
+
+def test_append_by_name_aligns_order_missing_and_extra_columns(spark):
+    from changeledger.operators.evolution import append_by_name
+    target = spark.createDataFrame([("a", 1, None)], "k string, n int, note string")
+    rows = spark.createDataFrame([(2, "b", "x")], "n long, k string, extra string")
+    out = append_by_name(target, rows)
+    assert out.columns == ["k", "n", "note"]
+    assert dict(out.dtypes)["n"] == "int"
+    assert sorted(map(tuple, out.collect())) == [("a", 1, None), ("b", 2, None)]
