@@ -108,3 +108,26 @@ def test_diff_from_log_equals_diff_of_full_versions(spark):
         if a > b:   # diff_versions always diffs older → newer
             full = h.snapshot_diff(h.as_of_version(log, commits, b), h.as_of_version(log, commits, a))
         assert sorted(map(tuple, full.collect())) == sorted(map(tuple, fast.collect()))
+
+
+def test_merge_and_upsert_fallback_paths_match_broadcast_paths(spark, monkeypatch):
+    """Above the broadcast bound the plans change (single shuffle, no join); results must not."""
+    from changeledger.operators import merge as mg
+    from changeledger.sources import testdata as td
+    sf = "/root/testdata/sf0.001"
+    log = td.cdc_flat(spark, sf)
+    cut = F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")
+    state = ch.replay(log.where(F.col("event_ts") < cut))
+    batch = log.where(F.col("event_ts") >= cut)
+    target = td.orders_src(spark, sf).select(*td.ORDER_FIELDS)
+    delta = td.orders_delta(spark, sf)
+    fast_merge = set(map(tuple, ch.cdc_merge(state, batch).collect()))
+    fast_upsert = set(map(tuple, mg.snapshot_upsert(target, delta, "order_id",
+                                                    ["event_ts", "src_file"]).collect()))
+    monkeypatch.setattr(ch, "BROADCAST_KEYS", 0)
+    slow_merge = ch.cdc_merge(state, batch)
+    assert set(map(tuple, slow_merge.collect())) == fast_merge == \
+        set(map(tuple, ch.replay(log).collect()))
+    slow_upsert = mg.snapshot_upsert(target, delta, "order_id", ["event_ts", "src_file"],
+                                     broadcast_keys=0)
+    assert set(map(tuple, slow_upsert.collect())) == fast_upsert
