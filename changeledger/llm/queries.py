@@ -30,3 +30,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_path(spark, "op1-files")
     rans.write(table(spark, sf_dir, "documents"), folder, vocabulary_path("word_bpe_49k.json"), end_id=1)
     return rans.digests(spark, folder)
+
+
+@register("op10_best_fit_packing")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import packing
+    from .tokens import vocabulary_path
+
+    items = packing.pieces(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"), 2, 1024)
+    return packing.pack(items, 1024)
