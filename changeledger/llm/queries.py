@@ -39,3 +39,37 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     items = packing.pieces(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"), 2, 1024)
     return packing.pack(items, 1024)
+
+
+@register("op5_exact_dedup", """
+WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm FROM documents),
+g AS (SELECT norm, max(doc_id) AS keep_id, count(*) AS group_size, sha256(norm) AS text_sha256 FROM t GROUP BY norm)
+SELECT t.doc_id, g.keep_id, g.group_size, t.doc_id = g.keep_id AS kept, g.text_sha256 FROM t JOIN g USING (norm)""")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import exact
+
+    return exact.dedup(table(spark, sf_dir, "documents"), keep="last").drop("rid")
+
+
+OP4_SQL = r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+                  md5('mix-1|' || coalesce(CAST(doc_id AS VARCHAR), '')) AS ord FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT *, ([3.0, 1.0, 2.0]::DOUBLE[])[CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS BIGINT)] AS weight,
+             source_size * 2.0::DOUBLE AS cap FROM s),
+l AS (SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE - coalesce(sum(cap) OVER p, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER p, 0)) AS level
+      FROM w WINDOW p AS (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+g AS (SELECT *, (SELECT arg_min(level, cap / weight) FROM l WHERE cap > weight * level) AS water FROM l),
+t AS (SELECT source, source_size, CASE WHEN water IS NULL THEN cap ELSE least(cap, weight * water) END AS target FROM g),
+x AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS whole FROM t),
+r AS (SELECT d.*, x.source_size, x.target, x.whole, x.target - x.whole * x.source_size AS part,
+             coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
+      FROM d JOIN x ON d.source IS NOT DISTINCT FROM x.source)
+SELECT doc_id, size, source_size, target, CAST(size * (whole + CASE WHEN 2 * ahead + size <= 2 * part THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM r"""
+
+
+@register("op4_source_mixing", OP4_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import mixing
+
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
