@@ -73,3 +73,29 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import mixing
 
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@register("op2_virtual_slots")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from . import slots
+
+    out = slots.shard(table(spark, sf_dir, "documents"), 8, work_path(spark, "op2-map"))
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
+
+
+@register("op3_warc_archive", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+d AS (SELECT page_id, strlen(payload) AS payload_bytes, sha256(payload) AS payload_digest,
+             min(page_id) OVER (PARTITION BY payload) AS owner FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> owner THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> owner THEN owner END AS refers_to FROM d""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import archive
+
+    folder = work_path(spark, "op3-archive")
+    archive.write(table(spark, sf_dir, "pages"), folder)
+    return archive.read(spark, folder)
