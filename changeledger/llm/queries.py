@@ -99,3 +99,17 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_path(spark, "op3-archive")
     archive.write(table(spark, sf_dir, "pages"), folder)
     return archive.read(spark, folder)
+
+
+@register("op6_line_cleaning")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import lines
+
+    return lines.clean(table(spark, sf_dir, "documents"), with_text=False).drop("clean_text", "lines_removed")
+
+
+@register("op8_cross_parsing_langid")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import langid
+
+    return langid.identify(table(spark, sf_dir, "documents"))
