@@ -125,7 +125,7 @@ class Parser:
         self.roots = np.array(roots, np.int64)
 
     def symbols(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Symbols of all texts in a row, runs of space as one, and the place where each text ends."""
+        """Symbols of all texts in a row and the place where each text ends; each is its words with a space after them."""
         raw = np.frombuffer("\0".join([t.lower() for t in texts] + [""]).encode("utf-32-le", "surrogatepass"), "<u4")
         sym = self.of_char[raw]
         if len(raw) and raw.max() >= 0x3000:  # rare: other scripts' marks and symbols are no letters either
@@ -135,7 +135,6 @@ class Parser:
         ends = np.cumsum([len(t.lower()) + 1 for t in texts])
         keep = sym != 0
         keep[1:] |= sym[:-1] != 0
-        keep[ends - 1] = True  # each text ends in a space of its own
         return sym[keep], np.cumsum(keep)[ends - 1]
 
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:

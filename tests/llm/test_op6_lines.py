@@ -57,7 +57,7 @@ def test_line_rules(line, rule):
 def test_text_that_is_left(spark):
     good = " ".join(f"W{i}a w{i}b w{i}c w{i}d w{i}e." for i in range(12))
     bad = "Home | News | Sport | Weather | Shop"
-    rows = [(1, f"{bad}\n{good}\n\nAll rights reserved."), (2, "\n".join([good] + [f"{bad} {i}" for i in range(20)])), (3, None)]
+    rows = [(1, f"{bad}\n{good}\n\nAll rights reserved."), (2, "\n".join([good] + [f"H{i} | N{i} | S{i} | W{i} | P{i}" for i in range(20)])), (3, None)]
     out = {r.doc_id: r for r in lines.clean(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert out[1].kept and out[1].clean_text == f"{good}\n" and out[1].lines_removed == ["navigation", "boilerplate"]
     assert not out[2].kept and not out[2].base_failed and out[2].clean_text == good
