@@ -113,3 +113,13 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import langid
 
     return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@register("op7_simhash_blocks")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from . import simhash
+
+    out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
