@@ -123,3 +123,10 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@register("op9_repeat_intervals")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import repeats
+
+    return repeats.Repeats(table(spark, sf_dir, "documents")).report()
