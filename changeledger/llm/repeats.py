@@ -236,8 +236,9 @@ def intervals(prefixes: list[int]) -> Iterator[tuple[int, int, int]]:
 def repeats_of(group: list[tuple], window: int = MIN_BYTES, every: bool = False) -> Iterator[tuple[int, int, int, int]]:
     """(rid, start, stop, repeat) of the suffixes (rid, pos, a, b, left, right) of one key, sorted by ``right``.
 
-    ``left`` is reversed.  ``repeat`` is a hash of the repeated bytes.  For each interval a member comes with its longest repeat, which
-    is all that its covered bytes depend on; with ``every``, each maximal repeat comes with all its occurrences.
+    ``left`` is reversed.  ``repeat`` is a hash of the repeated bytes.  With ``every``, each maximal repeat comes with all its
+    occurrences.  Without, each member comes with what its repeats cover, joined where they overlap, under the name of the
+    longest: of an interval only the member's longest repeat matters for that.
     """
     least = window - max(x[3] for x in group)
     rank = sorted(range(len(group)), key=lambda i: group[i][4])
@@ -248,6 +249,7 @@ def repeats_of(group: list[tuple], window: int = MIN_BYTES, every: bool = False)
         text = before[:high][::-1] + after[:window - low]
         return rid, pos - high, pos - low + window, xxhash.xxh3_64_intdigest(text) - (1 << 63)
 
+    longest: list[list[tuple[int, int]]] = [[] for _ in group]
     for r, first, last in intervals(prefixes):
         if r < least:
             continue
@@ -263,7 +265,19 @@ def repeats_of(group: list[tuple], window: int = MIN_BYTES, every: bool = False)
         else:
             for i, x, y in zip(own, [0, *left], [*left, 0]):
                 if max(x, y) >= window - r:
-                    yield span(i, window - r, max(x, y))
+                    longest[i].append((window - r, max(x, y)))
+    for i, found in enumerate(longest):
+        if found:
+            low, high = max(found, key=lambda x: (x[1] - x[0], x))
+            name, pos = span(i, low, high)[3], group[i][1]
+            found.sort()
+            low, high = found[0]
+            for x, y in found[1:]:
+                if x - high >= window:  # offsets that far apart cover bytes that don't touch
+                    yield group[i][0], pos - high, pos - low + window, name
+                    low = x
+                high = max(high, y)
+            yield group[i][0], pos - high, pos - low + window, name
 
 
 def _scanned(suffixes: DataFrame) -> DataFrame:
