@@ -43,28 +43,23 @@ def dedup(docs: DataFrame, keep: str = "first", content_hash: Callable[[Column],
                        F.monotonically_increasing_id().alias("rid")) \
         .withColumn("hash", content_hash(F.col("norm")))
     slim = stored(rows.select("rid", "doc_id", "hash", F.sha2("norm", 256).alias("text_sha256")), "op5-rows")
-    # With a sign the largest id is the smallest, and null ids come last for both.
+    key = ["hash", "text_sha256"]
+    # Copies of a text fold map-side; what is left of one hash is told apart by its bytes.
+    texts = (rows.groupBy("hash", "norm").agg(F.count(F.lit(1)).alias("n"))
+             .select("hash", F.sha2("norm", 256).alias("text_sha256"), "n")
+             .groupBy(*key).agg(F.sum("n").alias("group_size"), F.count(F.lit(1)).alias("texts")))
+    # With a sign the largest id is the smallest; null ids come last for both, and the row number breaks ties.
     sign = 1 if keep == "first" else -1
-    groups = (rows.groupBy("hash", "norm").agg(
-                  F.min(F.col("doc_id") * sign).alias("best"), F.count(F.lit(1)).alias("group_size"))
-              .select("hash", F.sha2("norm", 256).alias("text_sha256"), (F.col("best") * sign).alias("keep_id"), "group_size")
-              .groupBy("hash", "text_sha256").agg(
-                  F.first("keep_id").alias("keep_id"), F.first("group_size").alias("group_size"), F.count(F.lit(1)).alias("texts"))
-              .withColumn("keep_id", F.when(F.col("texts") == 1, F.col("keep_id"))
-                          .otherwise(F.raise_error(F.lit("two texts agree in both digests")).cast("long"))))
+    first = slim.groupBy(*key).agg(F.min(F.struct(F.col("doc_id").isNull(), (F.col("doc_id") * sign).alias("id"), "rid")).alias("best"))
+    one = F.when(F.col("texts") == 1, F.col("group_size")).otherwise(F.raise_error(F.lit("two texts agree in both digests")).cast("long"))
     # Only groups with copies need the join; a row without one is a group of its own.
-    copied = groups.where((F.col("group_size") > 1) | (F.col("texts") > 1)).drop("texts")
-    joined = slim.join(copied, ["hash", "text_sha256"], "left")
+    copied = stored(texts.join(first, key).where((F.col("group_size") > 1) | (F.col("texts") > 1)).select(
+        *key, one.alias("group_size"), (F.col("best.id") * sign).alias("keep_id"), F.col("best.rid").alias("keep_rid")), "op5-groups")
     alone = F.col("group_size").isNull()
-    marked = joined.select("rid", "doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
-                           F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"), "text_sha256", alone.alias("alone"),
-                           "hash")
-    # Rows that share the id that stays: the one with the smallest row number does.
-    ties = (marked.where(~F.col("alone") & F.col("doc_id").eqNullSafe(F.col("keep_id")))
-            .groupBy("hash", "text_sha256").agg(F.min("rid").alias("rid")).select("rid", F.lit(True).alias("first")))
-    return (marked.join(ties, "rid", "left")
-            .select("rid", "doc_id", "keep_id", "group_size",
-                    (F.col("alone") | F.coalesce("first", F.lit(False))).alias("kept"), "text_sha256"))
+    return slim.join(copied, key, "left").select(
+        "rid", "doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
+        (alone | (F.col("rid") == F.col("keep_rid"))).alias("kept"), "text_sha256")
 
 
 def deduplicated(docs: DataFrame, keep: str = "first") -> DataFrame:
