@@ -42,16 +42,17 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int, with_id
     """Pieces of at most ``capacity`` ids of every document (its ids, then ``end_id``), with their CRC-32 as 32-bit ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocabulary)
-        end = np.array([end_id], enc.dtype).tobytes()
-        for b in slices(batches):
+        for b in slices(batches, 4000):
             out = []
-            for doc_id, data in zip(b.column("doc_id").to_pylist(), enc.encode_many(b.column("text").to_pylist())):
-                raw = np.frombuffer(data + end, enc.dtype).astype("<u4").tobytes()
-                n = len(raw) // 4
+            ids, ends = enc.encode_ended(b.column("text"), end_id)
+            data, at = memoryview(ids.astype("<u4").tobytes()), 0
+            for doc_id, stop in zip(b.column("doc_id").to_pylist(), ends.tolist()):
+                n = stop - at
                 cuts = [0, *range(n % capacity or capacity, n + 1, capacity)] if n > capacity else [0, n]
                 for k, (i, j) in enumerate(zip(cuts, cuts[1:])):
-                    part = raw[4 * i:4 * j]
-                    out.append((doc_id, k, i, j - i, zlib.crc32(part), *([part] if with_ids else [])))
+                    part = data[4 * (at + i):4 * (at + j)]
+                    out.append((doc_id, k, i, j - i, zlib.crc32(part), *([bytes(part)] if with_ids else [])))
+                at = stop
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][:5 + with_ids]
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)

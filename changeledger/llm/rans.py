@@ -34,8 +34,8 @@ from .tokens import encoder
 SCALE_BITS = 20
 #: Coder states stay in [2**31, 2**63) and move 32 bits at a time.
 STATE_LOW = np.uint64(1 << 31)
-BLOCK_TOKENS = 131_072
-MAX_LANES = 512
+BLOCK_TOKENS = 262_144
+MAX_LANES = 1024
 CHECKPOINT_ROWS = 64
 
 _TOKEN_SCHEMA = "part int, pstart long, doc_id long, n int, ids binary"
@@ -73,7 +73,7 @@ class Coder:
         self.start = np.concatenate([[0], np.cumsum(freq)[:-1]]).astype(np.uint64)
         self.rank = np.full(int(ids.max()) + 1, -1, np.int64)
         self.rank[ids] = np.arange(len(ids))
-        self.slot = np.repeat(np.arange(len(ids), dtype=np.uint32), freq)
+        self.slot = np.repeat(np.arange(len(ids), dtype=np.uint16 if len(ids) <= 1 << 16 else np.uint32), freq)
         self.pad = int(np.argmax(freq))
         self.limit_shift = np.uint64(63 - bits)
 
@@ -167,15 +167,15 @@ def tokenise(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, at = encoder(vocabulary), TaskContext.get().partitionId(), 0
-        end = np.array([end_id], enc.dtype).tobytes()
-        for b in slices(batches):
-            ids = [x + end for x in enc.encode_many(b.column("text").to_pylist())]
-            n = np.array([len(x) // enc.dtype.itemsize for x in ids], np.int64)
-            starts = at + np.concatenate([[0], np.cumsum(n)[:-1]])
-            at += int(n.sum())
-            yield pa.record_batch([pa.array([part] * len(ids), pa.int32()), pa.array(starts), b.column("doc_id"),
-                                   pa.array(n.astype(np.int32)), pa.array(ids, pa.binary())],
+        for b in slices(batches, 4000):
+            ids, ends = enc.encode_ended(b.column("text"), end_id)
+            offsets = np.concatenate([[0], ends])
+            data = pa.Array.from_buffers(pa.binary(), len(ends), [
+                None, pa.py_buffer((offsets * enc.dtype.itemsize).astype(np.int32)), pa.py_buffer(ids)])
+            yield pa.record_batch([pa.array(np.full(len(ends), part, np.int32)), pa.array(at + offsets[:-1]), b.column("doc_id"),
+                                   pa.array(np.diff(offsets).astype(np.int32)), data],
                                   ["part", "pstart", "doc_id", "n", "ids"])
+            at += int(offsets[-1])
 
     return rows.mapInArrow(run, _TOKEN_SCHEMA)
 

@@ -2,23 +2,29 @@
 
 Both vocabularies split a text before their merges run, and never inside a run of non-space characters on
 both sides of a plain space.  So the ids of a text are the ids of its chunks in order, and the chunks of a
-corpus repeat: most are found in the memo, and the library encodes each missing one once.
+corpus repeat: Arrow splits a batch of texts and numbers its different chunks, most of those are found in the
+memo, and the library encodes each missing one once.
 """
 
 from __future__ import annotations
 
 import os
-import re
 from unicodedata import normalize
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Chunks remembered per worker; beyond it the memo starts anew (memory bound, no effect on the ids).
 MEMO_CHUNKS = 1_000_000
-#: Chunks longer than this are encoded each time and not remembered.
-MEMO_CHARS = 40
-
-_ODD_SPACE = re.compile(r"[^\S \n]|^[ \n]|[ \n]\Z|[ \n][ \n]")
+#: Bytes of text handled at once.
+BATCH_BYTES = 8 << 20
+
+#: White space other than single spaces and line ends inside the text; texts with any go to the library whole.
+_ODD_SPACE = (r"[\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+              r"|\A[ \n]|[ \n]\z|[ \n][ \n]")
+#: ASCII punctuation but the apostrophe, which can begin a contraction.
+_TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _LOADED: dict[str, Encoder] = {}
 
 
@@ -34,7 +40,7 @@ def vocabulary_path(name: str) -> str:
 
 
 class Encoder:
-    """``encode_many(texts)`` gives each text's ids as little-endian bytes of ``dtype``."""
+    """``encode(texts)`` gives the ids of an Arrow string array as one numpy array of ``dtype``, and each text's end in it."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -45,12 +51,19 @@ class Encoder:
         self.size = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         # A vocabulary that drops white space has no ids for it; one that keeps it glues a space to the next word.
-        self.keeps_space = bool(self._whole(" "))
-        self.tails = {c: self._whole(c) for c in ".,"}
-        self.memo: dict[str, bytes] = {}
+        self.keeps_space = bool(len(self._whole(" ")))
+        self.folds_case = self._whole("A").tolist() == self._whole("a").tolist()
+        self.tails: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        """Chunk → number; the ids of chunk k are ids[ends[k] : ends[k + 1]]."""
+        self.memo: dict[str, int] = {}
+        self.ids = np.zeros(1 << 20, self.dtype)
+        self.ends = np.zeros(1 << 18, np.int32)
 
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype)
 
     def _each(self, chunks: list[str]) -> list[bytes]:
         """Ids of chunks that stand alone, by one call of the library."""
@@ -59,15 +72,40 @@ class Encoder:
         cut = (np.searchsorted(word, np.arange(len(chunks) + 1)) * self.dtype.itemsize).tolist()
         return [raw[i:j] for i, j in zip(cut, cut[1:])]
 
-    def _learn(self, missing: set[str]) -> dict[str, bytes]:
-        """Ids of new chunks.  A full stop or comma after a letter is a chunk of its own, so "word," needs "word"."""
-        ends = {c for c in missing if len(c) > 1 and c[-1] in ".," and _still_letter(c[-2])}
-        cores = {c[:-1] for c in ends}
-        new = {c: self.memo[c] for c in cores if c in self.memo}
-        ask = [c for c in (missing - ends) | cores if c not in new]
-        new.update(zip(ask, self._each([self._plain(c) for c in ask])))
-        new.update((c, new[c[:-1]] + self.tails[c[-1]]) for c in ends)
-        return new
+    def _tail(self, tail: str) -> bytes:
+        if tail not in self.tails:
+            if len(self.tails) > 10_000:
+                self.tails.clear()
+            self.tails[tail] = self._whole(tail).tobytes()
+        return self.tails[tail]
+
+    def _of(self, number: int) -> bytes:
+        return self.ids[self.ends[number]:self.ends[number + 1]].tobytes()
+
+    def _learn(self, missing: list[str]) -> None:
+        """Remember new chunks.  Punctuation after a letter is merged apart from it, so "word," needs "word" and ","."""
+        core_of = {}
+        for c in missing:
+            core = c.rstrip(_TAIL)
+            if len(core) == len(c) or not core or not _still_letter(core[-1]):
+                core = c
+            core_of[c] = core.lower() if self.folds_case and core.isascii() else core
+        cores = set(core_of.values())
+        known = {c: self._of(self.memo[c]) for c in cores if c in self.memo}
+        ask = list(cores - known.keys())
+        known.update(zip(ask, self._each([self._plain(c) for c in ask])))
+        new = {c: known[core] + (self._tail(c[len(core):]) if len(core) < len(c) else b"") for c, core in core_of.items()}
+        new.update((c, known[c]) for c in ask)
+        n, data = len(self.memo), np.frombuffer(b"".join(new.values()), self.dtype)
+        size = np.cumsum(np.fromiter(map(len, new.values()), np.int32, len(new)) // self.dtype.itemsize)
+        at = int(self.ends[n])
+        while at + len(data) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while n + len(new) + 1 > len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        self.ids[at:at + len(data)] = data
+        self.ends[n + 1:n + 1 + len(new)] = at + size
+        self.memo.update(zip(new, range(n, n + len(new))))
 
     def _plain(self, chunk: str) -> str:
         """The text that a chunk stands for: with the space before it, unless it begins a line."""
@@ -75,27 +113,69 @@ class Encoder:
             return chunk
         return chunk[1:] if chunk[:1] == "\r" else " " + chunk
 
-    def _split(self, text: str) -> list[str]:
-        if not self.keeps_space:
-            return text.replace("\n", " ").split(" ")
-        if "\n" not in text:
-            return ("\r" + text).split(" ")
-        return ("\r" + text.replace("\n", " \r\n \r")).split(" ")
-
-    def encode_many(self, texts: list[str]) -> list[bytes]:
+    def _batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if len(self.memo) > MEMO_CHUNKS:
-            self.memo.clear()
-        whole = {i for i, t in enumerate(texts) if self.keeps_space and _ODD_SPACE.search(t)}
-        parts = [[] if i in whole or not t else self._split(t) for i, t in enumerate(texts)]
-        missing = set().union(*parts) - self.memo.keys()
+            self._forget()
+        odd = []
+        if self.keeps_space:
+            odd = np.flatnonzero(pc.match_substring_regex(texts, _ODD_SPACE).to_numpy(zero_copy_only=False)).tolist()
+            plain = pc.if_else(pa.array(np.isin(np.arange(len(texts)), odd)), pa.scalar("", texts.type), texts) if odd else texts
+            empty = pc.equal(plain, "")
+            marked = pc.binary_join_element_wise(pa.scalar("\r", texts.type), pc.replace_substring(plain, "\n", " \r\n \r"), pa.scalar("", texts.type))
+            lists = pc.split_pattern(pc.if_else(empty, pa.scalar("", texts.type), marked), " ")
+        else:
+            lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        if isinstance(lists, pa.ChunkedArray):
+            lists = lists.combine_chunks()
+        chunks = lists.flatten().dictionary_encode()
+        different = chunks.dictionary.to_pylist()
+        self.memo.setdefault("", 0)  # the first chunk of all: no ids
+        missing = [c for c in different if c not in self.memo]
         if missing:
-            self.memo.update(self._learn(missing))
-        ids_of = self.memo.__getitem__
-        out = [self._whole(texts[i]) if i in whole else b"".join(map(ids_of, p)) for i, p in enumerate(parts)]
-        for c in missing:
-            if len(c) > MEMO_CHARS:
-                del self.memo[c]
-        return out
+            self._learn(missing)
+        number = np.fromiter(map(self.memo.__getitem__, different), np.int32, len(different))
+        begin, size = self.ends[number], self.ends[number + 1] - self.ends[number]
+        index = chunks.indices.to_numpy()
+        n = size[index]
+        end = np.cumsum(n, dtype=np.int64)
+        total = int(end[-1]) if len(end) else 0
+        ids = self.ids[np.repeat((begin[index] - (end - n)).astype(np.int32), n) + np.arange(total, dtype=np.int32)]
+        ends = np.concatenate([[0], end])[lists.offsets.to_numpy()[1:] - lists.offsets[0].as_py()]
+        if odd:
+            parts, at = [], 0
+            whole = {i: self._whole(texts[i].as_py()) for i in odd}
+            for i in odd:  # their place is empty so far
+                parts += [ids[at:ends[i]], whole[i]]
+                at = int(ends[i])
+            ids = np.concatenate([*parts, ids[at:]])
+            more = np.zeros(len(texts), np.int64)
+            more[odd] = [len(whole[i]) for i in odd]
+            ends = ends + np.cumsum(more)
+        return ids, ends
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Texts may not be null.  Long batches are handled in pieces."""
+        texts = texts.cast(pa.large_string())
+        size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        cuts = [0]
+        while cuts[-1] < len(texts):
+            before = size[cuts[-1] - 1] if cuts[-1] else 0
+            cuts.append(max(cuts[-1] + 1, int(np.searchsorted(size, before + BATCH_BYTES, side="right"))))
+        parts = [self._batch(texts.slice(i, j - i)) for i, j in zip(cuts, cuts[1:])]
+        base = np.concatenate([[0], np.cumsum([len(p[0]) for p in parts])]).astype(np.int64)
+        ids = np.concatenate([np.zeros(0, self.dtype), *(p[0] for p in parts)])
+        return ids, np.concatenate([np.zeros(0, np.int64), *(p[1] + b for p, b in zip(parts, base))])
+
+    def encode_ended(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The same with ``end_id`` after each text."""
+        ids, ends = self.encode(texts)
+        return np.insert(ids, ends, end_id), ends + np.arange(1, len(ends) + 1)
+
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """Each text's ids as little-endian bytes."""
+        ids, ends = self.encode(pa.array(texts, pa.large_string()))
+        raw, cut = ids.tobytes(), [0, *(ends * self.dtype.itemsize).tolist()]
+        return [raw[i:j] for i, j in zip(cut, cut[1:])]
 
 
 def encoder(path: str) -> Encoder:
