@@ -37,6 +37,7 @@ STATE_LOW = np.uint64(1 << 31)
 BLOCK_TOKENS = 262_144
 MAX_LANES = 1024
 CHECKPOINT_ROWS = 64
+COUNTS = -1
 
 _TOKEN_SCHEMA = "part int, pstart long, doc_id long, n int, ids binary"
 _BLOCK_SCHEMA = ("part int, pstart long, n int, lanes int, states binary, words binary, checkpoints array<binary>, "
@@ -158,7 +159,10 @@ def crc32_shift(crc: int, zeros: int) -> int:
 # ---- the Spark operator --------------------------------------------------------------------------------
 
 def tokenise(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
-    """Ids of each document plus the end id, in document order: rows of a part follow each other."""
+    """Ids of each document plus the end id, in document order: rows of a part follow each other.
+
+    Each task adds one row with part ``COUNTS``, whose ids are the counts of all ids in the task.
+    """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"),
                        F.monotonically_increasing_id().alias("rid"))
     # The row id lets one repeated document id spread over many ranges.
@@ -167,8 +171,10 @@ def tokenise(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, at = encoder(vocabulary), TaskContext.get().partitionId(), 0
+        counts = np.zeros(enc.size + 1, np.int64)
         for b in slices(batches, 4000):
             ids, ends = enc.encode_ended(b.column("text"), end_id)
+            counts += np.bincount(ids, minlength=len(counts))
             offsets = np.concatenate([[0], ends])
             data = pa.Array.from_buffers(pa.binary(), len(ends), [
                 None, pa.py_buffer((offsets * enc.dtype.itemsize).astype(np.int32)), pa.py_buffer(ids)])
@@ -176,23 +182,25 @@ def tokenise(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
                                    pa.array(np.diff(offsets).astype(np.int32)), data],
                                   ["part", "pstart", "doc_id", "n", "ids"])
             at += int(offsets[-1])
+        if at:
+            yield pa.record_batch([pa.array([COUNTS], pa.int32()), pa.array([part]), pa.nulls(1, pa.int64()), pa.array([0], pa.int32()),
+                                   pa.array([counts.astype("<i8").tobytes()], pa.binary())], ["part", "pstart", "doc_id", "n", "ids"])
 
     return rows.mapInArrow(run, _TOKEN_SCHEMA)
 
 
-def count_ids(tokens: DataFrame, dtype: str) -> dict[int, int]:
-    """Corpus count of every id; each task sends one row per id at most, so the result fits the vocabulary."""
+def count_ids(counts: DataFrame) -> dict[int, int]:
+    """Corpus count of every id, from one row of counts per task; the result has a row per id of the vocabulary."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(0, np.int64)
-        for b in slices(batches):
-            new = np.bincount(np.frombuffer(b"".join(b.column("ids").to_pylist()), dtype))
-            if len(new) > len(counts):
-                counts, new = new, counts
-            counts[:len(new)] += new
-        ids = np.flatnonzero(counts)
-        yield pa.record_batch([pa.array(ids.astype(np.int64)), pa.array(counts[ids].astype(np.int64))], ["id", "n"])
-
-    rows = tokens.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+        total = np.zeros(0, np.int64)
+        for b in batches:
+            for row in b.column("ids").to_pylist():
+                one = np.frombuffer(row, "<i8")
+                total = one + total if len(total) else one
+        ids = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(ids.astype(np.int64)), pa.array(total[ids].astype(np.int64))], ["id", "n"])
+
+    rows = counts.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     return {r["id"]: r["n"] for r in rows}
 
 
@@ -200,13 +208,14 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int, block_toke
     """Encode every text of ``docs`` (doc_id, text) into token files under ``folder``."""
     spark = docs.sparkSession
     dtype = encoder(vocabulary).dtype.str
-    tokens = stored(tokenise(docs, vocabulary, end_id), "op1-tokens")
+    rows = stored(tokenise(docs, vocabulary, end_id), "op1-tokens")
+    tokens = rows.where(F.col("part") != COUNTS)
     totals = {r["part"]: r["n"] for r in tokens.groupBy("part").agg(F.sum("n").alias("n")).collect()}
     first, at = [], 0
     for part in sorted(totals):  # one entry per task of the writer, none per document
         first.append((part, at))
         at += totals[part]
-    ids, freq = scaled(count_ids(tokens, dtype))
+    ids, freq = scaled(count_ids(rows.where(F.col("part") == COUNTS)))
     spark.createDataFrame(first, "part int, first long").coalesce(1).write.parquet(f"{folder}/parts")
     spark.createDataFrame(list(zip(ids.tolist(), freq.tolist())), "id long, freq long").coalesce(1) \
         .write.parquet(f"{folder}/table")

@@ -9,25 +9,37 @@ memo, and the library encodes each missing one once.
 from __future__ import annotations
 
 import os
-from unicodedata import normalize
+from unicodedata import is_normalized, normalize
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Chunks remembered per worker; beyond it the memo starts anew (memory bound, no effect on the ids).
-MEMO_CHUNKS = 1_000_000
+MEMO_CHUNKS = 1_200_000
 #: Bytes of text handled at once.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 #: White space other than single spaces and line ends inside the text; texts with any go to the library whole.
 _ODD_SPACE = (r"[\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
               r"|\A[ \n]|[ \n]\z|[ \n][ \n]")
 #: ASCII punctuation but the apostrophe, which can begin a contraction.
 _TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Letters up to here are told alike by all versions of Unicode.
+LAST_LATIN = "\u024f"
 _LOADED: dict[str, Encoder] = {}
 
 
+def _byte_chars() -> dict[int, int]:
+    """Byte-level vocabularies spell a byte by its Latin-1 character where that is printable, the others by 256, 257 and so on."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: 256 + k for k, b in enumerate(others)}
+
+
+_BYTE_CHARS = _byte_chars()
+
+
 def _still_letter(char: str) -> bool:
     """A letter that stays one when normalised and lower-cased (some become a letter and a mark)."""
     return char.isalpha() and normalize("NFC", char).lower().isalpha()
@@ -72,6 +84,15 @@ class Encoder:
         cut = (np.searchsorted(word, np.arange(len(chunks) + 1)) * self.dtype.itemsize).tolist()
         return [raw[i:j] for i, j in zip(cut, cut[1:])]
 
+    def _letters(self, core: str) -> bytes | None:
+        """Ids of a chunk that the vocabulary's preparation leaves as it is, one run of Latin letters: its merges alone."""
+        letters = core[1:] if core[:1] == "\r" and self.keeps_space else core
+        if not letters.isalpha() or max(letters) > LAST_LATIN or not is_normalized("NFC", letters) \
+                or self.folds_case and letters.lower() != letters:
+            return None
+        text = self._plain(core).encode().decode("latin-1").translate(_BYTE_CHARS)
+        return np.array([t.id for t in self.tokenizer.model.tokenize(text)], self.dtype).tobytes()
+
     def _tail(self, tail: str) -> bytes:
         if tail not in self.tails:
             if len(self.tails) > 10_000:
@@ -93,7 +114,10 @@ class Encoder:
         cores = set(core_of.values())
         known = {c: self._of(self.memo[c]) for c in cores if c in self.memo}
         ask = list(cores - known.keys())
-        known.update(zip(ask, self._each([self._plain(c) for c in ask])))
+        new = [self._letters(c) for c in ask]
+        known.update((c, ids) for c, ids in zip(ask, new) if ids is not None)
+        odd = [c for c, ids in zip(ask, new) if ids is None]
+        known.update(zip(odd, self._each([self._plain(c) for c in odd])))
         new = {c: known[core] + (self._tail(c[len(core):]) if len(core) < len(c) else b"") for c, core in core_of.items()}
         new.update((c, known[c]) for c in ask)
         n, data = len(self.memo), np.frombuffer(b"".join(new.values()), self.dtype)
@@ -130,10 +154,14 @@ class Encoder:
         chunks = lists.flatten().dictionary_encode()
         different = chunks.dictionary.to_pylist()
         self.memo.setdefault("", 0)  # the first chunk of all: no ids
-        missing = [c for c in different if c not in self.memo]
-        if missing:
+        found = list(map(self.memo.get, different))
+        unknown = [k for k, n in enumerate(found) if n is None]
+        if unknown:
+            missing = [different[k] for k in unknown]
             self._learn(missing)
-        number = np.fromiter(map(self.memo.__getitem__, different), np.int32, len(different))
+            for k, n in zip(unknown, map(self.memo.__getitem__, missing)):
+                found[k] = n
+        number = np.array(found, np.int32)
         begin, size = self.ends[number], self.ends[number + 1] - self.ends[number]
         index = chunks.indices.to_numpy()
         n = size[index]
