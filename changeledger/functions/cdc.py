@@ -12,8 +12,22 @@ PARSED = "_env"
 
 
 def to_ts(c: Column) -> Column:
-    """Text → timestamp without zone; malformed text gives NULL instead of an error."""
-    return c.try_cast("timestamp_ntz")
+    """Text → timestamp without zone, in UTC; malformed text gives NULL instead of an error.
+
+    Text with a zone or offset is converted to UTC, whatever the session zone; a whole
+    number of at least nine digits counts the milliseconds since 1970.
+    """
+    zoned = c.rlike(r"\d{2}:\d{2}.*([zZ]|[+-]\d{2}:?\d{2})$")
+    millis = F.when(c.rlike(r"^-?\d{9,}$"), c.try_cast("long"))
+    return (F.when(zoned, from_micros(F.unix_micros(c.try_cast("timestamp"))))
+             .when(millis.isNotNull(), from_micros(millis * 1000))
+             .otherwise(c.try_cast("timestamp_ntz")))
+
+
+def from_micros(micros: Column) -> Column:
+    """Microseconds since 1970 in UTC → timestamp without zone."""
+    secs = (micros.cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=secs)
 
 
 def normalize_event_ts(df: DataFrame, column: str = "event_ts") -> DataFrame:
@@ -24,7 +38,10 @@ def normalize_event_ts(df: DataFrame, column: str = "event_ts") -> DataFrame:
     """
     if column not in df.columns:
         return df
-    if dict(df.dtypes)[column] != "string":
+    kind = dict(df.dtypes)[column]
+    if kind in ("bigint", "int"):       # extended JSON: milliseconds since 1970
+        return df.withColumn(column, from_micros(F.col(column).cast("long") * 1000))
+    if kind != "string":
         return df.withColumn(column, F.col(column).cast("timestamp_ntz"))
     parsed = to_ts(F.col(column))
     return (df.withColumn(f"_bad_{column}",
@@ -76,7 +93,8 @@ def cdc_project(env: DataFrame, seq: str = "seq") -> DataFrame:
                .when(op.isNull(), "null_operation")
                .when(~op.isin(DELETE_OP, *UPSERT_OPS), "unknown_operation")
                .when(key.isNull(), "null_key")
-               .when(ts_text.isNotNull() & ts.isNull(), "bad_timestamp"))
+               # a delete needs no time: the key goes, whatever its clock says
+               .when((op != DELETE_OP) & ts_text.isNotNull() & ts.isNull(), "bad_timestamp"))
     return env.select(
         F.col(seq).cast("long").alias("seq"),
         key.alias("order_id"),

@@ -14,12 +14,13 @@ def quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def _wrapped_scalar(dt: T.DataType) -> str | None:
-    if isinstance(dt, T.StructType) and len(dt.fields) == 1 \
-            and dt.fields[0].name in SCALAR_WRAPPERS \
-            and not isinstance(dt.fields[0].dataType, T.StructType):
-        return dt.fields[0].name
-    return None
+def _wrapped_scalar(dt: T.DataType) -> list[str]:
+    """Field path of a wrapped scalar, also of nested wrappers: {"$date": {"$numberLong": …}}."""
+    path = []
+    while isinstance(dt, T.StructType) and len(dt.fields) == 1 and dt.fields[0].name in SCALAR_WRAPPERS:
+        path.append(dt.fields[0].name)
+        dt = dt.fields[0].dataType
+    return [] if isinstance(dt, T.StructType) else path
 
 
 def flatten_columns(schema: T.StructType, sep: str = "_") -> list[Column]:
@@ -33,8 +34,10 @@ def flatten_columns(schema: T.StructType, sep: str = "_") -> list[Column]:
 
     def walk(col: Column, name: str, dt: T.DataType) -> None:
         wrapper = _wrapped_scalar(dt)
-        if wrapper is not None:
-            out.append((name, col.getField(wrapper)))
+        if wrapper:
+            for part in wrapper:
+                col = col.getField(part)
+            out.append((name, col))
         elif isinstance(dt, T.StructType):
             for f in dt.fields:
                 walk(col.getField(f.name), f"{name}{sep}{f.name}", f.dataType)

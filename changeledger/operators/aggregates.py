@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import BROADCAST_MAX_KEYS, bounded
 from .merge import latest_per_key
 
 MONEY = "decimal(18,2)"
-BROADCAST_GROUPS = BROADCAST_MAX_KEYS
 VALID_STATUS = ["created", "approved", "refunded"]
 
 
@@ -30,22 +28,22 @@ def merchant_totals_refresh(stored: DataFrame, orders_now: DataFrame,
     """Refresh a stored aggregate for the groups touched since the last run.
 
     Only rows of touched merchants are re-aggregated; the other stored rows pass
-    through.  A bounded touched set is broadcast, so neither the stored
-    aggregate nor the table is shuffled for the split.
+    through.  The joins compare null-safely: rows without a merchant are a group
+    too.  AQE broadcasts a small touched set, so neither side is shuffled for it.
     """
-    groups = touched.select(dim).distinct()
-    if bounded(touched.select(dim), BROADCAST_GROUPS):
-        groups = F.broadcast(groups)
-    fresh = merchant_totals(orders_now.join(groups, dim, "left_semi"), dim)
-    return stored.join(groups, dim, "left_anti").unionByName(fresh)
+    groups = touched.select(F.col(dim).alias("_group")).distinct()
+
+    def same(df: DataFrame):
+        return df[dim].eqNullSafe(groups["_group"])
+
+    fresh = merchant_totals(orders_now.join(groups, same(orders_now), "left_semi"), dim)
+    return stored.join(groups, same(stored), "left_anti").unionByName(fresh)
 
 
 def touched_groups(before: DataFrame, delta: DataFrame, key: str = "order_id",
                    dim: str = "merchant_id") -> DataFrame:
     """Groups of changed rows, old and new version (a row may move merchants)."""
     keys = delta.select(key).distinct()
-    if bounded(delta.select(key), BROADCAST_GROUPS):
-        keys = F.broadcast(keys)
     old = before.join(keys, key, "left_semi").select(dim)
     return old.unionByName(delta.select(dim)).distinct()
 

@@ -15,15 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import CHANGE_COLUMNS, DELETE_OP, UPSERT_OPS
-from ..session import BROADCAST_MAX_KEYS, bounded
 
 KEY = "order_id"
 VALUE_COLUMNS = [c for c in CHANGE_COLUMNS if c != KEY]
 # State rows re-enter a fold as updates older than every logged event.
 STATE_SEQ = -(2 ** 62)
-# Batches with at most this many rows have their key set broadcast to split
-# the state into touched / untouched rows without shuffling the state.
-BROADCAST_KEYS = BROADCAST_MAX_KEYS
 
 
 def _is_delete(op: str) -> Column:
@@ -64,29 +60,38 @@ def state_as_changes(state: DataFrame, key: str = KEY, value_cols: list[str] | N
                         F.lit("update").alias("op"), *value_cols)
 
 
+def fold_batch(batch: DataFrame, key: str, value_cols: list[str]) -> DataFrame:
+    """What a batch does to each key: ``_deleted`` (rows of before go), ``_exists``
+    (an upsert follows the last delete) and each column's last non-null value after it."""
+    batch = batch.where(F.col(key).isNotNull())
+    folded = replay(batch, key, value_cols).withColumn("_exists", F.lit(True))
+    seen = batch.groupBy(key).agg(F.coalesce(F.bool_or(_is_delete("op")), F.lit(False)).alias("_deleted"))
+    return seen.join(folded, key, "left").withColumn("_exists", F.coalesce("_exists", F.lit(False)))
+
+
 def cdc_merge(state: DataFrame, batch: DataFrame, key: str = KEY) -> DataFrame:
     """Apply one micro-batch of change rows to a state table.
 
     matched+delete → removed; matched+upsert → per-column COALESCE(new, old);
     unmatched+upsert → inserted; unmatched+delete → nothing.  Several events of
     one key inside a batch are folded in ``seq`` order (delete-then-insert does
-    not leak old values).
+    not leak old values).  As in a MERGE, state rows are never deduplicated: rows
+    without a key stay, and every row of a repeated key is updated or removed.
 
-    When the batch touches a bounded number of keys, that key set is broadcast
-    and only touched state rows are shuffled; otherwise the state is folded
-    together with the batch in one aggregation.
+    The joins carry no hint: a small folded batch is broadcast by AQE from its
+    measured size, so the state is not shuffled; a large one is shuffled and
+    its hot keys are split.
     """
     value_cols = [c for c in state.columns if c != key]
-    batch = batch.select("seq", key, "op", *value_cols)
-    as_events = state_as_changes(state, key, value_cols)
-    keys = batch.select(key).distinct()
-    # bound the batch rows (no shuffle to check); its distinct keys are fewer
-    if bounded(batch.select(key), BROADCAST_KEYS):
-        keys = F.broadcast(keys)
-        touched = as_events.join(keys, key, "left_semi")
-        untouched = state.join(keys, key, "left_anti")
-        return untouched.unionByName(replay(touched.unionByName(batch), key, value_cols))
-    return replay(as_events.unionByName(batch), key, value_cols)
+    patch = fold_batch(batch.select("seq", key, "op", *value_cols), key, value_cols)
+    new = patch.select(key, "_deleted", *[F.col(c).alias(f"_new_{c}") for c in value_cols])
+    updated = (state.join(new, key, "left").where(~F.coalesce("_deleted", F.lit(False)))
+               .select(key, *[F.coalesce(f"_new_{c}", c).alias(c) for c in value_cols]))
+    present = state.join(patch.select(key), key, "left_semi").select(key).distinct() \
+        .withColumn("_present", F.lit(True))
+    inserted = (patch.where("_exists").join(present, key, "left")
+                .where(F.col("_deleted") | F.col("_present").isNull()).select(key, *value_cols))
+    return updated.select(*state.columns).unionByName(inserted.select(*state.columns))
 
 
 def tombstones(changes: DataFrame, key: str = KEY, seq: str = "seq", op: str = "op") -> DataFrame:
@@ -102,12 +107,10 @@ def tombstones(changes: DataFrame, key: str = KEY, seq: str = "seq", op: str = "
 def erase_keys(df: DataFrame, erase: DataFrame, key: str = KEY) -> DataFrame:
     """Privacy erasure: drop every row of the listed keys.
 
-    The erase list is deduplicated; when it is bounded it is broadcast so the
-    (large) dataset is filtered without being shuffled.
+    The erase list is deduplicated; AQE broadcasts it when it has measured it to be
+    small, so that the (large) dataset is filtered without being shuffled.
     """
     keys = erase.select(key).where(F.col(key).isNotNull()).distinct()
-    if bounded(erase.select(key), BROADCAST_KEYS):
-        keys = F.broadcast(keys)
     return df.join(keys, key, "left_anti")
 
 
@@ -135,13 +138,12 @@ def erase_from_files(spark, path: str, erase: DataFrame, new_path: str, key: str
                      partition_col: str | None = None) -> str:
     """Rewrite a stored dataset without the erased keys (O29 on data at rest).
 
-    Only partitions that hold an erased key are rewritten (dynamic partition
-    overwrite of a copy); the result is written to ``new_path`` and readers
-    switch to it, so the source is never read and overwritten at once.
+    The whole dataset is written anew to ``new_path`` and readers switch to it, so
+    the source is never read and overwritten at once.
     """
     data = spark.read.parquet(path)
     kept = erase_keys(data, erase, key)
-    w = kept.write.mode("overwrite")
+    w = kept.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_col:
         w = w.partitionBy(partition_col)
     w.parquet(new_path)

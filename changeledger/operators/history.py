@@ -16,14 +16,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schemas import DEFAULT_RETENTION_DAYS
-from ..session import BROADCAST_MAX_KEYS, bounded
 from .changes import replay
 
 
 def commits_by_day(changes: DataFrame, ts: str = "event_ts") -> DataFrame:
     """One commit per day of changes: id = dense rank of the day, committed at
-    the next midnight (O44).  The window runs over one row per day."""
-    days = changes.groupBy(F.to_date(ts).alias("day")).agg(F.count(F.lit(1)).alias("added_rows"))
+    the next midnight (O44).  The window runs over one row per day; changes
+    without a time belong to no day and shift no snapshot id."""
+    days = changes.where(F.to_date(ts).isNotNull()).groupBy(F.to_date(ts).alias("day")).agg(F.count(F.lit(1)).alias("added_rows"))
     w = Window.orderBy("day")
     return days.select(
         F.dense_rank().over(w).cast("long").alias("snapshot_id"),
@@ -143,14 +143,12 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str = "order_id") -> Data
 
 
 def diff_versions(changes: DataFrame, commits: DataFrame, v_from: int, v_to: int,
-                  key: str = "order_id", ts: str = "event_ts",
-                  broadcast_keys: int = BROADCAST_MAX_KEYS) -> DataFrame:
+                  key: str = "order_id", ts: str = "event_ts") -> DataFrame:
     """Diff of two snapshots computed from the log between them (O49 at scale).
 
     Only keys with a change committed in ``(v_from, v_to]`` can differ, so both
-    versions are replayed for those keys alone; with a bounded key set the
-    restriction is a broadcast semi join and the cost follows the number of
-    changes, not the table size.
+    versions are replayed for those keys alone; AQE broadcasts a small key set, and
+    the cost then follows the number of changes, not the table size.
     """
     cuts = commit_times(commits, sorted({v_from, v_to}))
     lo, hi = cuts[v_from], cuts[v_to]
@@ -158,8 +156,6 @@ def diff_versions(changes: DataFrame, commits: DataFrame, v_from: int, v_to: int
         lo, hi = hi, lo
     window = changes.where((F.col(ts) >= ts_lit(lo)) & (F.col(ts) < ts_lit(hi))).select(key)
     keys = window.distinct()
-    if bounded(window, broadcast_keys):
-        keys = F.broadcast(keys)
     touched = changes.join(keys, key, "left_semi")
     return snapshot_diff(replay(touched.where(F.col(ts) < ts_lit(lo))),
                          replay(touched.where(F.col(ts) < ts_lit(hi))), key)
@@ -176,16 +172,31 @@ def expire_snapshots(commits: DataFrame, retention: DataFrame, tags: DataFrame,
     newest = commits.groupBy(table_col).agg(F.max("snapshot_id").alias("_newest"))
     days = F.coalesce(F.col("retention_days"), F.lit(DEFAULT_RETENTION_DAYS))
     limit = F.lit(now).cast("timestamp_ntz") - F.make_dt_interval(days)
-    return (commits.join(F.broadcast(retention), table_col, "left")
+    return (commits.join(retention, table_col, "left")
                    .join(newest, table_col)
                    .where((F.col("committed_at") < limit) & (F.col("snapshot_id") != F.col("_newest")))
                    .join(tags.select(table_col, "snapshot_id"), [table_col, "snapshot_id"], "left_anti")
                    .select(table_col, "snapshot_id", "committed_at"))
 
 
-def orphan_files(files: DataFrame, live_paths: DataFrame) -> DataFrame:
-    """Files present in storage that no live snapshot references (O52). Report only."""
-    return files.join(live_paths.select("path").distinct(), "path", "left_anti")
+def plain_path(path: Column) -> Column:
+    """A path without scheme slashes and percent-encoding, however often it was encoded."""
+    for _ in range(2):
+        path = F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
+    return F.regexp_replace(path, "^file:/+", "/")
+
+
+def orphan_files(files: DataFrame, live_paths: DataFrame, older_than: str | None = None) -> DataFrame:
+    """Files present in storage that no live snapshot references (O52). Report only.
+
+    Listings give plain paths and scans percent-encoded ones, so both are compared in decoded
+    form.  With ``older_than`` (a timestamp; needs ``modificationTime``) younger
+    files are left out: a running write may still commit them.
+    """
+    if older_than is not None:
+        files = files.where(F.col("modificationTime") < F.lit(older_than).cast("timestamp"))
+    live = live_paths.select(plain_path(F.col("path")).alias("_plain")).distinct()
+    return files.withColumn("_plain", plain_path(F.col("path"))).join(live, "_plain", "left_anti").drop("_plain")
 
 
 def delete_files(files: DataFrame, dry_run: bool = True) -> int:

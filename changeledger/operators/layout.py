@@ -42,7 +42,7 @@ def write_days(df: DataFrame, path: str, mode: str = "overwrite",
                max_records: int | None = None) -> None:
     """Partitioned by day (O10); range-distributed so hot days use several writers."""
     w = distribute_for_write(with_event_date(df), "event_date").write.mode(mode) \
-        .partitionBy("event_date")
+        .option("partitionOverwriteMode", "static").partitionBy("event_date")
     if max_records:
         w = w.option("maxRecordsPerFile", max_records)
     w.parquet(path)
@@ -62,7 +62,7 @@ def write_days_bucketed(df: DataFrame, path: str, table: str,
     d = d.repartitionByRange(write_tasks(d.sparkSession), F.col("event_date"),
                              F.pmod(F.hash(F.col(key)), F.lit(buckets)),
                              F.xxhash64(*[F.col(c) for c in spread]))
-    (d.write.mode("overwrite").format("parquet").option("path", path)
+    (d.write.mode("overwrite").option("partitionOverwriteMode", "static").format("parquet").option("path", path)
       .partitionBy("event_date").bucketBy(buckets, key).sortBy(key).saveAsTable(table))
 
 
@@ -74,7 +74,7 @@ def write_distributed(df: DataFrame, path: str, keys=("event_date", "merchant_id
     (day, merchant) pair is spread over several writers instead of one.
     """
     d = with_event_date(df)
-    d.hint("rebalance", *keys).write.mode(mode).partitionBy("event_date").parquet(path)
+    d.hint("rebalance", *keys).write.mode(mode).option("partitionOverwriteMode", "static").partitionBy("event_date").parquet(path)
 
 
 def write_ordered(df: DataFrame, path: str, ts: str = "event_ts", files: int | None = None,
@@ -99,7 +99,7 @@ def file_stats(spark: SparkSession, root: str, partition_col: str | None = None)
     """Data files with their partition value and size."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
              .option("recursiveFileLookup", "true").load(root)
-             .select("path", "length"))
+             .select("path", "length", "modificationTime"))
     if partition_col:
         files = files.withColumn(
             partition_col, F.regexp_extract("path", rf"{partition_col}=([^/]+)", 1))

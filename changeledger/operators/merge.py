@@ -5,11 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import BROADCAST_MAX_KEYS, bounded
-
-# Source snapshots with at most this many rows are merged by broadcast anti join.
-BROADCAST_KEYS = BROADCAST_MAX_KEYS
-
 
 def latest_per_key(df: DataFrame, key: str, order_by: list[str]) -> DataFrame:
     """One winning row per key: greatest ``order_by`` tuple.
@@ -26,28 +21,23 @@ def latest_per_key(df: DataFrame, key: str, order_by: list[str]) -> DataFrame:
 
 
 def snapshot_upsert(target: DataFrame, source: DataFrame, key: str = "order_id",
-                    order_by: list[str] | None = None,
-                    broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
+                    order_by: list[str] | None = None) -> DataFrame:
     """New table content after merging a snapshot into ``target``.
 
     MERGE ON key: matched → UPDATE SET *, not matched → INSERT *, with source
-    keys made unique first (O26: greatest ``order_by`` wins).
+    keys made unique first (O26: greatest ``order_by`` wins; ``[]`` when they
+    already are).  Target rows without a match stay as they are, also null and
+    repeated keys; source rows without a key match nothing and are inserted.
 
-    * Small source (at most ``broadcast_keys`` distinct keys, checked): the key
-      set is broadcast and target rows with a match are dropped by an anti
-      join — the large target is never shuffled.
-    * Large source: target and source are unioned with a priority column and
-      reduced by ``max_by`` per key — one shuffle of both, no join.
+    The anti join carries no hint: AQE broadcasts a key set it has measured to
+    be small, and splits hot keys of a shuffled one.
     """
     order_by = order_by if order_by is not None else ["event_ts"]
     cols = target.columns
-    keys = source.select(key).distinct()
-    if bounded(source.select(key), broadcast_keys):   # rows bound keys; no shuffle to check
-        src = latest_per_key(source, key, order_by) if order_by else source
-        kept = target.join(F.broadcast(keys), key, "left_anti")
-        return kept.select(*cols).unionByName(src.select(*cols))
-    extra = [c for c in order_by if c not in cols]
-    both = (target.select(*cols, *[F.lit(None).cast(source.schema[c].dataType).alias(c) for c in extra],
-                          F.lit(0).alias("_prio"))
-            .unionByName(source.select(*cols, *extra, F.lit(1).alias("_prio"))))
-    return latest_per_key(both, key, ["_prio", *order_by]).select(*cols)
+    has_key = F.col(key).isNotNull()
+    src = source
+    if order_by:
+        src = latest_per_key(source.where(has_key), key, order_by).select(*source.columns) \
+            .unionByName(source.where(~has_key))
+    kept = target.join(source.select(key).where(has_key).distinct(), key, "left_anti")
+    return kept.select(*cols).unionByName(src.select(*cols))

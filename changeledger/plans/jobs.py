@@ -7,6 +7,8 @@ snapshot id) from one-row aggregates.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,7 @@ from ..operators import layout as lay
 from ..operators import quality as qc
 from ..operators.merge import latest_per_key, snapshot_upsert
 from ..schemas import ORDER_COLUMNS
+from ..session import cut_lineage
 from ..sources.raw import raw_scan
 
 
@@ -72,21 +75,48 @@ def write_audit_publish(staged: DataFrame, previous: DataFrame, main_path: str,
 
 def backfill(spark: SparkSession, raw_root: str, main_path: str, staging_path: str,
              start: str, end: str, columns: list[str]) -> bool:
-    """Re-ingest days [start, end) from raw into staging, audit, then overwrite
-    exactly those ``event_date`` partitions of main (O65)."""
-    raw = raw_scan(spark, raw_root, dates=(start, end))
-    rows = normalize_event_ts(flatten(raw.drop("dt")))
-    rows = rows.where(F.col("_bad_event_ts").isNull()).select(*columns) \
-        if "_bad_event_ts" in rows.columns else rows.select(*columns)
-    lay.write_days(rows, staging_path)
-    staged = spark.read.parquet(staging_path)
-    report = qc.quality_report(staged, staged, ["order_id"], ["order_id", "event_ts"],
-                               max_change=0.0, max_null_rate=0.0, materialize=False)
-    if not qc.all_passed(report):
+    """Re-ingest the raw days [start, end) into staging, audit, then replace the
+    affected ``event_date`` partitions of main (O65).
+
+    Landing day and event day differ, and a row may move between days, so each
+    affected day is rebuilt whole: the new rows (one per key, the newest landed
+    one, unless main has a newer one) and main's rows of those days under other keys.  A
+    day is affected when it gets a row or loses one.  Rows without a readable time
+    go to ``dead_letters`` below the run's staging folder, which is new each time.
+    """
+    run = f"{staging_path.rstrip('/')}/run-{uuid.uuid4().hex[:12]}"
+    raw = raw_scan(spark, raw_root, dates=(start, end)).drop("dt")
+    flat = normalize_event_ts(flatten(raw.withColumn("_src_path", F.col("_metadata.file_path"))))
+    if "_bad_event_ts" in flat.columns:
+        flat.where(F.col("_bad_event_ts").isNotNull()).write.parquet(f"{run}/dead_letters")
+        flat = flat.where(F.col("_bad_event_ts").isNull())
+    new = latest_per_key(flat.where(F.col("order_id").isNotNull()), "order_id", ["event_ts", "_src_path"]).select(*columns)
+    main = spark.read.parquet(main_path)
+    held = main.join(new.select("order_id"), "order_id", "left_semi")
+    newest = held.groupBy("order_id").agg(F.max("event_ts").alias("_held_ts"))
+    new = cut_lineage(new.join(newest, "order_id", "left")
+                      .where(F.col("_held_ts").isNull() | (F.col("event_ts") >= F.col("_held_ts"))).drop("_held_ts"), "backfill-new")
+    keys = new.select("order_id")
+    days = cut_lineage(new.select(F.to_date("event_ts").alias("event_date"))
+                       .unionByName(main.join(keys, "order_id", "left_semi").select("event_date")).distinct(), "backfill-days")
+    day = days.select(F.col("event_date").alias("_day"))
+    before = main.join(day, main["event_date"].eqNullSafe(day["_day"]), "left_semi")
+    rows = before.join(keys, "order_id", "left_anti").drop("event_date").unionByName(new, allowMissingColumns=True)
+    lay.write_days(rows, f"{run}/rows")
+    staged = spark.read.schema(main.schema).parquet(f"{run}/rows")
+    # Days may gain any number of rows but lose none; keys are unique and have a time.
+    report = qc.quality_report(before, staged, ["order_id"], ["order_id", "event_ts"],
+                               max_change=float("inf"), max_null_rate=0.0, materialize=False)
+    if not qc.all_passed(report) or staged.count() < before.count():
         return False
     # dynamic overwrite: only the staged days are replaced in main
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy("event_date").parquet(main_path))
+    # A day that lost its last row has nothing to be replaced by: its folder goes (at most a few thousand days).
+    emptied = days.join(staged.select("event_date").distinct(), "event_date", "left_anti").where(F.col("event_date").isNotNull()).collect()
+    for r in emptied:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{main_path}/event_date={r['event_date']}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
     return True
 
 

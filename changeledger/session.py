@@ -16,7 +16,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.ui.enabled": "false",
 }
@@ -27,8 +26,9 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8,
     builder = SparkSession.builder.master(master).appName(app)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf["spark.driver.bindAddress"] = "127.0.0.1"
-    conf["spark.driver.host"] = "127.0.0.1"
+    if master.startswith("local"):      # executors elsewhere must reach the driver by its own address
+        conf["spark.driver.bindAddress"] = "127.0.0.1"
+        conf["spark.driver.host"] = "127.0.0.1"
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -62,6 +62,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        master = sc.master if sc is not None else "local"
+        if not master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = _LOCAL_FALLBACK.setdefault(id(spark), tempfile.mkdtemp(prefix="changeledger-ckpt-"))
     if sc is None:
         return configured
@@ -89,24 +92,10 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     pushdown), and the files survive the loss of any executor.
     """
     path = work_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
-# Largest key set broadcast to every executor: ~1M short keys is a hashed
-# relation of a few tens of MB; anything larger takes the shuffle path.
-BROADCAST_MAX_KEYS = 1_000_000
-
-
-def bounded(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    The check stops after ``max_rows + 1`` rows, so it is cheap even on a big
-    input; callers use it before broadcasting a side of a join.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 @contextlib.contextmanager
 def listing_parallelism(spark: SparkSession, tasks: int | None = None):
     """Bound the number of tasks Spark uses to list many partition folders.

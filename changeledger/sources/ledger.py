@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions.cdc import CHANGE_OUT
 from ..operators.changes import cdc_merge, compact_log, replay
-from ..session import BROADCAST_MAX_KEYS, bounded
 
 
 def committed_log(spark: SparkSession, root: str, upto: int | None = None) -> DataFrame:
@@ -20,9 +19,6 @@ def committed_log(spark: SparkSession, root: str, upto: int | None = None) -> Da
     if upto is not None:
         log = log.where(F.col("batch_id") <= upto)
         commits = commits.where(F.col("batch_id") <= upto)
-    # one commit row per micro-batch: broadcast (size checked) keeps the log unshuffled
-    if bounded(commits, BROADCAST_MAX_KEYS):
-        commits = F.broadcast(commits)
     return log.join(commits, "batch_id", "left_semi").select("batch_id", *CHANGE_OUT)
 
 
@@ -46,7 +42,7 @@ def _tail_split(spark: SparkSession, root: str, base: str, upto: int | None = No
     A tail row is late when its key already had a folded event with a higher or
     equal ``seq`` (O43).  Marks are per key, so ``seq`` only has to be ordered
     within a key — true for a key-partitioned topic with several partitions.
-    The tail's keys are broadcast when bounded, so the (table-sized) marks are
+    AQE broadcasts the tail's keys when they are few, so the (table-sized) marks are
     filtered without a shuffle.
     """
     b = spark.read.parquet(base)
@@ -55,8 +51,6 @@ def _tail_split(spark: SparkSession, root: str, base: str, upto: int | None = No
     if bb is not None:
         tail = tail.where(F.col("batch_id") > bb)
     keys = tail.select("order_id").distinct()
-    if bounded(tail.select("order_id"), BROADCAST_MAX_KEYS):
-        keys = F.broadcast(keys)
     marks = spark.read.parquet(_marks_path(base)).join(keys, "order_id", "left_semi")
     flagged = tail.join(marks, "order_id", "left") \
         .withColumn("_late", F.coalesce(F.col("seq") <= F.col("_mark"), F.lit(False)))
@@ -69,9 +63,14 @@ def state(spark: SparkSession, root: str, upto: int | None = None,
     """Table state: replay of the committed log, or merge-on-read over a base.
 
     With a base, the on-time tail is merged onto the base state (``cdc_merge``):
-    a bounded tail splits the base by a broadcast semi/anti join, so the base is
-    never shuffled.  Late tail rows are left out and reported by ``late_events``.
+    AQE broadcasts the folded tail when it is small, so the base is not
+    shuffled.  Late tail rows are left out and reported by ``late_events``.
+    A version older than the base is replayed from the log.
     """
+    if base is not None and upto is not None:
+        folded = spark.read.parquet(base).agg(F.max("base_batch")).first()[0]
+        if folded is not None and folded > upto:
+            base = None
     if base is None:
         return replay(committed_log(spark, root, upto).drop("batch_id"))
     b, on_time, _late = _tail_split(spark, root, base, upto)

@@ -71,7 +71,7 @@ def project_records(records: DataFrame, full_document_only: bool = False) -> Dat
     tomb = F.col("value").isNull() & F.col("key").isNotNull()
     value = F.when(tomb, F.to_json(F.struct(
         F.lit("delete").alias("operationType"),
-        F.struct(F.col("key").alias("_id")).alias("documentKey")))).otherwise(F.col("value"))
+        F.struct(F.col("key").cast("string").alias("_id")).alias("documentKey")))).otherwise(F.col("value"))
     src = records.select(F.col("offset").alias("seq"), value.alias("value"))
     parsed = parse_full_documents(src) if full_document_only else parse_envelope(src)
     return cdc_project(parsed)
@@ -87,7 +87,8 @@ def write_batch(projected: DataFrame, root: str, batch_id: int) -> int:
         "_payload", F.when(F.col("_reason").isNotNull(), F.col("_payload")))
     obs = Observation(f"ledger_batch_{batch_id}")
     out = out.observe(obs, F.sum(F.when(F.col("_lane") == "ok", 1).otherwise(0)).alias("ok"))
-    out.write.mode("overwrite").partitionBy("_lane").parquet(f"{root}/log/batch_id={batch_id}")
+    # static: a replayed batch replaces both lanes, also one that no longer occurs
+    out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("_lane").parquet(f"{root}/log/batch_id={batch_id}")
     return int(obs.get.get("ok") or 0)
 
 

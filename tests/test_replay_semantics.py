@@ -2,6 +2,7 @@
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+import pytest
 from pyspark.sql import functions as F
 
 from changeledger.operators import changes as ch
@@ -110,24 +111,63 @@ def test_diff_from_log_equals_diff_of_full_versions(spark):
         assert sorted(map(tuple, full.collect())) == sorted(map(tuple, fast.collect()))
 
 
-def test_merge_and_upsert_fallback_paths_match_broadcast_paths(spark, monkeypatch):
-    """Above the broadcast bound the plans change (single shuffle, no join); results must not."""
-    from changeledger.operators import merge as mg
+def test_merge_equals_replay_of_the_whole_log(spark):
     from changeledger.sources import testdata as td
-    sf = "/root/testdata/sf0.001"
-    log = td.cdc_flat(spark, sf)
+    log = td.cdc_flat(spark, "/root/testdata/sf0.001")
     cut = F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")
     state = ch.replay(log.where(F.col("event_ts") < cut))
-    batch = log.where(F.col("event_ts") >= cut)
-    target = td.orders_src(spark, sf).select(*td.ORDER_FIELDS)
-    delta = td.orders_delta(spark, sf)
-    fast_merge = set(map(tuple, ch.cdc_merge(state, batch).collect()))
-    fast_upsert = set(map(tuple, mg.snapshot_upsert(target, delta, "order_id",
-                                                    ["event_ts", "src_file"]).collect()))
-    monkeypatch.setattr(ch, "BROADCAST_KEYS", 0)
-    slow_merge = ch.cdc_merge(state, batch)
-    assert set(map(tuple, slow_merge.collect())) == fast_merge == \
-        set(map(tuple, ch.replay(log).collect()))
-    slow_upsert = mg.snapshot_upsert(target, delta, "order_id", ["event_ts", "src_file"],
-                                     broadcast_keys=0)
-    assert set(map(tuple, slow_upsert.collect())) == fast_upsert
+    merged = ch.cdc_merge(state, log.where(F.col("event_ts") >= cut))
+    assert set(map(tuple, merged.collect())) == set(map(tuple, ch.replay(log).collect()))
+
+
+PLANS = [{"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"},
+         {"spark.sql.autoBroadcastJoinThreshold": "10m"}]
+
+
+def with_conf(spark, conf, run):
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        return run()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("conf", PLANS)
+def test_upsert_keeps_null_and_repeated_target_keys(spark, conf):
+    from changeledger.operators import merge as mg
+    target = spark.createDataFrame([(None, 1), (None, 2), ("a", 3), ("a", 4), ("b", 5)], "order_id string, v int")
+    source = spark.createDataFrame([("b", 6, 1), ("b", 7, 2), ("c", 8, 1), (None, 9, 1), (None, 9, 1)], "order_id string, v int, t int")
+    got = with_conf(spark, conf, lambda: sorted(map(tuple, mg.snapshot_upsert(target, source, "order_id", ["t"]).collect()), key=str))
+    assert got == sorted([(None, 1), (None, 2), (None, 9), (None, 9), ("a", 3), ("a", 4), ("b", 7), ("c", 8)], key=str)
+
+
+@pytest.mark.parametrize("conf", PLANS)
+def test_cdc_merge_keeps_null_and_repeated_state_keys(spark, conf):
+    state = spark.createDataFrame([(None, "s", 1.0), (None, "s", 1.0), ("a", "s", 1.0), ("a", "t", 2.0), ("b", "s", 3.0), ("b", "u", 4.0),
+                                   ("d", "s", 5.0), ("e", "s", 6.0)], "order_id string, status string, amount double")
+    batch = spark.createDataFrame([(1, "a", "update", None, 9.0), (2, "b", "delete", None, None), (3, "c", "insert", "n", None),
+                                   (4, "d", "delete", None, None), (5, "d", "insert", None, 7.0), (6, "x", "delete", None, None),
+                                   (7, None, "insert", "z", 1.0), (8, "y", "insert", "k", 1.0), (9, "y", "delete", None, None)],
+                                  "seq long, order_id string, op string, status string, amount double")
+    got = with_conf(spark, conf, lambda: sorted(map(tuple, ch.cdc_merge(state, batch).collect()), key=str))
+    assert got == sorted([(None, "s", 1.0), (None, "s", 1.0), ("a", "s", 9.0), ("a", "t", 9.0), ("c", "n", None), ("d", None, 7.0),
+                          ("e", "s", 6.0)], key=str)
+
+
+def test_no_plan_counts_a_limit_in_one_task(spark):
+    from changeledger.operators import merge as mg
+    target = spark.range(10).selectExpr("cast(id as string) order_id", "id v")
+    df = mg.snapshot_upsert(target, target, "order_id", ["v"])
+    assert "GlobalLimit" not in df._jdf.queryExecution().toString()
+
+
+def test_refresh_of_the_null_merchant(spark):
+    from changeledger.operators import aggregates as ag
+    now = spark.createDataFrame([("m", 1.0), (None, 2.0), (None, 3.0)], "merchant_id string, amount double")
+    stored = spark.createDataFrame([("m", 1.0, 1), (None, 1.0, 1)], "merchant_id string, sum_amount double, order_count long")
+    touched = spark.createDataFrame([(None,)], "merchant_id string")
+    got = sorted(map(tuple, ag.merchant_totals_refresh(stored, now, touched).collect()), key=str)
+    assert got == sorted(map(tuple, ag.merchant_totals(now).collect()), key=str)
