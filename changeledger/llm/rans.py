@@ -35,8 +35,8 @@ SCALE_BITS = 20
 #: Coder states stay in [2**31, 2**63) and move 32 bits at a time.
 STATE_LOW = np.uint64(1 << 31)
 BLOCK_TOKENS = 262_144
-MAX_LANES = 1024
-CHECKPOINT_ROWS = 64
+MAX_LANES = 2048
+CHECKPOINT_ROWS = 32
 COUNTS = -1
 
 _TOKEN_SCHEMA = "part int, pstart long, doc_id long, n int, ids binary"

@@ -8,7 +8,9 @@ memo, and the library encodes each missing one once.
 
 from __future__ import annotations
 
+import gc
 import os
+from itertools import chain
 from unicodedata import is_normalized, normalize
 
 import numpy as np
@@ -65,7 +67,7 @@ class Encoder:
         # A vocabulary that drops white space has no ids for it; one that keeps it glues a space to the next word.
         self.keeps_space = bool(len(self._whole(" ")))
         self.folds_case = self._whole("A").tolist() == self._whole("a").tolist()
-        self.tails: dict[str, bytes] = {}
+        self.tails: dict[str, list[int]] = {}
         self._forget()
 
     def _forget(self) -> None:
@@ -77,57 +79,61 @@ class Encoder:
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype)
 
-    def _each(self, chunks: list[str]) -> list[bytes]:
+    def _each(self, chunks: list[str]) -> list[list[int]]:
         """Ids of chunks that stand alone, by one call of the library."""
         done = self.tokenizer.encode(chunks, is_pretokenized=True, add_special_tokens=False)
-        raw, word = np.array(done.ids, self.dtype).tobytes(), np.array(done.word_ids, np.int64)
-        cut = (np.searchsorted(word, np.arange(len(chunks) + 1)) * self.dtype.itemsize).tolist()
-        return [raw[i:j] for i, j in zip(cut, cut[1:])]
-
-    def _letters(self, core: str) -> bytes | None:
-        """Ids of a chunk that the vocabulary's preparation leaves as it is, one run of Latin letters: its merges alone."""
-        letters = core[1:] if core[:1] == "\r" and self.keeps_space else core
-        if not letters.isalpha() or max(letters) > LAST_LATIN or not is_normalized("NFC", letters) \
-                or self.folds_case and letters.lower() != letters:
-            return None
-        text = self._plain(core).encode().decode("latin-1").translate(_BYTE_CHARS)
-        return np.array([t.id for t in self.tokenizer.model.tokenize(text)], self.dtype).tobytes()
-
-    def _tail(self, tail: str) -> bytes:
+        ids, word = done.ids, np.array(done.word_ids, np.int64)
+        cut = np.searchsorted(word, np.arange(len(chunks) + 1)).tolist()
+        return [ids[i:j] for i, j in zip(cut, cut[1:])]
+
+    def _letters(self, cores: list[str]) -> dict[str, list[int]]:
+        """Ids of those chunks that the vocabulary's preparation leaves as they are, one run of Latin letters: its merges alone."""
+        merge, out = self.tokenizer.model.tokenize, {}
+        space = "\u0120" if self.keeps_space else ""  # how byte-level vocabularies spell a space
+        for core in cores:
+            if core.isascii():
+                if core.isalpha() and (not self.folds_case or core.islower()):
+                    out[core] = [t.id for t in merge(space + core)]
+            elif core.isalpha() and max(core) <= LAST_LATIN and is_normalized("NFC", core) and not (self.folds_case and core.lower() != core):
+                out[core] = [t.id for t in merge(space + core.encode().decode("latin-1").translate(_BYTE_CHARS))]
+        return out
+
+    def _tail(self, tail: str) -> list[int]:
         if tail not in self.tails:
             if len(self.tails) > 10_000:
                 self.tails.clear()
-            self.tails[tail] = self._whole(tail).tobytes()
+            self.tails[tail] = self._whole(tail).tolist()
         return self.tails[tail]
 
-    def _of(self, number: int) -> bytes:
-        return self.ids[self.ends[number]:self.ends[number + 1]].tobytes()
+    def _of(self, number: int) -> list[int]:
+        return self.ids[self.ends[number]:self.ends[number + 1]].tolist()
 
     def _learn(self, missing: list[str]) -> None:
         """Remember new chunks.  Punctuation after a letter is merged apart from it, so "word," needs "word" and ","."""
         core_of = {}
         for c in missing:
-            core = c.rstrip(_TAIL)
-            if len(core) == len(c) or not core or not _still_letter(core[-1]):
+            if c.isalpha():
                 core = c
+            else:
+                core = c.rstrip(_TAIL)
+                if len(core) == len(c) or not core or not _still_letter(core[-1]):
+                    core = c
             core_of[c] = core.lower() if self.folds_case and core.isascii() else core
         cores = set(core_of.values())
         known = {c: self._of(self.memo[c]) for c in cores if c in self.memo}
-        ask = list(cores - known.keys())
-        new = [self._letters(c) for c in ask]
-        known.update((c, ids) for c, ids in zip(ask, new) if ids is not None)
-        odd = [c for c, ids in zip(ask, new) if ids is None]
+        ask = [c for c in cores if c not in known]
+        known.update(self._letters(ask))
+        odd = [c for c in ask if c not in known]
         known.update(zip(odd, self._each([self._plain(c) for c in odd])))
-        new = {c: known[core] + (self._tail(c[len(core):]) if len(core) < len(c) else b"") for c, core in core_of.items()}
+        new = {c: known[core] + self._tail(c[len(core):]) if len(core) < len(c) else known[core] for c, core in core_of.items()}
         new.update((c, known[c]) for c in ask)
-        n, data = len(self.memo), np.frombuffer(b"".join(new.values()), self.dtype)
-        size = np.cumsum(np.fromiter(map(len, new.values()), np.int32, len(new)) // self.dtype.itemsize)
-        at = int(self.ends[n])
-        while at + len(data) > len(self.ids):
+        n, size = len(self.memo), np.cumsum(np.fromiter(map(len, new.values()), np.int32, len(new)))
+        at, total = int(self.ends[n]), int(size[-1])
+        while at + total > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while n + len(new) + 1 > len(self.ends):
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        self.ids[at:at + len(data)] = data
+        self.ids[at:at + total] = np.fromiter(chain.from_iterable(new.values()), self.dtype, total)
         self.ends[n + 1:n + 1 + len(new)] = at + size
         self.memo.update(zip(new, range(n, n + len(new))))
 
@@ -189,7 +195,13 @@ class Encoder:
         while cuts[-1] < len(texts):
             before = size[cuts[-1] - 1] if cuts[-1] else 0
             cuts.append(max(cuts[-1] + 1, int(np.searchsorted(size, before + BATCH_BYTES, side="right"))))
-        parts = [self._batch(texts.slice(i, j - i)) for i, j in zip(cuts, cuts[1:])]
+        collects = gc.isenabled()
+        gc.disable()  # many short lists and no cycles: the collector would walk them all in vain
+        try:
+            parts = [self._batch(texts.slice(i, j - i)) for i, j in zip(cuts, cuts[1:])]
+        finally:
+            if collects:
+                gc.enable()
         base = np.concatenate([[0], np.cumsum([len(p[0]) for p in parts])]).astype(np.int64)
         ids = np.concatenate([np.zeros(0, self.dtype), *(p[0] for p in parts)])
         return ids, np.concatenate([np.zeros(0, np.int64), *(p[1] + b for p, b in zip(parts, base))])
