@@ -18,9 +18,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Chunks remembered per worker; beyond it the memo starts anew (memory bound, no effect on the ids).
-MEMO_CHUNKS = 1_200_000
+MEMO_CHUNKS = 1_500_000
 #: Bytes of text handled at once.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 16 << 20
 
 #: White space other than single spaces and line ends inside the text; texts with any go to the library whole.
 _ODD_SPACE = (r"[\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -110,23 +110,22 @@ class Encoder:
 
     def _learn(self, missing: list[str]) -> None:
         """Remember new chunks.  Punctuation after a letter is merged apart from it, so "word," needs "word" and ","."""
-        core_of = {}
+        core_of, cores = {}, set()
         for c in missing:
-            if c.isalpha():
+            if c.isalpha() and (not self.folds_case or c.islower()):
+                cores.add(c)
+                continue
+            core = c.rstrip(_TAIL)
+            if len(core) == len(c) or not core or not _still_letter(core[-1]):
                 core = c
-            else:
-                core = c.rstrip(_TAIL)
-                if len(core) == len(c) or not core or not _still_letter(core[-1]):
-                    core = c
-            core_of[c] = core.lower() if self.folds_case and core.isascii() else core
-        cores = set(core_of.values())
-        known = {c: self._of(self.memo[c]) for c in cores if c in self.memo}
-        ask = [c for c in cores if c not in known]
-        known.update(self._letters(ask))
-        odd = [c for c in ask if c not in known]
-        known.update(zip(odd, self._each([self._plain(c) for c in odd])))
-        new = {c: known[core] + self._tail(c[len(core):]) if len(core) < len(c) else known[core] for c, core in core_of.items()}
-        new.update((c, known[c]) for c in ask)
+            core_of[c] = core = core.lower() if self.folds_case and core.isascii() else core
+            cores.add(core)
+        new = self._letters([c for c in cores if c not in self.memo])
+        odd = [c for c in cores if c not in new and c not in self.memo]
+        new.update(zip(odd, self._each([self._plain(c) for c in odd])))
+        for c, core in core_of.items():
+            ids = new[core] if core in new else self._of(self.memo[core])
+            new[c] = ids + self._tail(c[len(core):]) if len(core) < len(c) else ids
         n, size = len(self.memo), np.cumsum(np.fromiter(map(len, new.values()), np.int32, len(new)))
         at, total = int(self.ends[n]), int(size[-1])
         while at + total > len(self.ids):
