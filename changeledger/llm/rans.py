@@ -12,8 +12,8 @@ File format, three Parquet datasets in one folder:
 Parquet is the container, so the writer's commit protocol drops the output of lost or repeated tasks, and
 any store that Spark reaches will do.
 
-Defined results: a null text counts as empty and has the end id alone; null ids come first; repeated ids are
-ordered by text hash and text; an empty table gives three empty datasets and no rows; other columns are not read.
+Defined results: a null text counts as empty and has the end id alone; null ids come first; repeated ids
+follow their row numbers; an empty table gives three empty datasets and no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -166,8 +166,8 @@ def tokenise(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"),
                        F.monotonically_increasing_id().alias("rid"))
     # The row id lets one repeated document id spread over many ranges.
-    key = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.col("text"), F.col("rid")]
-    rows = rows.repartitionByRange(key[0], key[1], key[3]).sortWithinPartitions(*key)
+    key = [F.col("doc_id").asc_nulls_first(), F.col("rid")]
+    rows = rows.repartitionByRange(*key).sortWithinPartitions(*key)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, at = encoder(vocabulary), TaskContext.get().partitionId(), 0
@@ -263,10 +263,10 @@ _ARROW_BLOCK = pa.schema([
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
     """Decode all blocks: one row per piece of a document (doc_id, start, before, after, ids as bytes of 32 bits)."""
-    def emit(row: dict, first: int, values: np.ndarray) -> Iterator[tuple]:
-        data, at = values.astype("<u4").tobytes(), 0
+    def emit(row: dict, first: int, data: memoryview) -> Iterator[tuple]:
+        at = 0
         for d in row["docs"]:
-            yield (d["doc_id"], first + d["pstart"], d["before"], d["n"], d["after"], data[at:at + 4 * d["n"]])
+            yield (d["doc_id"], first + d["pstart"], d["before"], d["n"], d["after"], bytes(data[at:at + 4 * d["n"]]))
             at += 4 * d["n"]
 
     return _decoded(spark, folder, emit, "doc_id long, start long, before long, n int, after long, ids binary")
@@ -274,8 +274,8 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
 
 def digests(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 per document, from the files; checksums of pieces are combined."""
-    def emit(row: dict, first: int, values: np.ndarray) -> Iterator[tuple]:
-        data, at = memoryview(values.astype("<u4").tobytes()), 0
+    def emit(row: dict, first: int, data: memoryview) -> Iterator[tuple]:
+        at = 0
         for d in row["docs"]:
             crc = zlib.crc32(data[at:at + 4 * d["n"]])
             yield (d["doc_id"], first + d["pstart"], d["n"], crc32_shift(crc, 4 * d["after"]))
@@ -303,9 +303,10 @@ def _decoded(spark: SparkSession, folder: str, emit, schema: str) -> DataFrame:
         for b in slices(batches, 1):
             row = b.to_pylist()[0]
             values = coder.decode(row["n"], row["lanes"], row["states"], row["words"], row["checkpoints"])
-            if zlib.crc32(values.astype("<u4").tobytes()) != row["crc32"]:
+            data = memoryview(values.astype("<u4", copy=False)).cast("B")
+            if zlib.crc32(data) != row["crc32"]:
                 raise ValueError(f"block at {row['part']}, {row['pstart']}: checksum differs")
-            rows = list(zip(*emit(row, first[row["part"]], values)))
+            rows = list(zip(*emit(row, first[row["part"]], data)))
             yield pa.record_batch([pa.array(c, t) for c, t in zip(rows, arrow.types)], names)
 
     return spark.read.parquet(f"{folder}/blocks").mapInArrow(run, schema)

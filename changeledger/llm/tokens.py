@@ -18,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Chunks remembered per worker; beyond it the memo starts anew (memory bound, no effect on the ids).
-MEMO_CHUNKS = 1_500_000
+MEMO_CHUNKS = 1_400_000
 #: Bytes of text handled at once.
 BATCH_BYTES = 16 << 20
 
@@ -169,11 +169,16 @@ class Encoder:
         number = np.array(found, np.int32)
         begin, size = self.ends[number], self.ends[number + 1] - self.ends[number]
         index = chunks.indices.to_numpy()
-        n = size[index]
-        end = np.cumsum(n, dtype=np.int64)
-        total = int(end[-1]) if len(end) else 0
-        ids = self.ids[np.repeat((begin[index] - (end - n)).astype(np.int32), n) + np.arange(total, dtype=np.int32)]
+        end = np.cumsum(size[index], dtype=np.int32)
         ends = np.concatenate([[0], end])[lists.offsets.to_numpy()[1:] - lists.offsets[0].as_py()]
+        del end
+        parts = [np.zeros(0, self.dtype)]
+        for at in range(0, len(index), 1 << 18):  # in slices, as the places of ids take more room than the text
+            i = index[at:at + (1 << 18)]
+            n = size[i]
+            end = np.cumsum(n, dtype=np.int32)
+            parts.append(self.ids[np.repeat(begin[i] - (end - n), n) + np.arange(end[-1], dtype=np.int32)])
+        ids = np.concatenate(parts)
         if odd:
             parts, at = [], 0
             whole = {i: self._whole(texts[i].as_py()) for i in odd}
