@@ -42,7 +42,7 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int, with_id
     """Pieces of at most ``capacity`` ids of every document (its ids, then ``end_id``), with their CRC-32 as 32-bit ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocabulary)
-        for b in slices(batches, 4000):
+        for b in slices(batches, 1000):
             out = []
             ids, ends = enc.encode_ended(b.column("text"), end_id)
             data, at = memoryview(ids.astype("<u4").tobytes()), 0

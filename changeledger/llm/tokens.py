@@ -18,9 +18,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Chunks remembered per worker; beyond it the memo starts anew (memory bound, no effect on the ids).
-MEMO_CHUNKS = 1_400_000
+MEMO_CHUNKS = 700_000
 #: Bytes of text handled at once.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 #: White space other than single spaces and line ends inside the text; texts with any go to the library whole.
 _ODD_SPACE = (r"[\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -56,7 +56,8 @@ def vocabulary_path(name: str) -> str:
 class Encoder:
     """``encode(texts)`` gives the ids of an Arrow string array as one numpy array of ``dtype``, and each text's end in it."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memo_chunks: int | None = None, batch_bytes: int | None = None):
+        self.memo_chunks, self.batch_bytes = memo_chunks or MEMO_CHUNKS, batch_bytes or BATCH_BYTES
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -143,7 +144,7 @@ class Encoder:
         return chunk[1:] if chunk[:1] == "\r" else " " + chunk
 
     def _batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.memo) > MEMO_CHUNKS:
+        if len(self.memo) > self.memo_chunks:
             self._forget()
         odd = []
         if self.keeps_space:
@@ -198,7 +199,7 @@ class Encoder:
         cuts = [0]
         while cuts[-1] < len(texts):
             before = size[cuts[-1] - 1] if cuts[-1] else 0
-            cuts.append(max(cuts[-1] + 1, int(np.searchsorted(size, before + BATCH_BYTES, side="right"))))
+            cuts.append(max(cuts[-1] + 1, int(np.searchsorted(size, before + self.batch_bytes, side="right"))))
         collects = gc.isenabled()
         gc.disable()  # many short lists and no cycles: the collector would walk them all in vain
         try:
@@ -222,8 +223,9 @@ class Encoder:
         return [raw[i:j] for i, j in zip(cut, cut[1:])]
 
 
-def encoder(path: str) -> Encoder:
-    """The encoder of a vocabulary file, loaded once per Python worker."""
-    if path not in _LOADED:
-        _LOADED[path] = Encoder(path)
-    return _LOADED[path]
+def encoder(path: str, memo_chunks: int | None = None, batch_bytes: int | None = None) -> Encoder:
+    """The encoder of a vocabulary file, loaded once per Python worker; the limits trade memory for speed only."""
+    key = f"{path}|{memo_chunks}|{batch_bytes}"
+    if key not in _LOADED:
+        _LOADED[key] = Encoder(path, memo_chunks, batch_bytes)
+    return _LOADED[key]
