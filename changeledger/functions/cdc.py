@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import (DELETE_OP, DLQ_SUFFIX, ENVELOPE, FULL_DOCUMENT, TOPIC_INFIX,
                        UPSERT_OPS)
 
 PARSED = "_env"
+CORRUPT = "_corrupt_record"
 
 
 def to_ts(c: Column) -> Column:
@@ -55,24 +57,31 @@ def stamp_ingestion(df: DataFrame, run_ts: str | None = None) -> DataFrame:
     return df.withColumn("ingestion_ts", ts)
 
 
+def read_json(text: Column, schema: T.StructType) -> Column:
+    """JSON text → struct; its ``_corrupt_record`` keeps text that is no JSON or has a field of another type."""
+    fields = [*schema.fields, T.StructField(CORRUPT, T.StringType())]
+    return F.from_json(text, T.StructType(fields), {"columnNameOfCorruptRecord": CORRUPT})
+
+
 def parse_envelope(df: DataFrame, value: str = "value", schema=ENVELOPE) -> DataFrame:
-    """Payload bytes/text → envelope struct columns."""
+    """Payload bytes/text → envelope struct columns and ``_corrupt_record``."""
     keep = [c for c in df.columns if c != value]
     parsed = df.select(*keep, F.col(value).cast("string").alias("_payload"),
-                       F.from_json(F.col(value).cast("string"), schema).alias(PARSED))
+                       read_json(F.col(value).cast("string"), schema).alias(PARSED))
     return parsed.select(*keep, "_payload", f"{PARSED}.*")
 
 
 def parse_full_documents(df: DataFrame, value: str = "value") -> DataFrame:
     """Source that only publishes full documents (O06): each becomes an ``update``."""
     keep = [c for c in df.columns if c != value]
-    doc = F.from_json(F.col(value).cast("string"), FULL_DOCUMENT)
+    doc = read_json(F.col(value).cast("string"), FULL_DOCUMENT)
     return df.select(
         *keep, F.col(value).cast("string").alias("_payload"),
         F.when(doc.isNotNull(), F.lit("update")).alias("operationType"),
         doc.alias("fullDocument"),
         F.struct(doc.getField("_id").alias("_id")).alias("documentKey"),
-        F.lit(None).cast("string").alias("clusterTime"))
+        F.lit(None).cast("string").alias("clusterTime"),
+        doc.getField(CORRUPT).alias(CORRUPT))
 
 
 def cdc_project(env: DataFrame, seq: str = "seq") -> DataFrame:
@@ -80,9 +89,12 @@ def cdc_project(env: DataFrame, seq: str = "seq") -> DataFrame:
 
     key = coalesce(fullDocument.order_id, documentKey._id),
     event_ts = coalesce(fullDocument.event_ts, clusterTime).
-    ``_reason`` is null for usable rows and names the defect otherwise.
+    ``_reason`` is null for usable rows and names the defect otherwise.  ``source_id``
+    is the database id, by which deletes are matched with earlier documents
+    (``operators.changes.resolve_deletes``).
     """
     doc = F.col("fullDocument")
+    corrupt = F.col(CORRUPT).isNotNull() if CORRUPT in env.columns else F.lit(False)
     ts_text = F.coalesce(doc.getField("event_ts"), F.col("clusterTime"))
     ts = to_ts(ts_text)
     op = F.col("operationType")
@@ -93,7 +105,8 @@ def cdc_project(env: DataFrame, seq: str = "seq") -> DataFrame:
                .when(op.isNull(), "null_operation")
                .when(~op.isin(DELETE_OP, *UPSERT_OPS), "unknown_operation")
                .when(key.isNull(), "null_key")
-               # a delete needs no time: the key goes, whatever its clock says
+               # a delete needs its key alone: neither the clock nor other fields
+               .when((op != DELETE_OP) & corrupt, "wrong_type")
                .when((op != DELETE_OP) & ts_text.isNotNull() & ts.isNull(), "bad_timestamp"))
     return env.select(
         F.col(seq).cast("long").alias("seq"),
@@ -104,6 +117,7 @@ def cdc_project(env: DataFrame, seq: str = "seq") -> DataFrame:
         doc.getField("amount").alias("amount"),
         doc.getField("currency").alias("currency"),
         ts.alias("event_ts"),
+        F.coalesce(F.col("documentKey").getField("_id"), doc.getField("_id")).alias("source_id"),
         reason.alias("_reason"),
         F.col("_payload"),
     )

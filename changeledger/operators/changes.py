@@ -30,6 +30,65 @@ def _is_upsert(op: str) -> Column:
     return F.col(op).isin(*UPSERT_OPS)
 
 
+def accumulators(value_cols: list[str], live: Column, prefix: str = "", seq: str = "seq",
+                 op: str = "op") -> list[Column]:
+    """What a fold keeps of a key's ``live`` rows: the last delete, the last upsert, and
+    each column's last non-null value with its ``seq``."""
+    is_del, is_up = _is_delete(op) & live, _is_upsert(op) & live
+    aggs = [F.max(F.when(is_del, F.col(seq))).alias(f"{prefix}_last_del"),
+            F.max(F.when(is_up, F.col(seq))).alias(f"{prefix}_last_up")]
+    for c in value_cols:
+        at = F.when(is_up & F.col(c).isNotNull(), F.col(seq))
+        aggs.append(F.max_by(F.col(c), at).alias(f"{prefix}{c}"))
+        aggs.append(F.max(at).alias(f"{prefix}_seq_{c}"))
+    return aggs
+
+
+def _floor(prefix: str) -> Column:
+    return F.coalesce(F.col(f"{prefix}_last_del"), F.lit(STATE_SEQ - 1))
+
+
+def exists(prefix: str = "") -> Column:
+    """A folded key exists when an upsert follows its last delete."""
+    return F.coalesce(F.col(f"{prefix}_last_up") > _floor(prefix), F.lit(False))
+
+
+def current(c: str, prefix: str = "") -> Column:
+    """A folded key's value of column ``c``: the last one, unless a delete followed it."""
+    return F.when(F.col(f"{prefix}_seq_{c}") > _floor(prefix), F.col(f"{prefix}{c}"))
+
+
+def fold(changes: DataFrame, key: str = KEY, value_cols: list[str] | None = None,
+         seq: str = "seq", op: str = "op") -> DataFrame:
+    """The accumulators of every key, deleted keys included."""
+    value_cols = value_cols or [c for c in VALUE_COLUMNS if c in changes.columns]
+    changes = changes.where(F.col(key).isNotNull())   # keyless events are dead letters
+    return changes.groupBy(key).agg(*accumulators(value_cols, F.lit(True), seq=seq, op=op))
+
+
+def folded_state(folded: DataFrame, key: str = KEY, value_cols: list[str] | None = None) -> DataFrame:
+    """The rows that a fold says exist."""
+    value_cols = value_cols or [c for c in VALUE_COLUMNS if c in folded.columns]
+    return folded.where(exists()).select(key, *[current(c).alias(c) for c in value_cols])
+
+
+def merge_folds(base: DataFrame, tail: DataFrame, key: str = KEY,
+                value_cols: list[str] | None = None) -> DataFrame:
+    """The fold of two logs from their folds, whatever the order in which rows arrived.
+
+    The joins carry no hint: AQE broadcasts a small tail, so the base is not shuffled.
+    """
+    value_cols = value_cols or [c for c in VALUE_COLUMNS if c in base.columns]
+    new = tail.select(key, *[F.col(c).alias(f"_t_{c}") for c in tail.columns if c != key])
+    merged = [F.greatest(c, f"_t_{c}").alias(c) for c in ("_last_del", "_last_up")]
+    for c in value_cols:
+        newer = F.col(f"_t__seq_{c}") > F.coalesce(F.col(f"_seq_{c}"), F.lit(STATE_SEQ - 1))
+        merged.append(F.when(newer, F.col(f"_t_{c}")).otherwise(F.col(c)).alias(c))
+        merged.append(F.greatest(f"_seq_{c}", f"_t__seq_{c}").alias(f"_seq_{c}"))
+    held = base.join(tail.select(key), key, "left_semi").select(key)
+    return base.join(new, key, "left").select(key, *merged).unionByName(tail.join(held, key, "left_anti"))
+
+
 def replay(changes: DataFrame, key: str = KEY, value_cols: list[str] | None = None,
            seq: str = "seq", op: str = "op") -> DataFrame:
     """Current state of every key from a change log.
@@ -38,18 +97,34 @@ def replay(changes: DataFrame, key: str = KEY, value_cols: list[str] | None = No
     MERGE whose branches never match them.
     """
     value_cols = value_cols or [c for c in VALUE_COLUMNS if c in changes.columns]
-    changes = changes.where(F.col(key).isNotNull())   # keyless events are dead letters
-    is_del, is_up = _is_delete(op), _is_upsert(op)
-    aggs = [F.max(F.when(is_del, F.col(seq))).alias("_last_del"),
-            F.max(F.when(is_up, F.col(seq))).alias("_last_up")]
-    for c in value_cols:
-        at = F.when(is_up & F.col(c).isNotNull(), F.col(seq))
-        aggs.append(F.max_by(F.col(c), at).alias(c))
-        aggs.append(F.max(at).alias(f"_seq_{c}"))
-    folded = changes.groupBy(key).agg(*aggs)
-    floor = F.coalesce(F.col("_last_del"), F.lit(STATE_SEQ - 1))
-    return folded.where(F.col("_last_up") > floor).select(
-        key, *[F.when(F.col(f"_seq_{c}") > floor, F.col(c)).alias(c) for c in value_cols])
+    return folded_state(fold(changes, key, value_cols, seq, op), key, value_cols)
+
+
+def _keyed_by_id() -> Column:
+    """A delete that brought the database id alone."""
+    return F.coalesce(_is_delete("op") & (F.col(KEY) == F.col("source_id")), F.lit(False))
+
+
+def id_deletes(rows: DataFrame) -> DataFrame:
+    return rows.where(_keyed_by_id())
+
+
+def id_pairs(rows: DataFrame) -> DataFrame:
+    """Which business keys each database id's documents had, and since which ``seq``."""
+    return (rows.where(_is_upsert("op") & F.col("source_id").isNotNull())
+                .groupBy("source_id", KEY).agg(F.min("seq").alias("first_seq")))
+
+
+def resolve_deletes(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Deletes that carry a database id get the business keys of that id's earlier documents.
+
+    A delete without an earlier document keeps the id as its key.
+    """
+    known = pairs.select(F.col("source_id").alias("_sid"), F.col(KEY).alias("_key"), "first_seq")
+    found = (id_deletes(rows)
+             .join(known, (F.col("source_id") == F.col("_sid")) & (F.col("seq") > F.col("first_seq")), "left")
+             .withColumn(KEY, F.coalesce("_key", KEY)).select(rows.columns))
+    return rows.where(~_keyed_by_id()).unionByName(found)
 
 
 def state_as_changes(state: DataFrame, key: str = KEY, value_cols: list[str] | None = None,

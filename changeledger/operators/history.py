@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schemas import DEFAULT_RETENTION_DAYS
-from .changes import replay
+from .changes import VALUE_COLUMNS, accumulators, current, exists, replay
 
 
 def commits_by_day(changes: DataFrame, ts: str = "event_ts") -> DataFrame:
@@ -80,26 +80,34 @@ def snapshot_at(commits: DataFrame, ts: str) -> int | None:
     return None if row is None else row[0]
 
 
+def with_batches(changes: DataFrame, commits: DataFrame, ts: str = "event_ts",
+                 batch: str = "batch_id") -> DataFrame:
+    """Mark each change with the snapshot of ``commits_by_day`` that brought it."""
+    days = commits.select(F.col("snapshot_id").alias(batch),
+                          F.date_sub(F.col("committed_at").cast("date"), 1).alias("_day"))
+    return changes.join(days, F.to_date(ts) == F.col("_day"), "left").drop("_day")
+
+
 def as_of_version(changes: DataFrame, commits: DataFrame, version: int,
-                  ts: str = "event_ts") -> DataFrame:
-    """State of the table at snapshot ``version``."""
-    cut = commit_time(commits, version)
-    return replay(changes.where(F.col(ts) < ts_lit(cut)))
+                  batch: str = "batch_id") -> DataFrame:
+    """State of the table at snapshot ``version`` (O45): the changes of the commits up to it,
+    whatever their own times say."""
+    commit_time(commits, version)       # an unknown version raises
+    return replay(changes.where(F.col(batch) <= version))
 
 
 def as_of_timestamp(changes: DataFrame, commits: DataFrame, at: str,
-                    ts: str = "event_ts") -> DataFrame:
+                    batch: str = "batch_id") -> DataFrame:
     """State at a point in time: newest commit not after ``at``."""
-    # one job: the newest commit time not after `at` is the cut itself
-    cut = (commits.where(F.col("committed_at") <= F.lit(at).cast("timestamp_ntz"))
-                  .agg(F.max("committed_at")).first()[0])
-    if cut is None:
+    version = snapshot_at(commits, at)
+    if version is None:
         return replay(changes.limit(0))
-    return replay(changes.where(F.col(ts) < ts_lit(cut)))
+    return replay(changes.where(F.col(batch) <= version))
 
 
 def tag_snapshots(spark: SparkSession, commits: DataFrame, policy: list[tuple[str, str]]) -> DataFrame:
-    """Resolve tag policy ``(tag, 'latest' | 'first' | <id>)`` to snapshot ids."""
+    """Resolve tag policy ``(tag, 'latest' | 'first' | <id>)`` to snapshot ids (O47); an unknown id raises."""
+    commit_times(commits, [int(spec) for _, spec in policy if spec not in ("latest", "first")])
     ends = commits.agg(
         F.max_by("snapshot_id", F.struct("committed_at", "snapshot_id")).alias("latest"),
         F.min_by("snapshot_id", F.struct("committed_at", "snapshot_id")).alias("first")).first()
@@ -114,10 +122,15 @@ def tag_snapshots(spark: SparkSession, commits: DataFrame, policy: list[tuple[st
 
 def as_of_tag(changes: DataFrame, commits: DataFrame, tags: DataFrame, tag: str) -> DataFrame:
     """Table frozen at a tag."""
+    return as_of_version(changes, commits, tagged(tags, tag))
+
+
+def tagged(tags: DataFrame, tag: str) -> int:
+    """The snapshot id of a tag."""
     row = tags.where(F.col("tag") == tag).select("snapshot_id").first()
     if row is None:
         raise ValueError(f"unknown tag {tag}")
-    return as_of_version(changes, commits, row[0])
+    return row[0]
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str = "order_id") -> DataFrame:
@@ -143,22 +156,27 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str = "order_id") -> Data
 
 
 def diff_versions(changes: DataFrame, commits: DataFrame, v_from: int, v_to: int,
-                  key: str = "order_id", ts: str = "event_ts") -> DataFrame:
-    """Diff of two snapshots computed from the log between them (O49 at scale).
+                  key: str = "order_id", batch: str = "batch_id") -> DataFrame:
+    """Diff of two snapshots, older → newer, computed from the log (O49 at scale).
 
-    Only keys with a change committed in ``(v_from, v_to]`` can differ, so both
-    versions are replayed for those keys alone; AQE broadcasts a small key set, and
-    the cost then follows the number of changes, not the table size.
+    One scan and one shuffle: each key folds the changes up to either version side by
+    side, and keys without a change between the two are left out.
     """
-    cuts = commit_times(commits, sorted({v_from, v_to}))
-    lo, hi = cuts[v_from], cuts[v_to]
-    if lo > hi:
-        lo, hi = hi, lo
-    window = changes.where((F.col(ts) >= ts_lit(lo)) & (F.col(ts) < ts_lit(hi))).select(key)
-    keys = window.distinct()
-    touched = changes.join(keys, key, "left_semi")
-    return snapshot_diff(replay(touched.where(F.col(ts) < ts_lit(lo))),
-                         replay(touched.where(F.col(ts) < ts_lit(hi))), key)
+    lo, hi = sorted((v_from, v_to))
+    commit_times(commits, [lo, hi])     # an unknown version raises
+    cols = [c for c in VALUE_COLUMNS if c in changes.columns]
+    folded = (changes.where((F.col(batch) <= hi) & F.col(key).isNotNull()).groupBy(key)
+              .agg(*accumulators(cols, F.col(batch) <= lo, "_old_"),
+                   *accumulators(cols, F.lit(True), "_new_"), F.max(batch).alias("_newest"))
+              .where(F.col("_newest") > lo))
+    pairs = {c: current(c, "_old_").eqNullSafe(current(c, "_new_")) for c in cols}
+    both = exists("_old_") & exists("_new_")
+    changed_cols = F.concat_ws(",", *[F.when(~same, F.lit(c)) for c, same in pairs.items()])
+    change = (F.when(both & (changed_cols != ""), "changed")
+               .when(exists("_new_") & ~exists("_old_"), "added")
+               .when(exists("_old_") & ~exists("_new_"), "removed"))
+    return (folded.select(key, change.alias("change"), F.when(both, changed_cols).alias("changed_columns"))
+                  .where(F.col("change").isNotNull()))
 
 
 def expire_snapshots(commits: DataFrame, retention: DataFrame, tags: DataFrame,

@@ -34,6 +34,12 @@ def _log(spark, sf_dir, store: bool = False):
     return log, (cut_lineage(commits, "commits") if store else commits)
 
 
+def _history(spark, sf_dir):
+    """The log with the snapshot that brought each change, and the stored commits."""
+    log, commits = _log(spark, sf_dir, store=True)
+    return h.with_batches(log, commits), commits
+
+
 @register("snapshot_log", O.with_(*HIST) + "SELECT * FROM commits")
 def q_snapshot_log(spark, sf_dir):
     return _log(spark, sf_dir)[1]
@@ -54,7 +60,7 @@ def q_first_snapshot(spark, sf_dir):
 @register("as_of_version", O.with_(*HIST, O.cut_at_version(AS_OF_VERSION, "pre"),
                                    O.replay("pre", "st")) + "SELECT * FROM st")
 def q_as_of_version(spark, sf_dir):
-    log, commits = _log(spark, sf_dir)
+    log, commits = _history(spark, sf_dir)
     return h.as_of_version(log, commits, AS_OF_VERSION)
 
 
@@ -62,7 +68,7 @@ def q_as_of_version(spark, sf_dir):
   (SELECT max(committed_at) FROM commits WHERE committed_at <= TIMESTAMP '{AS_OF_TS}'))""",
                                      O.replay("pre", "st")) + "SELECT * FROM st")
 def q_as_of_timestamp(spark, sf_dir):
-    log, commits = _log(spark, sf_dir)
+    log, commits = _history(spark, sf_dir)
     return h.as_of_timestamp(log, commits, AS_OF_TS)
 
 
@@ -83,7 +89,7 @@ def q_tag_snapshots(spark, sf_dir):
   (SELECT c.committed_at FROM commits c JOIN tags t ON c.snapshot_id = t.snapshot_id
    WHERE t.tag = 'first-load'))""", O.replay("pre", "st")) + "SELECT * FROM st")
 def q_as_of_tag(spark, sf_dir):
-    log, commits = _log(spark, sf_dir, store=True)
+    log, commits = _history(spark, sf_dir)
     tags = h.tag_snapshots(spark, commits, TAG_POLICY)
     return h.as_of_tag(log, commits, tags, "first-load")
 
@@ -104,7 +110,7 @@ SELECT coalesce(a.order_id, b.order_id) AS order_id,
 FROM sa a FULL OUTER JOIN sb b ON a.order_id = b.order_id
 WHERE a.order_id IS NULL OR b.order_id IS NULL OR {_DISTINCT}""")
 def q_snapshot_diff(spark, sf_dir):
-    log, commits = _log(spark, sf_dir)
+    log, commits = _history(spark, sf_dir)
     return h.diff_versions(log, commits, DIFF_FROM, DIFF_TO)
 
 

@@ -17,10 +17,11 @@ FILES = 10
 CUT = "2024-01-20 00:00:00"
 
 
-def _records(spark, sf_dir):
-    env = td.envelopes(spark, sf_dir)
+def _records(spark, sf_dir, own_ids=False):
+    env = td.envelopes(spark, sf_dir, own_ids=own_ids)
+    key = td.database_id(F.col("order_id")) if own_ids else F.col("order_id")
     return env.select(
-        F.col("order_id").alias("key"), "value", F.lit("payments.cdc.orders").alias("topic"),
+        key.alias("key"), "value", F.lit("payments.cdc.orders").alias("topic"),
         F.lit(0).alias("partition"), F.col("seq").alias("offset"), "event_ts")
 
 
@@ -42,8 +43,9 @@ REPLAY = O.with_(O.EV, O.CDC_FLAT, O.replay("cdc_flat", "st")) + "SELECT * FROM
 
 @register("stream_cdc_apply", REPLAY)
 def q_stream_cdc_apply(spark, sf_dir):
+    """Deletes carry the database id alone and find their rows by earlier documents."""
     src, root, ckpt = (work_path(spark, n) for n in ("cdc-in", "ledger", "cdc-ckpt"))
-    _land_records(_records(spark, sf_dir), src, FILES)
+    _land_records(_records(spark, sf_dir, own_ids=True), src, FILES)
     _run(spark, src, root, ckpt)
     return ledger.state(spark, root)
 
@@ -52,7 +54,7 @@ def q_stream_cdc_apply(spark, sf_dir):
 def q_stream_restart(spark, sf_dir):
     """Stop after the first part of the files, add the rest, restart from the checkpoint."""
     src, root, ckpt = (work_path(spark, n) for n in ("cdc-in", "ledger", "cdc-ckpt"))
-    rec = _records(spark, sf_dir)
+    rec = _records(spark, sf_dir, own_ids=True)
     cut = F.lit(CUT).cast("timestamp_ntz")
     _land_records(rec.where(F.col("event_ts") < cut), src, FILES // 2)
     _run(spark, src, root, ckpt)

@@ -1,29 +1,62 @@
-"""Reading a ledger written by the change stream: log, commits, state, base."""
+"""Reading a ledger written by the change stream: log, commits, state, base, tags.
+
+Every version is a cut of the log by ``batch_id``, which is the snapshot id of the
+commit.  A base is the fold of a prefix of batches; a base with the batches after it
+gives the same rows as the whole log, also when late rows arrived after the base.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.cdc import CHANGE_OUT
-from ..operators.changes import cdc_merge, compact_log, replay
+from ..operators import history as h
+from ..operators.changes import (KEY, fold, folded_state, id_deletes, id_pairs, merge_folds,
+                                 replay, resolve_deletes)
+from ..schemas import CHANGE_ROW, DELETE_OP
 
+# Given, so that no read has to infer it; logs of before without a source_id read it as null.
+LOG_SCHEMA = T.StructType([
+    *CHANGE_ROW.fields,
+    T.StructField("source_id", T.StringType()),
+    T.StructField("_reason", T.StringType()),
+    T.StructField("_payload", T.StringType()),
+    T.StructField("batch_id", T.LongType()),
+    T.StructField("_lane", T.StringType()),
+])
+
+
+def _log(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(LOG_SCHEMA).parquet(f"{root}/log")
 
-def committed_log(spark: SparkSession, root: str, upto: int | None = None) -> DataFrame:
-    """Usable change rows of committed batches (optionally up to snapshot ``upto``).
 
-    ``batch_id`` and ``_lane`` are partition columns, so both filters prune folders.
+def _rows(spark: SparkSession, root: str, upto: int | None = None, after: int | None = None) -> DataFrame:
+    """Usable rows of committed batches as they came, deletes under the id they brought.
+
+    ``batch_id`` and ``_lane`` are partition columns, so the filters prune folders.
     """
-    log = spark.read.parquet(f"{root}/log").where(F.col("_lane") == "ok")
+    log = _log(spark, root).where(F.col("_lane") == "ok")
     commits = spark.read.parquet(f"{root}/commits").select("batch_id")
     if upto is not None:
         log = log.where(F.col("batch_id") <= upto)
         commits = commits.where(F.col("batch_id") <= upto)
-    return log.join(commits, "batch_id", "left_semi").select("batch_id", *CHANGE_OUT)
+    if after is not None:
+        log = log.where(F.col("batch_id") > after)
+        commits = commits.where(F.col("batch_id") > after)
+    return log.join(commits, "batch_id", "left_semi").select("batch_id", *CHANGE_OUT, "source_id")
+
+
+def committed_log(spark: SparkSession, root: str, upto: int | None = None) -> DataFrame:
+    """Usable change rows of committed batches (optionally up to snapshot ``upto``), deletes
+    under the business key of the documents they remove."""
+    rows = _rows(spark, root, upto)
+    return resolve_deletes(rows, id_pairs(rows)).select("batch_id", *CHANGE_OUT)
 
 
 def dead_letter_log(spark: SparkSession, root: str) -> DataFrame:
-    return (spark.read.parquet(f"{root}/log").where(F.col("_lane") == "dlq")
+    return (_log(spark, root).where(F.col("_lane") == "dlq")
             .select("batch_id", "seq", F.col("_reason").alias("reason"),
                     F.col("_payload").alias("payload")))
 
@@ -32,72 +65,94 @@ def commits(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root}/commits").drop("batch_id")
 
 
-def _marks_path(base: str) -> str:
-    return base.rstrip("/") + "_marks"
+def _ids_path(base: str) -> str:
+    return base.rstrip("/") + "_ids"
+
+
+def _deletes_path(base: str) -> str:
+    return base.rstrip("/") + "_deletes"
+
 
+def _base_batch(spark: SparkSession, base: str) -> int | None:
+    return spark.read.parquet(base).agg(F.max("base_batch")).first()[0]
 
-def _tail_split(spark: SparkSession, root: str, base: str, upto: int | None = None):
-    """Tail batches after the base, split into on-time rows and late rows.
 
-    A tail row is late when its key already had a folded event with a higher or
-    equal ``seq`` (O43).  Marks are per key, so ``seq`` only has to be ordered
-    within a key — true for a key-partitioned topic with several partitions.
-    AQE broadcasts the tail's keys when they are few, so the (table-sized) marks are
-    filtered without a shuffle.
+def _tail(spark: SparkSession, root: str, base: str, upto: int | None = None) -> DataFrame:
+    """Rows of the batches after the base, their deletes resolved by the documents of base and tail.
+
+    A folded delete can belong to a document that only the tail brings (late): it
+    comes again under that document's key, with a null ``batch_id``.
     """
-    b = spark.read.parquet(base)
-    bb = b.agg(F.max("base_batch")).first()[0]
-    tail = committed_log(spark, root, upto)
-    if bb is not None:
-        tail = tail.where(F.col("batch_id") > bb)
-    keys = tail.select("order_id").distinct()
-    marks = spark.read.parquet(_marks_path(base)).join(keys, "order_id", "left_semi")
-    flagged = tail.join(marks, "order_id", "left") \
-        .withColumn("_late", F.coalesce(F.col("seq") <= F.col("_mark"), F.lit(False)))
-    return b, flagged.where(~F.col("_late")).drop("_mark", "_late"), \
-        flagged.where(F.col("_late")).drop("_late")
+    rows = _rows(spark, root, upto, after=_base_batch(spark, base))
+    pairs = id_pairs(rows)
+    ids = id_deletes(rows).select("source_id").distinct()
+    known = spark.read.parquet(_ids_path(base)).join(ids, "source_id", "left_semi")
+    tail = resolve_deletes(rows, _joined_pairs(pairs, known)).select("batch_id", *CHANGE_OUT)
+    again = (pairs.join(spark.read.parquet(_deletes_path(base)), "source_id")
+             .where(F.col("last_seq") > F.col("first_seq"))
+             .select(F.col("last_seq").alias("seq"), KEY, F.lit(DELETE_OP).alias("op")))
+    return tail.unionByName(again, allowMissingColumns=True)
+
+
+def _joined_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
+    return a.unionByName(b).groupBy("source_id", KEY).agg(F.min("first_seq").alias("first_seq"))
+
+
+def _fold_on(spark: SparkSession, root: str, base: str, upto: int | None = None) -> DataFrame:
+    folded = fold(_tail(spark, root, base, upto))
+    return merge_folds(spark.read.parquet(base).drop("base_batch"), folded)
 
 
 def state(spark: SparkSession, root: str, upto: int | None = None,
           base: str | None = None) -> DataFrame:
     """Table state: replay of the committed log, or merge-on-read over a base.
 
-    With a base, the on-time tail is merged onto the base state (``cdc_merge``):
-    AQE broadcasts the folded tail when it is small, so the base is not
-    shuffled.  Late tail rows are left out and reported by ``late_events``.
-    A version older than the base is replayed from the log.
+    With a base, the folded tail is merged with the base's fold: AQE broadcasts the tail
+    when it is small, so the base is not shuffled.  Late rows take their place by
+    ``seq``.  A version older than the base is replayed from the log.
     """
     if base is not None and upto is not None:
-        folded = spark.read.parquet(base).agg(F.max("base_batch")).first()[0]
+        folded = _base_batch(spark, base)
         if folded is not None and folded > upto:
             base = None
     if base is None:
         return replay(committed_log(spark, root, upto).drop("batch_id"))
-    b, on_time, _late = _tail_split(spark, root, base, upto)
-    base_state = b.select("order_id", *[c for c in CHANGE_OUT if c not in ("seq", "order_id", "op")])
-    return cdc_merge(base_state, on_time.drop("batch_id"))
+    return folded_state(_fold_on(spark, root, base, upto))
 
 
 def late_events(spark: SparkSession, root: str, base: str) -> DataFrame:
-    """Committed rows after the base's batches that belong before it, per key."""
-    return _tail_split(spark, root, base)[2].drop("_mark")
+    """Committed rows after the base's batches that belong before it, per key (O43): their
+    key already had a folded event with a higher or equal ``seq``."""
+    tail = _tail(spark, root, base).where(F.col("batch_id").isNotNull())
+    marks = spark.read.parquet(base).select(KEY, F.greatest("_last_del", "_last_up").alias("_mark"))
+    marks = marks.join(tail.select(KEY).distinct(), KEY, "left_semi")
+    return tail.join(marks, KEY).where(F.col("seq") <= F.col("_mark")).select("batch_id", *CHANGE_OUT)
 
 
-def write_base(spark: SparkSession, root: str, upto_batch: int, path: str) -> str:
-    """Fold committed batches ``<= upto_batch`` into a base dataset.
+def write_base(spark: SparkSession, root: str, upto_batch: int, path: str, base: str | None = None) -> str:
+    """Fold committed batches ``<= upto_batch`` into a base dataset at ``path``.
 
-    Writes the base state (as ``update`` rows, remembering the last folded
-    batch) and, next to it, each key's highest folded ``seq`` — deleted keys
-    included — which later decides whether a tail row is late.
+    The base keeps the fold itself (each key's last delete and last upsert, each column's
+    last value and its ``seq``; deleted keys included), so that late rows merge
+    exactly.  Next to it lie the database ids with their business keys and the last
+    delete of each id.  With an older ``base`` only the batches after it are read.
     """
-    prefix = committed_log(spark, root, upto_batch).drop("batch_id")
-    cut = prefix.agg(F.max("seq")).first()[0]
-    if cut is None:
+    after = _base_batch(spark, base) if base else None
+    rows = _rows(spark, root, upto_batch, after)
+    if base is None and rows.isEmpty():
         raise ValueError(f"no committed rows up to batch {upto_batch}")
-    (compact_log(prefix, cut).withColumn("base_batch", F.lit(upto_batch).cast("long"))
-        .write.mode("overwrite").parquet(path))
-    (prefix.groupBy("order_id").agg(F.max("seq").alias("_mark"))
-        .write.mode("overwrite").parquet(_marks_path(path)))
+    pairs = id_pairs(rows)
+    deletes = id_deletes(rows).select("source_id", F.col("seq").alias("last_seq"))
+    if base:
+        folded = _fold_on(spark, root, base, upto_batch)
+        pairs = _joined_pairs(pairs, spark.read.parquet(_ids_path(base)))
+        deletes = deletes.unionByName(spark.read.parquet(_deletes_path(base)))
+    else:
+        folded = fold(resolve_deletes(rows, pairs))
+    folded.withColumn("base_batch", F.lit(upto_batch).cast("long")).write.mode("overwrite").parquet(path)
+    pairs.write.mode("overwrite").parquet(_ids_path(path))
+    deletes.groupBy("source_id").agg(F.max("last_seq").alias("last_seq")) \
+        .write.mode("overwrite").parquet(_deletes_path(path))
     return path
 
 
@@ -117,3 +172,36 @@ def fold_expired(spark: SparkSession, root: str, expired: DataFrame, path: str)
         return None
     write_base(spark, root, upto, path)
     return upto
+
+
+def as_of_version(spark: SparkSession, root: str, version: int, base: str | None = None) -> DataFrame:
+    """State at a committed snapshot (O45); an unknown one raises."""
+    h.commit_time(commits(spark, root), version)
+    return state(spark, root, version, base)
+
+
+def as_of_timestamp(spark: SparkSession, root: str, at: str, base: str | None = None) -> DataFrame:
+    """State at the newest commit not after ``at`` (O46); no rows before the first one."""
+    version = h.snapshot_at(commits(spark, root), at)
+    return state(spark, root, -1 if version is None else version, base)
+
+
+def tag(spark: SparkSession, root: str, policy: list[tuple[str, str]]) -> DataFrame:
+    """Store the policy's tags (O47); a tag that exists already moves."""
+    (h.tag_snapshots(spark, commits(spark, root), policy).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy("tag").parquet(f"{root}/tags"))
+    return tags(spark, root)
+
+
+def tags(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema("snapshot_id long, committed_at timestamp_ntz, tag string").parquet(f"{root}/tags")
+
+
+def as_of_tag(spark: SparkSession, root: str, name: str, base: str | None = None) -> DataFrame:
+    """State at a stored tag."""
+    return state(spark, root, h.tagged(tags(spark, root), name), base)
+
+
+def diff(spark: SparkSession, root: str, v_from: int, v_to: int) -> DataFrame:
+    """Rows added, removed or changed between two committed snapshots."""
+    return h.diff_versions(committed_log(spark, root), commits(spark, root), v_from, v_to)

@@ -103,10 +103,18 @@ def cdc_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cdc_flat_k(spark, sf_dir).drop("k")
 
 
-def envelopes(spark: SparkSession, sf_dir: str, corrupt: bool = False) -> DataFrame:
+def database_id(order_id: Column) -> Column:
+    """The id under which the database keeps an order's document."""
+    return F.concat(F.lit("id-"), order_id)
+
+
+def envelopes(spark: SparkSession, sf_dir: str, corrupt: bool = False, own_ids: bool = False) -> DataFrame:
     """Change events as JSON text in the change-stream envelope,
     ``(seq, order_id, event_ts, value)``.
 
+    With ``own_ids`` documents have a database id of their own, and deletes carry
+    that id alone, as a change stream sends them; else the id is the order id.
+
     Deletes carry no full document; where k % 3 = 0 the document has no
     event_ts and the cluster time stands in.  With ``corrupt`` some payloads
     are broken: k = 13 → not JSON, k = 42 → no operation, k = 57 → unknown
@@ -120,13 +128,14 @@ def envelopes(spark: SparkSession, sf_dir: str, corrupt: bool = False) -> DataFr
         doc_ts = F.when(F.col("k") == 71, F.lit("2024-13-45 99:99")).otherwise(doc_ts)
         op = (F.when(F.col("k") == 42, F.lit(None).cast("string"))
                .when(F.col("k") == 57, F.lit("drop")).otherwise(op))
+    own = database_id(F.col("order_id")) if own_ids else F.col("order_id")
     doc = F.when(~is_del, F.struct(
-        F.col("order_id").alias("_id"), "order_id", "merchant_id", "status", "amount",
+        own.alias("_id"), "order_id", "merchant_id", "status", "amount",
         "currency", doc_ts.alias("event_ts")))
     value = F.to_json(F.struct(
         op.alias("operationType"),
         doc.alias("fullDocument"),
-        F.struct(F.col("order_id").alias("_id")).alias("documentKey"),
+        F.struct(own.alias("_id")).alias("documentKey"),
         iso(F.col("event_ts")).alias("clusterTime")))
     if corrupt:
         value = F.when(F.col("k") == 13, F.lit("{bad")).otherwise(value)

@@ -103,6 +103,7 @@ def test_diff_from_log_equals_diff_of_full_versions(spark):
     from changeledger.sources import testdata as td
     log = td.cdc_flat(spark, "/root/testdata/sf0.001")
     commits = h.commits_by_day(log).cache()
+    log = h.with_batches(log, commits)
     for a, b in ((1, 5), (3, 20), (20, 3), (7, 7)):
         full = h.snapshot_diff(h.as_of_version(log, commits, a), h.as_of_version(log, commits, b))
         fast = h.diff_versions(log, commits, a, b)
