@@ -10,8 +10,6 @@ predicate is a literal that reaches the Parquet scan.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -47,17 +45,6 @@ def first_snapshot(commits: DataFrame) -> DataFrame:
         F.min("committed_at").alias("committed_at"))
 
 
-def ts_lit(value) -> Column:
-    """A wall-clock timestamp literal (``timestamp_ntz``), whatever the session zone.
-
-    ``F.lit(datetime)`` would become a zone-aware TIMESTAMP and shift against
-    ``timestamp_ntz`` columns when the session zone is not the driver's.
-    """
-    if isinstance(value, dt.datetime):
-        value = value.strftime("%Y-%m-%d %H:%M:%S.%f")
-    return F.lit(value).cast("timestamp_ntz")
-
-
 def commit_times(commits: DataFrame, versions: list[int]) -> dict:
     """Commit time of each requested snapshot, in one small job."""
     rows = commits.where(F.col("snapshot_id").isin(*versions)) \
