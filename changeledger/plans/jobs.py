@@ -23,6 +23,8 @@ from ..schemas import ORDER_COLUMNS
 from ..session import cut_lineage
 from ..sources.raw import raw_scan
 
+ABSENT_TYPES = {"amount": "double", "event_ts": "timestamp_ntz"}
+
 
 def prepare_snapshot(raw: DataFrame, run_ts: str | None = None,
                      file_tiebreak: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -42,14 +44,24 @@ def prepare_snapshot(raw: DataFrame, run_ts: str | None = None,
     good = stamp_ingestion(good, run_ts)
     order = ["event_ts", "_src_path"] if "_src_path" in good.columns else ["event_ts"]
     good = latest_per_key(good, "order_id", order).drop("_src_path")
+    for c in ORDER_COLUMNS:             # a field that no document of the day has
+        if c not in good.columns:
+            good = good.withColumn(c, F.lit(None).cast(ABSENT_TYPES.get(c, "string")))
     return rest_pack(good, ORDER_COLUMNS).select(*ORDER_COLUMNS, "_rest"), bad
 
 
 def ingest_batch(spark: SparkSession, raw_root: str, target: DataFrame,
-                 date: str | None = None, run_ts: str | None = None) -> DataFrame:
-    """Daily snapshot ingest (O61): raw JSON of one day (or all) merged into ``target``."""
+                 date: str | None = None, run_ts: str | None = None,
+                 dead_letters: str | None = None) -> DataFrame:
+    """Daily snapshot ingest (O61): raw JSON of one day (or all) merged into ``target``.
+
+    Documents without a readable time are not merged; they are written to ``dead_letters``
+    when a path is given (a rerun replaces them).
+    """
     raw = raw_scan(spark, raw_root, date)
-    source, _bad = prepare_snapshot(raw, run_ts)
+    source, bad = prepare_snapshot(raw, run_ts)
+    if dead_letters:
+        bad.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(dead_letters)
     return snapshot_upsert(target, source, "order_id", order_by=None)
 
 

@@ -58,3 +58,14 @@ def test_moved_rows_leave_their_old_day(spark, places):
     assert jobs.backfill(spark, raw, main, staging, "2024-01-05", "2024-01-06", COLUMNS)
     assert content(spark, main) == [("o1", "b", "2024-01-03 11:00:00", "2024-01-03"), ("o2", "a", "2024-01-02 11:00:00", "2024-01-02"),
                                     ("o3", "new", "2024-01-20 00:00:00", "2024-01-20")]
+
+
+def test_ingest_keeps_unreadable_documents_as_dead_letters(spark, places):
+    raw, main, bad = places
+    land(spark, raw, "2024-01-01", [doc("o1", "new", "2024-01-01 10:00:00"), doc("o2", "new", "no time")])
+    target = spark.createDataFrame([], "order_id string, merchant_id string, status string, amount double, currency string, "
+                                       "event_ts timestamp_ntz, ingestion_ts timestamp_ntz, _rest map<string,string>")
+    for _ in range(2):
+        out = jobs.ingest_batch(spark, raw, target, "2024-01-01", "2024-01-02 00:00:00", dead_letters=bad)
+        assert [r.order_id for r in out.collect()] == ["o1"]
+    assert [(r.order_id, r._bad_event_ts) for r in spark.read.parquet(bad).collect()] == [("o2", "no time")]
