@@ -29,6 +29,19 @@ def stored(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``docs`` stored with a row number, and that column's name.  A number made in a scan may change in the next one, as the
+    input is split by the parallelism of the moment, so a decision and what is joined to it both read the stored one.
+    """
+    rid = fresh(docs, "rid")
+    return stored(docs.withColumn(rid, F.monotonically_increasing_id()), name), rid
+
+
+def row_number(rid: str | None) -> Column:
+    """The stored number in column ``rid``, or without one a new number, for a scan whose result is stored itself."""
+    return (F.monotonically_increasing_id() if rid is None else F.col(rid)).alias("rid")
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, stored, text_or_empty
+from .common import numbered, row_number, stored, text_or_empty
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -31,8 +31,9 @@ def hash128(text: Column) -> Column:
     return F.unhex(F.md5(text))
 
 
-def dedup(docs: DataFrame, keep: str = "first", content_hash: Callable[[Column], Column] = hash128) -> DataFrame:
-    """Per document: rid, doc_id, keep_id, group_size, kept, text_sha256; rid numbers the rows of ``docs``.
+def dedup(docs: DataFrame, keep: str = "first", content_hash: Callable[[Column], Column] = hash128,
+          rid: str | None = None) -> DataFrame:
+    """Per document: rid, doc_id, keep_id, group_size, kept, text_sha256; rid is the column ``rid`` of ``docs``, or numbers its rows.
 
     ``text_sha256`` of the normalised text names a group within its hash.  Should two texts of one hash also
     agree in it, the run fails rather than mix them.
@@ -40,7 +41,7 @@ def dedup(docs: DataFrame, keep: str = "first", content_hash: Callable[[Column],
     if keep not in ("first", "last"):
         raise ValueError("keep is 'first' or 'last'")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), lowered().alias("norm"),
-                       F.monotonically_increasing_id().alias("rid")) \
+                       row_number(rid)) \
         .withColumn("hash", content_hash(F.col("norm")))
     slim = stored(rows.select("rid", "doc_id", "hash", F.sha2("norm", 256).alias("text_sha256")), "op5-rows")
     key = ["hash", "text_sha256"]
@@ -64,6 +65,6 @@ def dedup(docs: DataFrame, keep: str = "first", content_hash: Callable[[Column],
 
 def deduplicated(docs: DataFrame, keep: str = "first") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    rid = fresh(docs, "rid")
-    stay = dedup(docs, keep).where("kept").select(F.col("rid").alias(rid))
-    return docs.withColumn(rid, F.monotonically_increasing_id()).join(stay, rid, "left_semi").drop(rid)
+    rows, rid = numbered(docs, "op5-docs")
+    stay = dedup(rows, keep, rid=rid).where("kept").select(F.col("rid").alias(rid))
+    return rows.join(stay, rid, "left_semi").drop(rid)

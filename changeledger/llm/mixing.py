@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, fresh, stored, text_or_empty
+from .common import WORD, fresh, numbered, row_number, stored, text_or_empty
 
 WEIGHTS = (3, 1, 2)
 #: Leading hex digits of the seeded hash that name a bucket: 4096 buckets a source.
@@ -46,11 +46,12 @@ def targets(sizes: DataFrame, weights=WEIGHTS, budget: float = 1.5, max_epochs:
         F.when(F.col("water").isNull(), F.col("cap")).otherwise(F.least("cap", F.col("weight") * F.col("water"))).alias("target"))
 
 
-def mix(docs: DataFrame, seed: str = "mix-1", weights=WEIGHTS, budget: float = 1.5, max_epochs: float = 2.0) -> DataFrame:
-    """Per document: rid, doc_id, source, size, source_size, target, repeats, taken."""
+def mix(docs: DataFrame, seed: str = "mix-1", weights=WEIGHTS, budget: float = 1.5, max_epochs: float = 2.0,
+        rid: str | None = None) -> DataFrame:
+    """Per document: rid (the column ``rid``, or a new number), doc_id, source, size, source_size, target, repeats, taken."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
                        F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long").alias("size"),
-                       F.monotonically_increasing_id().alias("rid")) \
+                       row_number(rid)) \
         .withColumn("order", F.md5(F.concat(F.lit(seed + "|"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
     rows = stored(rows.withColumn("bucket", F.substring("order", 1, BUCKET_DIGITS)), "op4-rows")
     buckets = rows.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
@@ -76,7 +77,8 @@ def mix(docs: DataFrame, seed: str = "mix-1", weights=WEIGHTS, budget: float = 1
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as it is taken."""
-    rid, n = fresh(docs, "rid"), fresh(docs, "repeats")
-    plan = mix(docs, **options).where("repeats > 0").select(F.col("rid").alias(rid), F.col("repeats").alias(n))
-    return docs.withColumn(rid, F.monotonically_increasing_id()).join(plan, rid) \
+    rows, rid = numbered(docs, "op4-docs")
+    n = fresh(rows, "repeats")
+    plan = mix(rows, **options, rid=rid).where("repeats > 0").select(F.col("rid").alias(rid), F.col("repeats").alias(n))
+    return rows.join(plan, rid) \
         .withColumn(n, F.explode(F.sequence(F.lit(1), F.col(n).cast("int")))).select(*docs.columns)

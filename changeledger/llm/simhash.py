@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, slices, stored
+from .common import numbered, row_number, slices, stored
 from .components import components
 
 SHINGLE = 4
@@ -59,14 +59,14 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * total > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """rid, doc_id, fp (the 64 bits as a signed long) per row."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, rid: str | None = None) -> DataFrame:
+    """rid (the column ``rid``, or a new number), doc_id, fp (the 64 bits as a signed long) per row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             fp = np.array([fingerprint(t, shingle) for t in b.column("text").to_pylist()], np.uint64)
             yield pa.record_batch([b.column("rid"), b.column("doc_id"), pa.array(fp.view(np.int64))], ["rid", "doc_id", "fp"])
 
-    return docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"),
+    return docs.select(row_number(rid), F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("text").cast("string").alias("text")).mapInArrow(run, "rid long, doc_id long, fp long")
 
 
@@ -219,9 +219,9 @@ def linked(fps: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS) -> Da
     return out
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, rid: str | None = None) -> DataFrame:
     """Per row: rid, doc_id, fp, label (smallest fingerprint of the component), component_id."""
-    rows = stored(fingerprints(docs, shingle), "op7-fingerprints")
+    rows = stored(fingerprints(docs, shingle, rid), "op7-fingerprints")
     classes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "op7-classes")
     labels = components(linked(classes.select("fp"), max_bits), "op7")
     named = classes.join(labels.withColumnRenamed("node", "fp"), "fp", "left") \
@@ -232,7 +232,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 
 def deduplicated(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of ``docs`` that stay, one of each component: the smallest id, of equal ids the first row."""
-    rid = fresh(docs, "rid")
-    found = near_duplicates(docs, shingle, max_bits)
+    rows, rid = numbered(docs, "op7-docs")
+    found = near_duplicates(rows, shingle, max_bits, rid)
     stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("label").agg(F.min("rid").alias(rid)).select(rid)
-    return docs.withColumn(rid, F.monotonically_increasing_id()).join(stay, rid, "left_semi").drop(rid)
+    return rows.join(stay, rid, "left_semi").drop(rid)
