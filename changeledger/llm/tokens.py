@@ -3,13 +3,15 @@
 Both vocabularies split a text before their merges run, and never inside a run of non-space characters on
 both sides of a plain space.  So the ids of a text are the ids of its chunks in order, and the chunks of a
 corpus repeat: Arrow splits a batch of texts and numbers its different chunks, most of those are found in the
-memo, and the library encodes each missing one once.
+memo, and the library encodes each missing one once.  A text that holds the content of an added token, such as
+<|endoftext|>, goes to the library whole, which reads it as its one id.
 """
 
 from __future__ import annotations
 
 import gc
 import os
+import re
 from itertools import chain
 from unicodedata import is_normalized, normalize
 
@@ -62,12 +64,14 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.size = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         # A vocabulary that drops white space has no ids for it; one that keeps it glues a space to the next word.
         self.keeps_space = bool(len(self._whole(" ")))
         self.folds_case = self._whole("A").tolist() == self._whole("a").tolist()
+        self.added = "|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values())
+        if self.added and self.folds_case:  # chunks are lower-cased here, and only the library knows which spelling counts
+            self.added = f"(?i){self.added}"
         self.tails: dict[str, list[int]] = {}
         self._forget()
 
@@ -146,15 +150,18 @@ class Encoder:
     def _batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if len(self.memo) > self.memo_chunks:
             self._forget()
-        odd = []
+        patterns = [p for p in (self.added, _ODD_SPACE if self.keeps_space else "") if p]
+        odd = np.zeros(len(texts), bool)
+        for pattern in patterns:
+            odd |= pc.match_substring_regex(texts, pattern).to_numpy(zero_copy_only=False)
+        plain = pc.if_else(pa.array(odd), pa.scalar("", texts.type), texts) if odd.any() else texts
+        odd = np.flatnonzero(odd).tolist()
         if self.keeps_space:
-            odd = np.flatnonzero(pc.match_substring_regex(texts, _ODD_SPACE).to_numpy(zero_copy_only=False)).tolist()
-            plain = pc.if_else(pa.array(np.isin(np.arange(len(texts)), odd)), pa.scalar("", texts.type), texts) if odd else texts
             empty = pc.equal(plain, "")
             marked = pc.binary_join_element_wise(pa.scalar("\r", texts.type), pc.replace_substring(plain, "\n", " \r\n \r"), pa.scalar("", texts.type))
             lists = pc.split_pattern(pc.if_else(empty, pa.scalar("", texts.type), marked), " ")
         else:
-            lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+            lists = pc.split_pattern(pc.replace_substring(plain, "\n", " "), " ")
         if isinstance(lists, pa.ChunkedArray):
             lists = lists.combine_chunks()
         chunks = lists.flatten().dictionary_encode()

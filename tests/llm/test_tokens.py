@@ -21,3 +21,19 @@ def test_ids_equal_the_library_s(name, monkeypatch):
     got = [np.frombuffer(x, e.dtype).tolist() for i in range(0, 4000, 700) for x in e.encode_many(texts[i:i + 700])]
     assert got == [x.ids for x in e.tokenizer.encode_batch(texts, add_special_tokens=False)]
     assert e.encode_many([]) == [] and e.encode_many(["", ""]) == [b"", b""]
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_added_tokens_in_a_text_are_one_id(name):
+    """As the library reads them by default; held against a tokenizer that no code here has touched."""
+    from tokenizers import Tokenizer
+
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext", "|>", "word", "Word,", " ", "\n", "<|<|endoftext|>|>"]
+    rng = random.Random(8)
+    texts = ["Hello <|endoftext|> world", "<|endoftext|>", "a<|endoftext|>b <|startoftext|>", "plain text", ""]
+    texts += ["".join(rng.choices(parts, k=rng.randint(1, 8))) for _ in range(500)]
+    plain = Tokenizer.from_file(tokens.vocabulary_path(name))
+    e = tokens.Encoder(tokens.vocabulary_path(name))
+    got = [np.frombuffer(x, e.dtype).tolist() for x in e.encode_many(texts)]
+    assert got == [x.ids for x in plain.encode_batch(texts, add_special_tokens=False)]
+    assert plain.token_to_id("<|endoftext|>") in got[0]
