@@ -356,8 +356,9 @@ class Repeats:
     """The repeats of a corpus: ``rows`` (rid, doc_id, n_bytes, sha256), ``texts`` with repeats, and ``spans`` (rid, start, stop, repeat)."""
 
     def __init__(self, docs: DataFrame):
-        texts = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"),
-                            text_or_empty().alias("text"))
+        # Stored once, so that marks, texts and rows go by the same row numbers.
+        texts = stored(docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"),
+                                   text_or_empty().alias("text")), "op9-docs")
         self.rows = texts.select("rid", "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha256"))
         marks = stored(_marks(_anchored(texts.select("rid", "text"))), "op9-marks")
         marked = marks.groupBy("rid").agg(F.collect_list(F.struct("gram", "place", "state")).alias("marks"))

@@ -5,9 +5,10 @@ from collections import Counter
 
 import pytest
 
-from changeledger.llm import common, components, exact, mixing, simhash
+from changeledger.llm import common, components, exact, mixing, repeats, simhash
 
 from .conftest import prose
+from .test_op9_repeats import brute
 
 SPLIT = "spark.sql.files.minPartitionNum"
 
@@ -22,7 +23,7 @@ def resplit(spark, monkeypatch):
         spark.conf.set(SPLIT, "64")
         return out
 
-    for module in (common, components, exact, mixing, simhash):
+    for module in (common, components, exact, mixing, repeats, simhash):
         monkeypatch.setattr(module, "stored", then_resplit)
     spark.conf.set("spark.sql.files.openCostInBytes", "1")
     spark.conf.set(SPLIT, "1")
@@ -55,3 +56,9 @@ def test_mixing(spark, tmp_path, resplit):
     spark.conf.set(SPLIT, "1")
     assert len(plan) == len(rows) and len(set(plan.values())) > 1
     assert Counter(map(tuple, mixing.mixed(docs).collect())) == Counter({r: plan[r[0]] for r in rows if plan[r[0]]})
+
+
+def test_repeats(spark, tmp_path, resplit):
+    docs, rows = documents(spark, tmp_path / "d")
+    report = repeats.Repeats(docs).report().select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert Counter(map(tuple, report.collect())) == brute([r[:2] for r in rows])
