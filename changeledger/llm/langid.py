@@ -8,8 +8,10 @@ phrases wins, the first by code point among equals.
 Training text is a bounded sample: of each language the ``ROWS_PER_LANGUAGE`` labelled rows with the smallest hash of their id, and of
 each the first ``CHARS_PER_ROW`` characters.  Every document is predicted from its whole text.
 
-Text is lower-cased and every run of characters other than letters counts as one space.  Symbols are the ``ALPHABET`` most frequent of the training text; any
-other character matches nothing and is a phrase by itself.  Documents are parsed in stretches of ``STRETCH``
+Text is lower-cased and every run of characters other than letters counts as one space.  Every letter of the training text is
+a symbol, however rare; any other letter matches nothing and is a phrase by itself.  Steps by the space and the ``DENSE`` - 2 most frequent
+letters are looked up in a table of all states, steps by rarer ones among the sorted edges, so memory grows with the sample, not
+with states times letters.  Documents are parsed in stretches of ``STRETCH``
 symbols, each from a new phrase on, so that numpy steps through thousands of stretches at a time.
 
 Defined results: ``und`` and score 0 for a null text, one without a letter, or where no language was learned; null
@@ -23,6 +25,7 @@ import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -31,7 +34,8 @@ from pyspark.sql import functions as F
 
 ROWS_PER_LANGUAGE = 48
 CHARS_PER_ROW = 800
-ALPHABET = 63
+#: Symbols with a column in the table of steps.
+DENSE = 64
 STRETCH = 1024
 #: Characters parsed at once by a worker.
 PARSED_AT_ONCE = 2_000_000
@@ -59,8 +63,8 @@ def sample(docs: DataFrame) -> dict[str, list[str]]:
     return dict(sorted(out.items()))
 
 
-def suffix_automaton(symbols: list[int], size: int) -> np.ndarray:
-    """Transitions [state, symbol] → state; state 0 is the root and, as no transition leads to it, also stands for none."""
+def suffix_edges(symbols: list[int]) -> list[dict[int, int]]:
+    """Transitions symbol → state of each state; state 0 is the root, and no transition leads to it."""
     edges: list[dict[int, int]] = [{}]
     link, length = [-1], [0]
     last = 0
@@ -87,6 +91,12 @@ def suffix_automaton(symbols: list[int], size: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[now] = copy
         last = now
+    return edges
+
+
+def suffix_automaton(symbols: list[int], size: int) -> np.ndarray:
+    """Transitions [state, symbol] → state as a table, in which 0 stands for none."""
+    edges = suffix_edges(symbols)
     table = np.zeros((len(edges), size), np.int32)
     for state, out in enumerate(edges):
         table[state, list(out)] = list(out.values())
@@ -101,28 +111,39 @@ class Parser:
         folded = {k: [" " + " ".join("".join(c if c.isalpha() else " " for c in t.lower()).split()) + " " for t in v]
                   for k, v in training.items()}
         often = Counter(c for v in folded.values() for t in v for c in t if c != " ")
-        chars = [c for c, _ in sorted(often.items(), key=lambda x: (-x[1], x[0]))[:ALPHABET - 1]]
+        chars = [c for c, _ in sorted(often.items(), key=lambda x: (-x[1], x[0]))]
         # 0: space, 1 to k: letters that training saw, k + 1: any other letter.
         self.other = len(chars) + 1
-        self.size = self.other + 1
-        self.of_char = np.full(0x110000, self.other, np.uint8)
+        self.size = min(self.other + 1, DENSE)
+        self.of_char = np.full(0x110000, self.other, np.min_scalar_type(self.other))
         for code in range(0x3000):
             if not chr(code).isalpha():
                 self.of_char[code] = 0
         for k, c in enumerate(chars):
             self.of_char[ord(c)] = k + 1
         tables, roots, at = [], [], 0
+        rare = []
         self.bits = []
         for k in self.languages:
             symbols = self.of_char[np.frombuffer("".join(folded[k]).encode("utf-32-le"), "<u4")].tolist()
-            table = suffix_automaton([s for s in symbols if s != self.other], self.size)
-            table[table > 0] += at  # states of all languages in one table; 0 still stands for none
+            edges = suffix_edges(symbols)
+            state = np.repeat(np.arange(len(edges), dtype=np.int64), [len(out) for out in edges])
+            symbol = np.fromiter(chain.from_iterable(edges), np.int64, len(state))
+            to = np.fromiter(chain.from_iterable(out.values() for out in edges), np.int32, len(state)) + np.int32(at)  # of all languages
+            table = np.zeros((len(edges), self.size), np.int32)  # 0 stands for none
+            common = symbol < self.size
+            table[state[common], symbol[common]] = to[common]
+            key = (state[~common] + at) * (self.other + 1) + symbol[~common]
+            order = np.argsort(key)
+            rare.append((key[order], to[~common][order]))  # rising over the languages too, as their states do
             tables.append(table)
             roots.append(at)
-            at += len(table)
+            at += len(edges)
             self.bits.append(np.log2(len(symbols) + 2))
         self.table = np.concatenate(tables).reshape(-1) if tables else np.zeros(0, np.int32)
         self.roots = np.array(roots, np.int64)
+        rare.append((np.array([np.iinfo(np.int64).max]), np.zeros(1, np.int32)))  # an end that no search passes
+        self.rare, self.rare_to = (np.concatenate(x) for x in zip(*rare))
 
     def symbols(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Symbols of all texts in a row and the place where each text ends; each is its words with a space after them."""
@@ -137,6 +158,18 @@ class Parser:
         keep[1:] |= sym[:-1] != 0
         return sym[keep], np.cumsum(keep)[ends - 1]
 
+    def step(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """The states [language, lane] after ``symbol`` [lane], 0 for none."""
+        if self.other < self.size:
+            return self.table[state * self.size + symbol]
+        to = self.table[state * self.size + np.where(symbol < self.size, symbol, 0)]
+        lanes = np.flatnonzero(symbol >= self.size)
+        if len(lanes):
+            key = np.broadcast_to(state, (len(self.roots), len(symbol)))[:, lanes] * (self.other + 1) + symbol[lanes]
+            at = np.searchsorted(self.rare, key)
+            to[:, lanes] = np.where(self.rare[at] == key, self.rare_to[at], 0)
+        return to
+
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Phrase counts [text, language] and the number of symbols of each text."""
         sym, ends = self.symbols(texts)
@@ -150,8 +183,8 @@ class Parser:
         order = np.argsort(-length, kind="stable")
         start, length, owner = start[order], length[order], owner[order]
         lanes, langs = len(start), len(self.roots)
-        padded = np.concatenate([sym, np.zeros(STRETCH, np.uint8)])
-        grid = np.ascontiguousarray(padded[start[:, None] + np.arange(STRETCH)].T) if lanes else np.zeros((0, 0), np.uint8)
+        padded = np.concatenate([sym, np.zeros(STRETCH, sym.dtype)])
+        grid = np.ascontiguousarray(padded[start[:, None] + np.arange(STRETCH)].T) if lanes else np.zeros((0, 0), sym.dtype)
         state = np.repeat(self.roots[:, None], lanes, 1)
         count = np.zeros((langs, lanes), np.int32)
         active = np.searchsorted(-length, -np.arange(STRETCH), side="left")  # lanes longer than t
@@ -162,10 +195,10 @@ class Parser:
                 break
             c = grid[t, :k].astype(np.int64)
             s = state[:, :k]
-            to = self.table[s * self.size + c]
+            to = self.step(s, c)
             none = to == 0
             count[:, :k] += none | (s == root)  # here a phrase begins
-            again = self.table[root * self.size + c]
+            again = self.step(root, c)
             to = np.where(none & (s != root), again, to)
             state[:, :k] = np.where(to == 0, root, to)
         total = np.zeros((len(texts), langs), np.int64)

@@ -88,3 +88,37 @@ def test_defined_results(spark, where, request):
 def test_nothing_learned(spark):
     docs = spark.createDataFrame([(1, "some text", None), (2, None, "en")], "doc_id long, text string, lang string")
     assert {(r.lang_pred, r.score) for r in langid.identify(docs).collect()} == {("und", 0.0)}
+
+
+def scripts(rng, n):
+    """Texts of languages in three scripts, with over 800 letters together; two of the languages share a script."""
+    def words(letters):
+        own = ["".join(rng.choices(letters, k=rng.randint(2, 5))) for _ in range(400)]
+        return [" ".join(rng.choices(own, k=60)) for _ in range(n)]
+
+    han = [chr(c) for c in range(0x4E00, 0x4E00 + 700)]
+    return {"en": words("abcdefghijklmnopqrstuvwxyz"), "ru": words("абвгдежзийклмнопрстуфхцчшщъыьэюя"), "yue": words(han[:500]), "zh": words(han[200:])}
+
+
+@pytest.mark.parametrize("letters", [61, 62, 63, 64, 65, 700])
+def test_phrase_counts_with_many_letters(letters):
+    """Also where the letters just fill the table of steps."""
+    rng = random.Random(letters)
+    chars = [chr(0x4E00 + k) for k in range(letters)]
+    training = {k: ["".join(chars) + " " + "".join(rng.choices([*part, " "], k=700)) for _ in range(2)]
+                for k, part in [("x", chars), ("y", chars[:20]), ("z", chars[-20:])]}
+    p = langid.Parser(training)
+    texts = ["".join(rng.choices([*chars, " ", "ก", "q"], k=n)) for n in (30, 1025, 2500)] + [training["z"][1][:600], "qก"]
+    count, n = p.phrases(texts)
+    joined = {k: "".join(" " + folded(t) for t in v) for k, v in training.items()}
+    for t, c, m in zip(texts, count, n):
+        for k, lang in enumerate(p.languages):
+            assert (int(c[k]), int(m)) == brute_phrases(t, joined[lang], ""), (t, lang)
+
+
+def test_three_scripts(spark):
+    texts = scripts(random.Random(6), 30)
+    rows = [(i, t, lang) for i, (lang, t) in enumerate((lang, t) for lang, ts in texts.items() for t in ts)]
+    got = langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert sum(r.held_out for r in got) > 20
+    assert {r.doc_id: r.lang_pred for r in got} == {i: lang for i, _, lang in rows}
