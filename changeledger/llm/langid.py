@@ -103,6 +103,10 @@ def suffix_automaton(symbols: list[int], size: int) -> np.ndarray:
     return table
 
 
+def has_letter(text: str | None) -> bool:
+    return bool(text and _LETTER.search(text) and any(map(str.isalpha, text)))
+
+
 class Parser:
     """Automata of all languages, and phrase counts of many texts at a time."""
 
@@ -207,7 +211,7 @@ class Parser:
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         best, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
-        asked = [i for i, t in enumerate(texts) if t and _LETTER.search(t) and any(map(str.isalpha, t))]
+        asked = [i for i, t in enumerate(texts) if has_letter(t)]
         if not self.languages or not asked:
             return best, score
         at = 0
@@ -248,6 +252,15 @@ def prediction(training: dict[str, list[str]]):
     return predict
 
 
+def lettered():
+    """A column function: whether the text has a letter, as ``predict`` asks first."""
+    @F.pandas_udf("boolean")
+    def ask(texts: pd.Series) -> pd.Series:
+        return texts.map(has_letter).astype(bool)
+
+    return ask
+
+
 def identify(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score per document."""
     predict = prediction(sample(docs))

@@ -1,5 +1,6 @@
 """The pipeline against a brute-force version of its stages."""
 
+import zlib
 from collections import Counter
 
 import pytest
@@ -61,3 +62,16 @@ def test_run_gives_the_last_stage(spark, sample_dir):
 
 def test_empty_table(spark, empty_dir):
     assert P.run(spark, empty_dir).collect() == []
+
+
+@pytest.mark.parametrize("lang", [None, "en"])
+def test_no_language_learned(spark, tmp_path, lang):
+    """All rows without a label, or all labelled rows held out."""
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 == 1]
+    texts = ["some text", "日本語", "12 é", "", None, "12 34 !", "\n", "²"]
+    rows = [(i, t, lang, "s1") for i, t in zip(ids, texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    assert langid.sample(docs) == {}
+    assert sorted(map(tuple, P.language(spark, docs, str(tmp_path)).collect())) == rows[:3]
+    assert {r.doc_id for r in P.run(spark, str(tmp_path)).collect()}
