@@ -130,3 +130,12 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import repeats
 
     return repeats.Repeats(table(spark, sf_dir, "documents")).report()
+
+
+@register("op12_lexicon_bpe")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import bpe
+    from .tokens import vocabulary_path
+
+    docs, path = table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json")
+    return bpe.digests(docs, path, bpe.lexicon(docs, path))
