@@ -139,3 +139,30 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs, path = table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json")
     return bpe.digests(docs, path, bpe.lexicon(docs, path))
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+p AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM d),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase FROM p, (SELECT unnest([1, 2, 3]) AS k)),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
+t AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10),
+cut AS (SELECT *, unnest(range(1, k)) AS h FROM c),
+s AS (SELECT cut.lang, cut.k, cut.phrase, cut.a, cut.h, x.f AS l, y.f AS r,
+             CAST(1000000::HUGEINT * cut.a * cut.a // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+      FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = array_to_string(w[1:h], ' ') JOIN f y ON y.lang = cut.lang AND y.phrase = array_to_string(w[h + 1:cut.k], ' ')),
+low AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, h) = 1),
+inner_ AS (SELECT lang, array_to_string(w[1:2], ' ') AS phrase, a AS longer FROM c WHERE k = 3 UNION ALL SELECT lang, array_to_string(w[2:3], ' '), a FROM c WHERE k = 3),
+m AS (SELECT lang, phrase, max(longer) AS longer FROM inner_ GROUP BY ALL)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT low.lang, row_number() OVER (PARTITION BY low.lang ORDER BY score DESC, a DESC, encode(low.phrase)) AS rank, low.phrase, a, l, r, t.n, score
+  FROM low JOIN t ON t.lang = low.lang LEFT JOIN m ON m.lang = low.lang AND m.phrase = low.phrase
+  WHERE NOT (low.k = 2 AND coalesce(100 * m.longer >= 50 * a, false))) WHERE rank <= 2000"""
+
+
+@register("op13_phrase_streams", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import phrases
+
+    return phrases.mine(table(spark, sf_dir, "documents"))
