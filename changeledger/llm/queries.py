@@ -166,3 +166,31 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import phrases
 
     return phrases.mine(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+WITH rows_ AS (SELECT conv_id AS c, turn, sha256(CAST(length(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, '')) AS said,
+                      len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, said) - 1 AS place, said, words FROM rows_),
+ids AS (SELECT c, c - c % 20 AS first, CAST(xor(list_reduce(flatten(list_transform(string_split(CAST(c AS VARCHAR), ''), lambda d: [ord(d), 0, 0, 0, 0, 0, 0, 0])),
+               lambda a, x: xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1)), 4294967295), 4294967295) % 4 AS BIGINT) AS h FROM (SELECT DISTINCT c FROM rows_)),
+turns AS (SELECT ids.c, own.place, own.said, own.words FROM ids JOIN own ON own.c = ids.c AND own.place >= ids.h
+          UNION ALL SELECT ids.c, own.place, own.said, own.words FROM ids JOIN own ON own.c = ids.first AND own.place < ids.h),
+p AS (SELECT c, row_number() OVER w AS depth, list(said) OVER w AS prefix, words FROM turns WINDOW w AS (PARTITION BY c ORDER BY place ROWS UNBOUNDED PRECEDING)
+      UNION ALL SELECT c, 0, CAST([] AS VARCHAR[]), 0 FROM ids),
+n AS (SELECT depth, prefix, min(c) AS conv_id, count(*) AS n_convs, any_value(words) AS words FROM p GROUP BY depth, prefix),
+kids AS (SELECT prefix[1:depth - 1] AS prefix, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+full_ AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN kids USING (prefix)),
+below AS (SELECT prefix[1:d] AS prefix, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * words) AS saved
+          FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM full_) GROUP BY ALL),
+done AS (SELECT c, max_by(prefix, depth) AS prefix FROM p GROUP BY c),
+e AS (SELECT prefix, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS ends FROM done GROUP BY prefix)
+SELECT f.conv_id, f.depth, up.conv_id AS parent_conv_id, f.n_convs, f.n_children, b.n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens, coalesce(e.ends, sha256('')) AS ends_sha256
+FROM full_ f JOIN below b ON b.prefix = f.prefix LEFT JOIN e ON e.prefix = f.prefix LEFT JOIN n up ON f.depth > 0 AND up.prefix = f.prefix[1:f.depth - 1]"""
+
+
+@register("op11_zfast_conversations", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import conversations
+
+    return conversations.prefix_trie(table(spark, sf_dir, "conversations"))
