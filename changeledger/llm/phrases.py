@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .common import slices, stored, text_or_empty
 
 #: Bytes of text counted at once in a task.
-BATCH_BYTES = 12 << 20
+BATCH_BYTES = 6 << 20
 #: A filter has so many bits a phrase, and at most MAX_BITS (32 MB); a fuller one passes more phrases on to be counted.
 BITS_A_PHRASE = 16
 MAX_BITS = 1 << 28
@@ -160,7 +160,9 @@ def _counts(docs: DataFrame, length: int, shorter=None) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([langs.dictionary.take(pa.array(lang[i:i + (1 << 16)])).cast(pa.string()), phrase, pa.array(n[i:i + (1 << 16)], pa.int64())],
                                                      ["lang", "phrase", "f"])
 
-    return _rows(docs).mapInArrow(count, "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    # A task's sums are nearly all of different phrases, so they are dealt as they are and added up behind the shuffle; a hot phrase has a row a batch.
+    counted = _rows(docs).mapInArrow(count, "lang string, phrase string, f long").repartition("lang", "phrase")
+    return counted.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
 
 
 def _filter(frequent: DataFrame):
