@@ -108,8 +108,9 @@ def cdc_project(env: DataFrame, seq: str = "seq") -> DataFrame:
                # a delete needs its key alone: neither the clock nor other fields
                .when((op != DELETE_OP) & corrupt, "wrong_type")
                .when((op != DELETE_OP) & ts_text.isNotNull() & ts.isNull(), "bad_timestamp"))
+    place = F.col(seq) if isinstance(env.schema[seq].dataType, T.StructType) else F.col(seq).cast("long")
     return env.select(
-        F.col(seq).cast("long").alias("seq"),
+        place.alias("seq"),
         key.alias("order_id"),
         op.alias("op"),
         doc.getField("merchant_id").alias("merchant_id"),
@@ -123,6 +124,17 @@ def cdc_project(env: DataFrame, seq: str = "seq") -> DataFrame:
     )
 
 
+def event_order(cluster_time: Column, partition: Column | str = "partition", offset: Column | str = "offset") -> Column:
+    """The place of an event whose key's events come from several topic partitions (D4): the database's
+    clock, then partition and offset.
+
+    Structs compare field by field, so every fold, base and late-event test orders by it as by one number.  An
+    event without a readable clock comes before all others of its key.
+    """
+    p, o = (F.col(c) if isinstance(c, str) else c for c in (partition, offset))
+    return F.struct(to_ts(cluster_time).alias("cluster_time"), p.cast("int").alias("partition"), o.cast("long").alias("offset"))
+
+
 CHANGE_OUT = ["seq", "order_id", "op", "merchant_id", "status", "amount", "currency", "event_ts"]
 
 

@@ -1,6 +1,8 @@
 """Change-log semantics: replay, per-batch merge, erasure, tombstones, late events.
 
-A change row is ``(seq, key, op, <value columns>)``.  The state of a key is
+A change row is ``(seq, key, op, <value columns>)``.  ``seq`` is the event's place in order: an
+offset, or where the events of a key may come from several partitions, the struct of
+``functions.cdc.event_order``.  The state of a key is
 defined by the events after its last delete: the key exists when at least one
 upsert follows that delete, and every column holds its last non-null value
 (a null in an update never clears a value).  This is exactly what applying the
@@ -44,18 +46,19 @@ def accumulators(value_cols: list[str], live: Column, prefix: str = "", seq: str
     return aggs
 
 
-def _floor(prefix: str) -> Column:
-    return F.coalesce(F.col(f"{prefix}_last_del"), F.lit(STATE_SEQ - 1))
+def _after(a: Column, b: Column) -> Column:
+    """``a`` is later than ``b``, or there is no ``b``; positions may be of any type with an order, also structs."""
+    return F.coalesce(a > b, a.isNotNull() & b.isNull())
 
 
 def exists(prefix: str = "") -> Column:
     """A folded key exists when an upsert follows its last delete."""
-    return F.coalesce(F.col(f"{prefix}_last_up") > _floor(prefix), F.lit(False))
+    return _after(F.col(f"{prefix}_last_up"), F.col(f"{prefix}_last_del"))
 
 
 def current(c: str, prefix: str = "") -> Column:
     """A folded key's value of column ``c``: the last one, unless a delete followed it."""
-    return F.when(F.col(f"{prefix}_seq_{c}") > _floor(prefix), F.col(f"{prefix}{c}"))
+    return F.when(_after(F.col(f"{prefix}_seq_{c}"), F.col(f"{prefix}_last_del")), F.col(f"{prefix}{c}"))
 
 
 def fold(changes: DataFrame, key: str = KEY, value_cols: list[str] | None = None,
@@ -82,7 +85,7 @@ def merge_folds(base: DataFrame, tail: DataFrame, key: str = KEY,
     new = tail.select(key, *[F.col(c).alias(f"_t_{c}") for c in tail.columns if c != key])
     merged = [F.greatest(c, f"_t_{c}").alias(c) for c in ("_last_del", "_last_up")]
     for c in value_cols:
-        newer = F.col(f"_t__seq_{c}") > F.coalesce(F.col(f"_seq_{c}"), F.lit(STATE_SEQ - 1))
+        newer = _after(F.col(f"_t__seq_{c}"), F.col(f"_seq_{c}"))
         merged.append(F.when(newer, F.col(f"_t_{c}")).otherwise(F.col(c)).alias(c))
         merged.append(F.greatest(f"_seq_{c}", f"_t__seq_{c}").alias(f"_seq_{c}"))
     held = base.join(tail.select(key), key, "left_semi").select(key)
@@ -100,13 +103,13 @@ def replay(changes: DataFrame, key: str = KEY, value_cols: list[str] | None = No
     return folded_state(fold(changes, key, value_cols, seq, op), key, value_cols)
 
 
-def _keyed_by_id() -> Column:
+def keyed_by_id() -> Column:
     """A delete that brought the database id alone."""
     return F.coalesce(_is_delete("op") & (F.col(KEY) == F.col("source_id")), F.lit(False))
 
 
 def id_deletes(rows: DataFrame) -> DataFrame:
-    return rows.where(_keyed_by_id())
+    return rows.where(keyed_by_id())
 
 
 def id_pairs(rows: DataFrame) -> DataFrame:
@@ -124,14 +127,15 @@ def resolve_deletes(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     found = (id_deletes(rows)
              .join(known, (F.col("source_id") == F.col("_sid")) & (F.col("seq") > F.col("first_seq")), "left")
              .withColumn(KEY, F.coalesce("_key", KEY)).select(rows.columns))
-    return rows.where(~_keyed_by_id()).unionByName(found)
+    return rows.where(~keyed_by_id()).unionByName(found)
 
 
 def state_as_changes(state: DataFrame, key: str = KEY, value_cols: list[str] | None = None,
-                     seq_value: int = STATE_SEQ) -> DataFrame:
+                     seq_value: int | Column = STATE_SEQ) -> DataFrame:
     """State rows as synthetic ``update`` events at ``seq_value``."""
     value_cols = value_cols or [c for c in state.columns if c != key]
-    return state.select(F.lit(seq_value).cast("long").alias("seq"), key,
+    at = seq_value if isinstance(seq_value, Column) else F.lit(seq_value).cast("long")
+    return state.select(at.alias("seq"), key,
                         F.lit("update").alias("op"), *value_cols)
 
 
@@ -189,7 +193,7 @@ def erase_keys(df: DataFrame, erase: DataFrame, key: str = KEY) -> DataFrame:
     return df.join(keys, key, "left_anti")
 
 
-def compact_log(changes: DataFrame, upto_seq: int, key: str = KEY,
+def compact_log(changes: DataFrame, upto_seq: int | Column, key: str = KEY,
                 value_cols: list[str] | None = None) -> DataFrame:
     """Fold the log prefix ``seq <= upto_seq`` into base rows.
 
@@ -201,7 +205,7 @@ def compact_log(changes: DataFrame, upto_seq: int, key: str = KEY,
     return state_as_changes(base, key, value_cols, upto_seq)
 
 
-def late_events(tail: DataFrame, base_seq: int) -> DataFrame:
+def late_events(tail: DataFrame, base_seq: int | Column) -> DataFrame:
     """Events that arrive after a compaction but belong before it.
 
     Folding them silently would reorder history, so they are set aside.

@@ -151,11 +151,21 @@ def diff_versions(changes: DataFrame, commits: DataFrame, v_from: int, v_to: int
     """
     lo, hi = sorted((v_from, v_to))
     commit_times(commits, [lo, hi])     # an unknown version raises
+    rows = changes.where(F.col(batch) <= hi)
+    return diff_marked(rows.withColumn("_in_old", F.col(batch) <= lo).withColumn("_in_new", F.lit(True)), lo, key, batch)
+
+
+def diff_marked(changes: DataFrame, lo: int, key: str = "order_id", batch: str = "batch_id") -> DataFrame:
+    """The difference of two folds of one log: rows with ``_in_old`` against rows with ``_in_new``.
+
+    Keys whose rows all stand in both and belong to snapshots up to ``lo`` can't differ and are left out.
+    """
     cols = [c for c in VALUE_COLUMNS if c in changes.columns]
-    folded = (changes.where((F.col(batch) <= hi) & F.col(key).isNotNull()).groupBy(key)
-              .agg(*accumulators(cols, F.col(batch) <= lo, "_old_"),
-                   *accumulators(cols, F.lit(True), "_new_"), F.max(batch).alias("_newest"))
-              .where(F.col("_newest") > lo))
+    one_sided = F.col("_in_old") != F.col("_in_new")
+    folded = (changes.where(F.col(key).isNotNull()).groupBy(key)
+              .agg(*accumulators(cols, F.col("_in_old"), "_old_"), *accumulators(cols, F.col("_in_new"), "_new_"),
+                   F.max((F.col(batch) > lo) | one_sided).alias("_touched"))
+              .where(F.col("_touched")))
     pairs = {c: current(c, "_old_").eqNullSafe(current(c, "_new_")) for c in cols}
     both = exists("_old_") & exists("_new_")
     changed_cols = F.concat_ws(",", *[F.when(~same, F.lit(c)) for c, same in pairs.items()])

@@ -13,8 +13,8 @@ from pyspark.sql import types as T
 
 from ..functions.cdc import CHANGE_OUT
 from ..operators import history as h
-from ..operators.changes import (KEY, fold, folded_state, id_deletes, id_pairs, merge_folds,
-                                 replay, resolve_deletes)
+from ..operators.changes import (KEY, fold, folded_state, id_deletes, id_pairs, keyed_by_id,
+                                 merge_folds, replay, resolve_deletes)
 from ..schemas import CHANGE_ROW, DELETE_OP
 
 # Given, so that no read has to infer it; logs of before without a source_id read it as null.
@@ -28,8 +28,27 @@ LOG_SCHEMA = T.StructType([
 ])
 
 
+_SEQ_TYPES: dict[str, T.DataType] = {}
+COMMIT_SCHEMA = "snapshot_id long, committed_at timestamp_ntz, operation string, added_rows long, id_deletes long, batch_id long"
+
+
 def _log(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(LOG_SCHEMA).parquet(f"{root}/log")
+    """The log in ``LOG_SCHEMA``; ``seq`` has the type it was written with, a number or a composite place."""
+    if root not in _SEQ_TYPES:
+        _SEQ_TYPES[root] = spark.read.parquet(f"{root}/log").schema["seq"].dataType
+    fields = [T.StructField(f.name, _SEQ_TYPES[root] if f.name == "seq" else f.dataType) for f in LOG_SCHEMA.fields]
+    return spark.read.schema(T.StructType(fields)).parquet(f"{root}/log")
+
+
+def _commit_rows(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(COMMIT_SCHEMA).parquet(f"{root}/commits")
+
+
+def _has_id_deletes(spark: SparkSession, root: str, upto: int | None) -> bool:
+    """Whether a commit brought deletes by database id; commits of before the count was kept may have."""
+    some = F.coalesce(F.col("id_deletes") > 0, F.lit(True))
+    rows = _commit_rows(spark, root)
+    return not (rows if upto is None else rows.where(F.col("batch_id") <= upto)).where(some).isEmpty()
 
 
 def _rows(spark: SparkSession, root: str, upto: int | None = None, after: int | None = None) -> DataFrame:
@@ -38,7 +57,7 @@ def _rows(spark: SparkSession, root: str, upto: int | None = None, after: int |
     ``batch_id`` and ``_lane`` are partition columns, so the filters prune folders.
     """
     log = _log(spark, root).where(F.col("_lane") == "ok")
-    commits = spark.read.parquet(f"{root}/commits").select("batch_id")
+    commits = _commit_rows(spark, root).select("batch_id")
     if upto is not None:
         log = log.where(F.col("batch_id") <= upto)
         commits = commits.where(F.col("batch_id") <= upto)
@@ -52,7 +71,14 @@ def committed_log(spark: SparkSession, root: str, upto: int | None = None) -> Da
     """Usable change rows of committed batches (optionally up to snapshot ``upto``), deletes
     under the business key of the documents they remove."""
     rows = _rows(spark, root, upto)
-    return resolve_deletes(rows, id_pairs(rows)).select("batch_id", *CHANGE_OUT)
+    if _has_id_deletes(spark, root, upto):
+        rows = resolve_deletes(rows, _pairs_of(rows, rows))
+    return rows.select("batch_id", *CHANGE_OUT)
+
+
+def _pairs_of(rows: DataFrame, deletes: DataFrame) -> DataFrame:
+    """``id_pairs`` of the ids that occur among the deletes alone: AQE broadcasts a small set of them, so the upserts aren't shuffled for it."""
+    return id_pairs(rows.join(id_deletes(deletes).select("source_id"), "source_id", "left_semi"))
 
 
 def dead_letter_log(spark: SparkSession, root: str) -> DataFrame:
@@ -62,7 +88,7 @@ def dead_letter_log(spark: SparkSession, root: str) -> DataFrame:
 
 
 def commits(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/commits").drop("batch_id")
+    return _commit_rows(spark, root).drop("batch_id", "id_deletes")
 
 
 def _ids_path(base: str) -> str:
@@ -203,5 +229,21 @@ def as_of_tag(spark: SparkSession, root: str, name: str, base: str | None = None
 
 
 def diff(spark: SparkSession, root: str, v_from: int, v_to: int) -> DataFrame:
-    """Rows added, removed or changed between two committed snapshots."""
-    return h.diff_versions(committed_log(spark, root), commits(spark, root), v_from, v_to)
+    """Rows added, removed or changed between two committed snapshots, older → newer.
+
+    One fold of the log, both versions side by side.  A delete by database id is resolved for each version by the
+    documents of that version, so the result is the difference of the two states also when a document arrives after its delete.
+    """
+    lo, hi = sorted((v_from, v_to))
+    h.commit_times(commits(spark, root), [lo, hi])  # an unknown version raises
+    rows = _rows(spark, root, hi)
+    old, both = F.col("batch_id") <= lo, F.lit(True)
+    if not _has_id_deletes(spark, root, hi):
+        return h.diff_marked(rows.select("batch_id", *CHANGE_OUT).withColumn("_in_old", old).withColumn("_in_new", both), lo)
+    plain = rows.where(~keyed_by_id()).withColumn("_in_old", old).withColumn("_in_new", both)
+    deletes = id_deletes(rows)
+    before, upto = rows.where(old), rows
+    sides = [resolve_deletes(deletes.where(old), _pairs_of(before, before)).withColumn("_in_old", F.lit(True)).withColumn("_in_new", F.lit(False)),
+             resolve_deletes(deletes, _pairs_of(upto, upto)).withColumn("_in_old", F.lit(False)).withColumn("_in_new", F.lit(True))]
+    marked = plain.unionByName(sides[0]).unionByName(sides[1])
+    return h.diff_marked(marked.select("batch_id", *CHANGE_OUT, "_in_old", "_in_new"), lo)

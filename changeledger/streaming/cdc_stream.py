@@ -13,7 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.cdc import cdc_project, parse_envelope, parse_full_documents
+from ..functions.cdc import cdc_project, event_order, parse_envelope, parse_full_documents
+from ..operators.changes import keyed_by_id
 from ..schemas import TS_FORMAT
 
 RECORD_SCHEMA = "key string, value string, topic string, partition int, offset long"
@@ -62,18 +63,28 @@ def to_records(df: DataFrame, key: str, topic: Column | str, seq: str = "seq") -
                      F.lit(0).alias("partition"), F.col(seq).cast("long").alias("offset"))
 
 
-def project_records(records: DataFrame, full_document_only: bool = False) -> DataFrame:
+def project_records(records: DataFrame, full_document_only: bool = False, order: str = "offset") -> DataFrame:
     """Broker records → flat change rows with ``_reason``.
 
     A null payload with a message key is a tombstone: a delete of that key (O42).
-    ``seq`` is the record offset (one partition per topic keeps order).
+    ``order="offset"``: ``seq`` is the record offset, for topics whose events of one key share a
+    partition.  ``order="cluster"``: ``seq`` is ``event_order`` (clock, partition, offset), for any topic; a payload
+    without a clock takes the broker's ``timestamp`` where the records have one.
     """
+    if order not in ("offset", "cluster"):
+        raise ValueError(f"unknown order {order}")
     tomb = F.col("value").isNull() & F.col("key").isNotNull()
     value = F.when(tomb, F.to_json(F.struct(
         F.lit("delete").alias("operationType"),
         F.struct(F.col("key").cast("string").alias("_id")).alias("documentKey")))).otherwise(F.col("value"))
-    src = records.select(F.col("offset").alias("seq"), value.alias("value"))
+    carried = [c for c in ("partition", "timestamp") if order == "cluster" and c in records.columns]
+    src = records.select(F.col("offset").alias("seq"), *carried, value.alias("value"))
     parsed = parse_full_documents(src) if full_document_only else parse_envelope(src)
+    if order == "cluster":
+        broker = F.col("timestamp").cast("timestamp_ntz").cast("string") if "timestamp" in carried else F.lit(None).cast("string")
+        clock = F.coalesce("clusterTime", broker)
+        partition = F.col("partition") if "partition" in carried else F.lit(0)
+        parsed = parsed.withColumn("seq", event_order(clock, partition, F.col("seq")))
     return cdc_project(parsed)
 
 
@@ -82,44 +93,52 @@ def write_batch(projected: DataFrame, root: str, batch_id: int) -> int:
 
     Returns the number of usable rows, observed while writing (no second job).
     """
+    return write_counted(projected, root, batch_id)["ok"]
+
+
+def write_counted(projected: DataFrame, root: str, batch_id: int) -> dict[str, int]:
+    """``write_batch``, with the numbers of usable rows (``ok``) and of deletes by database id among them (``id_deletes``)."""
     lane = F.when(F.col("_reason").isNull(), "ok").otherwise("dlq")
     out = projected.withColumn("_lane", lane).withColumn(
         "_payload", F.when(F.col("_reason").isNotNull(), F.col("_payload")))
     obs = Observation(f"ledger_batch_{batch_id}")
-    out = out.observe(obs, F.sum(F.when(F.col("_lane") == "ok", 1).otherwise(0)).alias("ok"))
+    ok = F.col("_lane") == "ok"
+    out = out.observe(obs, F.sum(F.when(ok, 1).otherwise(0)).alias("ok"),
+                      F.sum(F.when(ok & keyed_by_id(), 1).otherwise(0)).alias("id_deletes"))
     # static: a replayed batch replaces both lanes, also one that no longer occurs
     out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("_lane").parquet(f"{root}/log/batch_id={batch_id}")
-    return int(obs.get.get("ok") or 0)
+    return {k: int(obs.get.get(k) or 0) for k in ("ok", "id_deletes")}
 
 
-def write_commit(spark: SparkSession, root: str, batch_id: int, added: int) -> None:
+def write_commit(spark: SparkSession, root: str, batch_id: int, added: int, id_deletes: int | None = None) -> None:
     commit = spark.range(1).select(
         F.lit(batch_id).cast("long").alias("snapshot_id"),
         F.localtimestamp().alias("committed_at"),
         F.lit("append").alias("operation"),
-        F.lit(added).cast("long").alias("added_rows"))
+        F.lit(added).cast("long").alias("added_rows"),
+        F.lit(id_deletes).cast("long").alias("id_deletes"))
     commit.write.mode("overwrite").parquet(f"{root}/commits/batch_id={batch_id}")
 
 
-def batch_writer(root: str, full_document_only: bool = False):
+def batch_writer(root: str, full_document_only: bool = False, order: str = "offset"):
     def _apply(batch_df: DataFrame, batch_id: int) -> None:
         if batch_df.isEmpty():          # O40: no files, no commit for empty batches
             return
-        added = write_batch(project_records(batch_df, full_document_only), root, batch_id)
-        write_commit(batch_df.sparkSession, root, batch_id, added)
+        n = write_counted(project_records(batch_df, full_document_only, order), root, batch_id)
+        write_commit(batch_df.sparkSession, root, batch_id, n["ok"], n["id_deletes"])
     return _apply
 
 
 def start_ledger_stream(source: DataFrame, root: str, checkpoint: str,
                         available_now: bool = True, processing_time: str | None = None,
-                        full_document_only: bool = False):
+                        full_document_only: bool = False, order: str = "offset"):
     """Start the change stream into the ledger at ``root``.
 
     ``checkpoint`` keeps source offsets; restarting with the same checkpoint
     resumes after the last committed batch.
     """
     w = (source.writeStream.outputMode("update")
-         .foreachBatch(batch_writer(root, full_document_only))
+         .foreachBatch(batch_writer(root, full_document_only, order))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "10 seconds")
     return w.start()

@@ -106,3 +106,73 @@ def test_fields_of_a_wrong_type_are_dead_letters(spark):
               '{"operationType":"delete","documentKey":{"_id":"a"},"fullDocument":{"amount":"x"}}', '{bad']
     df = spark.createDataFrame(list(enumerate(events)), "seq long, value string")
     assert [r[0] for r in cdc_project(parse_envelope(df)).orderBy("seq").select("_reason").collect()] == ["wrong_type", None, None, "malformed"]
+
+
+def test_diff_is_the_difference_of_the_states(spark):
+    """Also when a delete by database id comes before the document that it removes."""
+    late = [[document(1, "o1", "new", 1.0)], [delete(4, "o2"), document(5, "o3", "new", 3.0)], [document(2, "o2", "late", 2.0), document(6, "o1", "paid")],
+            [delete(7, "o3"), document(3, "o1", "late", 9.0)], [document(8, "o3", "back", 8.0)]]
+    for batches in (BATCHES, late):
+        root = written(spark, batches)
+        for lo in range(len(batches)):
+            for hi in range(lo, len(batches)):
+                want = h.snapshot_diff(ledger.state(spark, root, lo), ledger.state(spark, root, hi))
+                assert rows(ledger.diff(spark, root, lo, hi)) == rows(want), (lo, hi)
+
+
+def test_a_version_reads_its_folders_only(spark):
+    root = written(spark, BATCHES)
+    df = ledger.as_of_version(spark, root, 0)
+    scans = [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line and "merchant_id" in line]
+    assert scans and all("PartitionFilters: [" in x and "batch_id" in x.split("PartitionFilters: [")[1].split("]")[0] for x in scans)
+
+
+def test_events_of_a_key_from_several_partitions(spark):
+    """Order by clock, partition and offset: state, base with late rows, late events and diffs as a sequential fold gives them."""
+    rng = random.Random(11)
+    events = []
+    for n in range(400):
+        key, op = f"k{rng.randint(0, 15)}", rng.choice(["insert", "update", "update", "replace", "delete"])
+        clock = f"2024-01-{1 + n // 40:02d}T00:{n % 40 // 3:02d}:00.000000"  # several events share a clock
+        events.append((clock, rng.randint(0, 3), key, op, rng.choice([None, f"s{n}"]), rng.choice([None, float(n)])))
+    offsets, records = [0] * 4, []
+    for clock, part, key, op, status, amount in rng.sample(events, len(events)):  # offsets say nothing about the clock
+        doc = {"order_id": key, "status": status, "amount": amount}
+        body = ", ".join(f'"{k}": {("null" if v is None else v) if k == "amount" else ("null" if v is None else chr(34) + v + chr(34))}' for k, v in doc.items())
+        full = "" if op == "delete" else f', "fullDocument": {{{body}}}'
+        records.append((key, f'{{"operationType": "{op}", "documentKey": {{"_id": "{key}"}}, "clusterTime": "{clock}"{full}}}', part, offsets[part], clock, op, status, amount))
+        offsets[part] += 1
+    root, batches = work_path(spark, "ledger"), 4
+    for n in range(batches):
+        some = [r[:4] for k, r in enumerate(records) if k % batches == n]
+        projected = project_records(spark.createDataFrame(some, "key string, value string, partition int, offset long"), order="cluster")
+        assert projected.schema["seq"].dataType.fieldNames() == ["cluster_time", "partition", "offset"]
+        write_commit(spark, root, n, write_batch(projected, root, n))
+
+    def sequential(part):
+        state = {}
+        for key, _, _, _, _, op, status, amount in sorted(part, key=lambda r: (r[4], r[2], r[3])):
+            if op == "delete":
+                state.pop(key, None)
+            else:
+                old = state.get(key, (None, None))
+                state[key] = (status if status is not None else old[0], amount if amount is not None else old[1])
+        return state
+
+    for upto in range(batches):
+        got = {r.order_id: (r.status, r.amount) for r in ledger.state(spark, root, upto).collect()}
+        assert got == sequential([r for k, r in enumerate(records) if k % batches <= upto])
+    base = ledger.write_base(spark, root, 1, work_path(spark, "base"))
+    assert rows(ledger.state(spark, root, base=base)) == rows(ledger.state(spark, root))
+    marks = {}
+    for k, r in enumerate(records):
+        if k % batches <= 1:
+            marks[r[0]] = max(marks.get(r[0], ()), (r[4], r[2], r[3]))
+    late = [(r[0], r[3]) for k, r in enumerate(records) if k % batches > 1 and (r[4], r[2], r[3]) <= marks.get(r[0], ())]
+    assert late and sorted((r.order_id, r.seq.offset) for r in ledger.late_events(spark, root, base).collect()) == sorted(late)
+    assert rows(ledger.diff(spark, root, 0, 3)) == rows(h.snapshot_diff(ledger.state(spark, root, 0), ledger.state(spark, root, 3)))
+
+
+def test_unknown_order(spark):
+    with pytest.raises(ValueError):
+        project_records(spark.createDataFrame([], "key string, value string, partition int, offset long"), order="time")
