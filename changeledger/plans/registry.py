@@ -24,7 +24,7 @@ def register(name: str, sql: str | None = None):
 
 
 def _load() -> None:
-    from . import q_changes, q_history, q_ingest, q_quality, q_storage, q_stream  # noqa: F401
+    from . import q_changes, q_history, q_ingest, q_quality, q_storage, q_stream, q_table  # noqa: F401
 
 
 _load()
