@@ -2,7 +2,7 @@
 
 ``data/run=<id>/event_date=<day>/`` holds the rows of a day as one run wrote them, never changed afterwards.
 ``versions/version=<n>/`` is the pointer: for each day of the version the folder that holds it, with the version's parents,
-branch and time.  A write stages the days it changes in a new run folder, checks them, and writes the pointer last, so
+branch and time; ``lineage/`` keeps the parents alone.  A write stages the days it changes in a new run folder, checks them, and writes the pointer last, so
 readers see the version before or the version after, and a failed or repeated run leaves the table as it was.
 Days that a version didn't change point to the folders of its parent, so a version costs what it changed.
 
@@ -136,6 +136,7 @@ class DayTable:
             [(list(parents), branch, operation, run, schema.json(), [(d, f, rows[d]) for d, f in sorted(days.items())])],
             "parents array<long>, branch string, operation string, run string, table_schema string, days array<struct<day:string,folder:string,rows:long>>")
         now = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()).cast("timestamp_ntz")
+        pointer.select("parents").write.mode("overwrite").parquet(f"{self.root}/lineage/version={number}")
         pointer.withColumn("committed_at", now).coalesce(1).write.mode("error").parquet(f"{self.root}/versions/version={number}")
         return number
 
@@ -186,8 +187,10 @@ class DayTable:
     # ---- merging branches
 
     def common_version(self, a: int, b: int) -> int:
-        """The newest version that both come from."""
-        parents = {r.version: tuple(r.parents) for r in self.versions().select("version", "parents").collect()}  # a few numbers a version
+        """The newest version that both come from and that isn't expired.  The lineage outlives the versions."""
+        lineage = self.spark.read.schema("parents array<long>, version long").parquet(f"{self.root}/lineage")
+        parents = {r.version: tuple(r.parents) for r in lineage.collect()}  # a few numbers a version
+        held = {r[0] for r in self.versions().select("version").collect()}
 
         def line(n: int) -> set[int]:
             seen, todo = set(), [n]
@@ -198,7 +201,7 @@ class DayTable:
                     todo += parents.get(n, ())
             return seen
 
-        common = line(a) & line(b)
+        common = line(a) & line(b) & held
         if not common:
             raise ValueError(f"versions {a} and {b} have no version in common")
         return max(common)
