@@ -48,6 +48,33 @@ def touched_groups(before: DataFrame, delta: DataFrame, key: str = "order_id",
     return old.unionByName(delta.select(dim)).distinct()
 
 
+def exact_totals(orders: DataFrame, dim: str = "merchant_id") -> DataFrame:
+    """``merchant_totals`` in a form that rows can be taken out of again: exact sum, number of amounts, number of rows."""
+    return orders.groupBy(dim).agg(F.sum(F.col("amount").cast(MONEY)).cast("decimal(38,2)").alias("sum_exact"),
+                                   F.count("amount").alias("amount_count"), F.count(F.lit(1)).alias("order_count"))
+
+
+def apply_signed(stored: DataFrame, signed: DataFrame, dim: str = "merchant_id") -> DataFrame:
+    """Refresh ``exact_totals`` by signed rows alone (O31): a row's old image is subtracted from its old group, the new
+    one added to its new group, and a group without rows goes.
+
+    Only the changes and the stored groups are read, never the table.  Changes are added up before they
+    meet the groups, so a hot group costs a row a task.
+    """
+    sign, amount = F.col("sign"), F.col("amount").cast(MONEY)
+    delta = signed.groupBy(dim).agg(F.sum(sign * amount).cast("decimal(38,2)").alias("sum_exact"),
+                                    F.sum(F.when(F.col("amount").isNotNull(), sign).otherwise(0)).cast("long").alias("amount_count"),
+                                    F.sum(sign).cast("long").alias("order_count"))
+    total = stored.unionByName(delta).groupBy(dim).agg(F.sum("sum_exact").cast("decimal(38,2)").alias("sum_exact"),
+                                                       F.sum("amount_count").alias("amount_count"), F.sum("order_count").alias("order_count"))
+    return total.where(F.col("order_count") > 0)
+
+
+def totals_view(exact: DataFrame, dim: str = "merchant_id") -> DataFrame:
+    """``exact_totals`` as ``merchant_totals`` shows them: a group without any amount has no sum."""
+    return exact.select(dim, F.when(F.col("amount_count") > 0, F.col("sum_exact")).cast("double").alias("sum_amount"), "order_count")
+
+
 def raw_projection(state: DataFrame) -> DataFrame:
     """Stored projection order_id, merchant_id, status, event_ts."""
     return state.select("order_id", "merchant_id", "status", "event_ts")

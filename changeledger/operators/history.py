@@ -155,17 +155,34 @@ def diff_versions(changes: DataFrame, commits: DataFrame, v_from: int, v_to: int
     return diff_marked(rows.withColumn("_in_old", F.col(batch) <= lo).withColumn("_in_new", F.lit(True)), lo, key, batch)
 
 
+def fold_sides(changes: DataFrame, lo: int, key: str = "order_id", batch: str = "batch_id") -> DataFrame:
+    """Two folds of one log side by side, ``_old_…`` of rows with ``_in_old`` and ``_new_…`` of rows with ``_in_new``, of
+    the keys that a snapshot after ``lo`` touched."""
+    cols = [c for c in VALUE_COLUMNS if c in changes.columns]
+    one_sided = F.col("_in_old") != F.col("_in_new")
+    return (changes.where(F.col(key).isNotNull()).groupBy(key)
+            .agg(*accumulators(cols, F.col("_in_old"), "_old_"), *accumulators(cols, F.col("_in_new"), "_new_"),
+                 F.max((F.col(batch) > lo) | one_sided).alias("_touched"))
+            .where(F.col("_touched")))
+
+
+def signed_rows(folded: DataFrame, key: str = "order_id") -> DataFrame:
+    """Each touched key's row before (``sign`` -1) and after (``sign`` 1), where it exists; equal rows cancel and are left out."""
+    cols = [c.removeprefix("_old_") for c in folded.columns if c.startswith("_old_") and not c.startswith("_old__")]
+    image = {side: F.struct(*[current(c, f"_{side}_").alias(c) for c in cols]) for side in ("old", "new")}
+    both = F.array_compact(F.array(F.when(exists("_old_"), F.struct(F.lit(-1).alias("sign"), image["old"].alias("row"))),
+                                   F.when(exists("_new_"), F.struct(F.lit(1).alias("sign"), image["new"].alias("row")))))
+    moved = ~(exists("_old_") & exists("_new_") & image["old"].eqNullSafe(image["new"]))
+    return folded.where(moved).select(key, F.explode(both).alias("_r")).select(key, "_r.sign", "_r.row.*")
+
+
 def diff_marked(changes: DataFrame, lo: int, key: str = "order_id", batch: str = "batch_id") -> DataFrame:
     """The difference of two folds of one log: rows with ``_in_old`` against rows with ``_in_new``.
 
     Keys whose rows all stand in both and belong to snapshots up to ``lo`` can't differ and are left out.
     """
     cols = [c for c in VALUE_COLUMNS if c in changes.columns]
-    one_sided = F.col("_in_old") != F.col("_in_new")
-    folded = (changes.where(F.col(key).isNotNull()).groupBy(key)
-              .agg(*accumulators(cols, F.col("_in_old"), "_old_"), *accumulators(cols, F.col("_in_new"), "_new_"),
-                   F.max((F.col(batch) > lo) | one_sided).alias("_touched"))
-              .where(F.col("_touched")))
+    folded = fold_sides(changes, lo, key, batch)
     pairs = {c: current(c, "_old_").eqNullSafe(current(c, "_new_")) for c in cols}
     both = exists("_old_") & exists("_new_")
     changed_cols = F.concat_ws(",", *[F.when(~same, F.lit(c)) for c, same in pairs.items()])

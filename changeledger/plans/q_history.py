@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 from ..functions.rest import conditional_update
 from ..operators import evolution as evo
 from ..operators import history as h
+from ..operators.aggregates import exact_totals
+from ..operators.layout import distribute_for_write
 from ..schemas import RAW_TTL_DAYS, RETENTION_DAYS, SNAPSHOT_TAGS, ZONE_RETENTION_DAYS
 from ..session import cut_lineage, work_path
+from ..sources import ledger
 from ..sources import testdata as td
 from . import oracle as O
 from .registry import register
@@ -34,10 +37,22 @@ def _log(spark, sf_dir, store: bool = False):
     return log, (cut_lineage(commits, "commits") if store else commits)
 
 
-def _history(spark, sf_dir):
-    """The log with the snapshot that brought each change, and the stored commits."""
-    log, commits = _log(spark, sf_dir, store=True)
-    return h.with_batches(log, commits), commits
+_LEDGERS: dict[tuple[str, str], str] = {}
+
+
+def _ledger(spark, sf_dir):
+    """The change log as a written ledger with a batch for each event day; written once a session, as a stream would have done."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LEDGERS:
+        root = work_path(spark, "history-ledger")
+        log, commits = _log(spark, sf_dir, store=True)
+        rows = h.with_batches(log, commits).where(F.col("batch_id").isNotNull()).withColumn("_lane", F.lit("ok"))
+        none = [F.lit(None).cast("string").alias(c) for c in ("source_id", "_reason", "_payload")]
+        distribute_for_write(rows.select("*", *none), "batch_id", ["seq"]).write.partitionBy("batch_id", "_lane").parquet(f"{root}/log")
+        commits.select("snapshot_id", "committed_at", "operation", "added_rows", F.lit(0).cast("long").alias("id_deletes"),
+                       F.col("snapshot_id").alias("batch_id")).coalesce(1).write.partitionBy("batch_id").parquet(f"{root}/commits")
+        _LEDGERS[key] = root
+    return _LEDGERS[key]
 
 
 @register("snapshot_log", O.with_(*HIST) + "SELECT * FROM commits")
@@ -60,16 +75,14 @@ def q_first_snapshot(spark, sf_dir):
 @register("as_of_version", O.with_(*HIST, O.cut_at_version(AS_OF_VERSION, "pre"),
                                    O.replay("pre", "st")) + "SELECT * FROM st")
 def q_as_of_version(spark, sf_dir):
-    log, commits = _history(spark, sf_dir)
-    return h.as_of_version(log, commits, AS_OF_VERSION)
+    return ledger.as_of_version(spark, _ledger(spark, sf_dir), AS_OF_VERSION)
 
 
 @register("as_of_timestamp", O.with_(*HIST, f"""pre AS (SELECT * FROM cdc_flat WHERE event_ts <
   (SELECT max(committed_at) FROM commits WHERE committed_at <= TIMESTAMP '{AS_OF_TS}'))""",
                                      O.replay("pre", "st")) + "SELECT * FROM st")
 def q_as_of_timestamp(spark, sf_dir):
-    log, commits = _history(spark, sf_dir)
-    return h.as_of_timestamp(log, commits, AS_OF_TS)
+    return ledger.as_of_timestamp(spark, _ledger(spark, sf_dir), AS_OF_TS)
 
 
 TAGS_SQL = """tags AS (
@@ -89,9 +102,9 @@ def q_tag_snapshots(spark, sf_dir):
   (SELECT c.committed_at FROM commits c JOIN tags t ON c.snapshot_id = t.snapshot_id
    WHERE t.tag = 'first-load'))""", O.replay("pre", "st")) + "SELECT * FROM st")
 def q_as_of_tag(spark, sf_dir):
-    log, commits = _history(spark, sf_dir)
-    tags = h.tag_snapshots(spark, commits, TAG_POLICY)
-    return h.as_of_tag(log, commits, tags, "first-load")
+    root = _ledger(spark, sf_dir)
+    ledger.tag(spark, root, TAG_POLICY)
+    return ledger.as_of_tag(spark, root, "first-load")
 
 
 _DIFF_COLS = ["merchant_id", "status", "amount", "currency", "event_ts"]
@@ -110,8 +123,17 @@ SELECT coalesce(a.order_id, b.order_id) AS order_id,
 FROM sa a FULL OUTER JOIN sb b ON a.order_id = b.order_id
 WHERE a.order_id IS NULL OR b.order_id IS NULL OR {_DISTINCT}""")
 def q_snapshot_diff(spark, sf_dir):
-    log, commits = _history(spark, sf_dir)
-    return h.diff_versions(log, commits, DIFF_FROM, DIFF_TO)
+    return ledger.diff(spark, _ledger(spark, sf_dir), DIFF_FROM, DIFF_TO)
+
+
+@register("totals_signed_refresh", O.with_(*HIST, O.replay("cdc_flat", "st")) + """
+SELECT merchant_id, CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS sum_amount, count(*) AS order_count
+FROM st GROUP BY merchant_id""")
+def q_totals_signed_refresh(spark, sf_dir):
+    """Totals stored at a version, then brought to the newest one by the signed changes between them."""
+    root, path = _ledger(spark, sf_dir), work_path(spark, "ledger-totals")
+    exact_totals(ledger.as_of_version(spark, root, AS_OF_VERSION)).write.parquet(f"{path}/upto={AS_OF_VERSION}")
+    return ledger.refresh_totals(spark, root, path)
 
 
 _RET_VALUES = ", ".join(f"('{t}', {d})" for t, d in RETENTION_DAYS.items())

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from ..operators import branches as br
 from ..operators import quality as qc
-from ..operators.aggregates import money_sum
+from ..operators.aggregates import apply_signed, exact_totals, money_sum, totals_view
 from ..operators.merge import latest_per_key
-from ..session import work_path
+from ..session import cut_lineage, work_path
 from ..sources import testdata as td
 from ..sources.daytable import DayTable, Rejected
 from . import oracle as O
@@ -150,3 +150,14 @@ def q_table_expire(spark, sf_dir):
         table.upsert(_delta(spark, sf_dir))
     table.expire("2999-01-01 00:00:00", 7)
     return table.read().select(*COLUMNS)
+
+
+@register("table_totals_refresh", O.with_(O.ORDERS_SRC, O.ORDERS_DELTA, O.DELTA_LATEST, O.UPSERTED) + """
+SELECT merchant_id, CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS sum_amount, count(*) AS order_count
+FROM upserted GROUP BY merchant_id""")
+def q_table_totals_refresh(spark, sf_dir):
+    """Stored totals refreshed by what a version changed: only the months that it rewrote are read, and no totals counted anew."""
+    table = _table(spark, sf_dir, "totals-table")
+    stored = cut_lineage(exact_totals(table.read()), "exact-totals")
+    table.upsert(_delta(spark, sf_dir))
+    return totals_view(apply_signed(stored, table.signed_changes(1, 2)))

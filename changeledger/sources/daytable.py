@@ -235,6 +235,14 @@ class DayTable:
         rows = br.merged_rows(compared, self._read(ours, days).select(*columns), self.key, prefer)
         return self.replace_days(rows, days, into, f"merge {branch}", ours.number, (theirs.number,), check)
 
+    def signed_changes(self, v_from: int, v_to: int) -> DataFrame:
+        """What lies between two versions as signed rows, read from the days whose folders differ alone: the rows of the old folders
+        with ``sign`` -1, of the new ones with 1.  Rows that a day kept appear with both signs and cancel in every sum."""
+        old, new = self.version(v_from), self.version(v_to)
+        days = {d for d in {*old.days, *new.days} if old.days.get(d) != new.days.get(d)}
+        rows = [self._read(v, days).select(*[f.name for f in v.schema.fields], F.lit(sign).alias("sign")) for v, sign in ((old, -1), (new, 1))]
+        return rows[0].unionByName(rows[1], allowMissingColumns=True)
+
     # ---- retention
 
     def keep(self, now: str, retention_days: int, tags: list[int] | None = None) -> DataFrame:

@@ -7,15 +7,18 @@ gives the same rows as the whole log, also when late rows arrived after the base
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.cdc import CHANGE_OUT
+from ..operators import aggregates as agg
 from ..operators import history as h
 from ..operators.changes import (KEY, fold, folded_state, id_deletes, id_pairs, keyed_by_id,
                                  merge_folds, replay, resolve_deletes)
 from ..schemas import CHANGE_ROW, DELETE_OP
+from ..session import cut_lineage
 
 # Given, so that no read has to infer it; logs of before without a source_id read it as null.
 LOG_SCHEMA = T.StructType([
@@ -235,15 +238,62 @@ def diff(spark: SparkSession, root: str, v_from: int, v_to: int) -> DataFrame:
     documents of that version, so the result is the difference of the two states also when a document arrives after its delete.
     """
     lo, hi = sorted((v_from, v_to))
+    return h.diff_marked(_marked(spark, root, lo, hi), lo)
+
+
+def _marked(spark: SparkSession, root: str, lo: int, hi: int) -> DataFrame:
+    """Rows up to ``hi`` with ``_in_old`` (they make version ``lo``) and ``_in_new`` (version ``hi``)."""
     h.commit_times(commits(spark, root), [lo, hi])  # an unknown version raises
     rows = _rows(spark, root, hi)
     old, both = F.col("batch_id") <= lo, F.lit(True)
     if not _has_id_deletes(spark, root, hi):
-        return h.diff_marked(rows.select("batch_id", *CHANGE_OUT).withColumn("_in_old", old).withColumn("_in_new", both), lo)
+        return rows.select("batch_id", *CHANGE_OUT).withColumn("_in_old", old).withColumn("_in_new", both)
     plain = rows.where(~keyed_by_id()).withColumn("_in_old", old).withColumn("_in_new", both)
     deletes = id_deletes(rows)
     before, upto = rows.where(old), rows
     sides = [resolve_deletes(deletes.where(old), _pairs_of(before, before)).withColumn("_in_old", F.lit(True)).withColumn("_in_new", F.lit(False)),
              resolve_deletes(deletes, _pairs_of(upto, upto)).withColumn("_in_old", F.lit(False)).withColumn("_in_new", F.lit(True))]
-    marked = plain.unionByName(sides[0]).unionByName(sides[1])
-    return h.diff_marked(marked.select("batch_id", *CHANGE_OUT, "_in_old", "_in_new"), lo)
+    return plain.unionByName(sides[0]).unionByName(sides[1]).select("batch_id", *CHANGE_OUT, "_in_old", "_in_new")
+
+
+def signed_changes(spark: SparkSession, root: str, v_from: int, v_to: int, base: str | None = None) -> DataFrame:
+    """What happened between two versions as signed rows: ``sign`` -1 with a row as it was, 1 with it as it is.
+
+    Without a base the touched keys are folded from the log; a base that isn't newer than ``v_from`` stands for
+    the batches that it holds, and of both only the touched keys' rows are folded.
+    """
+    h.commit_times(commits(spark, root), [v_from, v_to])
+    folded = _base_batch(spark, base) if base else None
+    if folded is None or folded > v_from:
+        marked = _marked(spark, root, v_from, v_to)
+        touched = marked.where((F.col("batch_id") > v_from) | (F.col("_in_old") != F.col("_in_new"))).select(KEY).distinct()
+        return h.signed_rows(h.fold_sides(marked.join(touched, KEY, "left_semi"), v_from))
+    before, after = (_tail(spark, root, base, v) for v in (v_from, v_to))
+    touched = after.where(F.col("batch_id").isNull() | (F.col("batch_id") > v_from)).select(KEY).distinct()
+    held = spark.read.parquet(base).drop("base_batch").join(touched, KEY, "left_semi")
+    sides = [cut_lineage(merge_folds(held, fold(tail.join(touched, KEY, "left_semi"))), "touched-keys") for tail in (before, after)]
+    old, new = (side.select(KEY, *[F.col(c).alias(f"_{name}_{c}") for c in side.columns if c != KEY]) for name, side in zip(("old", "new"), sides))
+    return h.signed_rows(new.join(old, KEY, "left").select(KEY, *[c for c in (*old.columns, *new.columns) if c != KEY]))
+
+
+def refresh_totals(spark: SparkSession, root: str, path: str, base: str | None = None, dim: str = "merchant_id") -> DataFrame:
+    """The stored totals of the newest version (O31), brought up to date by the changes since they were stored.
+
+    Totals of a version lie in ``upto=<version>`` below ``path``; a run writes the newest version's and reads the one before, so a
+    repeated or failed run counts nothing twice.
+    """
+    newest = commits(spark, root).agg(F.max("snapshot_id")).first()[0]
+    if newest is None:
+        raise ValueError(f"{root} has no commits")
+    try:
+        stored = spark.read.schema(f"{dim} string, sum_exact decimal(38,2), amount_count long, order_count long, upto long").parquet(path)
+        have = stored.where(F.col("upto") <= newest).agg(F.max("upto")).first()[0]
+    except AnalysisException:  # the first run
+        stored, have = None, None
+    if have != newest:
+        if have is None:
+            totals = agg.exact_totals(state(spark, root, newest, base), dim)
+        else:
+            totals = agg.apply_signed(stored.where(F.col("upto") == have).drop("upto"), signed_changes(spark, root, have, newest, base), dim)
+        totals.write.mode("overwrite").parquet(f"{path}/upto={newest}")
+    return agg.totals_view(spark.read.parquet(f"{path}/upto={newest}"), dim)
