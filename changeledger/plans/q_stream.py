@@ -10,6 +10,7 @@ from ..session import work_path
 from ..sources import ledger
 from ..sources import testdata as td
 from ..streaming import cdc_stream as cs
+from ..streaming import keyed_state as ks
 from . import oracle as O
 from .registry import register
 
@@ -63,6 +64,21 @@ def q_stream_restart(spark, sf_dir):
     return ledger.state(spark, root)
 
 
+@register("stream_keyed_state", REPLAY)
+def q_stream_keyed_state(spark, sf_dir):
+    """Current rows from the stream's own state: events arrive in any order, and the query stops and restarts in between."""
+    src, root, ckpt = (work_path(spark, n) for n in ("cdc-in", "keyed-state", "keyed-ckpt"))
+    records = _records(spark, sf_dir).drop("event_ts")
+    for half in (1, 0):
+        part = records.where(F.pmod(F.xxhash64("offset"), F.lit(2)) == half)
+        part.repartition(FILES // 2, F.xxhash64("offset")).write.mode("append").json(src)
+        q = ks.start_state_stream(cs.file_source(spark, src, 3), root, ckpt)
+        q.awaitTermination()
+        if q.exception():
+            raise q.exception()
+    return ks.current_rows(spark, root)
+
+
 PAYLOAD = T.StructType([
     T.StructField("order_id", T.StringType()), T.StructField("op", T.StringType()),
     T.StructField("merchant_id", T.StringType()), T.StructField("status", T.StringType()),
