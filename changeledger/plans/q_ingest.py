@@ -11,6 +11,7 @@ from ..operators import layout as lay
 from ..operators import merge as mg
 from ..schemas import ORDER_COLUMNS
 from ..session import listing_parallelism, work_path
+from ..sources import paged
 from ..sources import raw as rw
 from ..sources import testdata as td
 from . import jobs
@@ -257,3 +258,30 @@ def q_write_audit_publish(spark, sf_dir):
     _, report = jobs.write_audit_publish(staged, previous, main, ["order_id"],
                                          ["order_id", "merchant_id", "event_ts"])
     return report
+
+
+_CUSTOMER = ["c_custkey", "c_name", "c_mktsegment", "c_acctbal"]
+
+
+@register("paged_extract", "SELECT c_custkey, c_name, c_mktsegment, c_acctbal, row_number() OVER () - 1 AS document_no FROM customer")
+def q_paged_extract(spark, sf_dir):
+    """A collection read by its pages, each document with its place."""
+    reader = spark.read.format(paged.register(spark)).option("pageSize", 100).option("pagesPerTask", 3)
+    return reader.load(f"{sf_dir}/customer.parquet").select(*_CUSTOMER, "document_no")
+
+
+@register("paged_stream_resume", "SELECT o_orderkey, o_custkey, o_totalprice, 1 AS times FROM orders")
+def q_paged_stream_resume(spark, sf_dir):
+    """A stream of pages that stops, resumes by its token when more was landed, and reads each document once."""
+    src, out, ckpt = (work_path(spark, n) for n in ("paged-in", "paged-out", "paged-ckpt"))
+    orders = td.read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    name = paged.register(spark)
+    for part in range(2):
+        some = orders.where(F.pmod(F.xxhash64("o_orderkey"), F.lit(2)) == part)
+        some.repartition(3, "o_orderkey").write.parquet(f"{src}/landed={part}")
+        q = (spark.readStream.format(name).option("path", src).option("pageSize", 500).load()
+             .writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+        q.awaitTermination()
+        if q.exception():
+            raise q.exception()
+    return spark.read.parquet(out).groupBy("o_orderkey", "o_custkey", "o_totalprice").agg(F.count(F.lit(1)).cast("int").alias("times"))
