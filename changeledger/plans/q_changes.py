@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.cdc import good_changes
 from ..operators import aggregates as agg
 from ..operators import changes as ch
 from ..operators import merge as mg
 from ..session import cut_lineage
 from ..sources import testdata as td
+from ..streaming.cdc_stream import project_records
 from . import oracle as O
 from .registry import register
 
@@ -110,6 +112,18 @@ def q_cdc_late_events(spark, sf_dir):
     return ch.late_events(tail, s).select("seq", "order_id", "op")
 
 
+# the records of a key lie in four partitions, whose offsets run against the clock
+COMPOSITE_SQL = """placed AS (SELECT * REPLACE (row_number() OVER (ORDER BY event_ts, seq % 4, 1000000000 - seq) AS seq) FROM cdc_flat)"""
+
+
+@register("cdc_composite_order", O.with_(O.EV, O.CDC_FLAT, COMPOSITE_SQL, O.replay("placed", "st")) + "SELECT * FROM st")
+def q_cdc_composite_order(spark, sf_dir):
+    """Events of a key from several partitions fold by clock, partition and offset."""
+    env = td.envelopes(spark, sf_dir)
+    records = env.select(F.col("order_id").alias("key"), "value", (F.col("seq") % 4).cast("int").alias("partition"), (1_000_000_000 - F.col("seq")).alias("offset"))
+    return ch.replay(good_changes(project_records(records, order="cluster")))
+
+
 @register("latest_per_key", O.with_(O.ORDERS_SRC, O.ORDERS_DELTA, O.DELTA_LATEST)
           + "SELECT * FROM delta_latest")
 def q_latest_per_key(spark, sf_dir):

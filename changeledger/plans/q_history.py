@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from ..functions.rest import conditional_update
 from ..operators import evolution as evo
 from ..operators import history as h
+from ..operators import intervals as iv
 from ..operators.aggregates import exact_totals
 from ..operators.layout import distribute_for_write
 from ..schemas import RAW_TTL_DAYS, RETENTION_DAYS, SNAPSHOT_TAGS, ZONE_RETENTION_DAYS
 from ..session import cut_lineage, work_path
-from ..sources import ledger
+from ..sources import hashtree, ledger
 from ..sources import testdata as td
 from . import oracle as O
 from .registry import register
@@ -136,6 +137,45 @@ def q_totals_signed_refresh(spark, sf_dir):
     return ledger.refresh_totals(spark, root, path)
 
 
+@register("snapshot_diff_tree", O.with_(
+    *HIST, O.cut_at_version(DIFF_FROM, "pa"), O.replay("pa", "sa"),
+    O.cut_at_version(DIFF_TO, "pb"), O.replay("pb", "sb")) + f"""
+SELECT coalesce(a.order_id, b.order_id) AS order_id,
+       CASE WHEN a.order_id IS NULL THEN 'added' WHEN b.order_id IS NULL THEN 'removed'
+            ELSE 'changed' END AS change,
+       CASE WHEN a.order_id IS NOT NULL AND b.order_id IS NOT NULL THEN concat_ws(',', {_NAMES}) END
+         AS changed_columns
+FROM sa a FULL OUTER JOIN sb b ON a.order_id = b.order_id
+WHERE a.order_id IS NULL OR b.order_id IS NULL OR {_DISTINCT}""")
+def q_snapshot_diff_tree(spark, sf_dir):
+    """Two stored versions compared by their digest trees: only slots that differ are read."""
+    root = _ledger(spark, sf_dir)
+    paths = [hashtree.write_version(ledger.as_of_version(spark, root, v), work_path(spark, "tree")) for v in (DIFF_FROM, DIFF_TO)]
+    return hashtree.diff(spark, *paths)
+
+
+@register("validity_intervals", O.with_(*HIST, O.cut_at_version(AS_OF_VERSION, "pre"), O.replay("pre", "st")) + "SELECT * FROM st")
+def q_validity_intervals(spark, sf_dir):
+    """A version cut out of the validity intervals by a filter equals the replay of its log."""
+    log = td.cdc_flat(spark, sf_dir)
+    upto = h.with_batches(log, _log(spark, sf_dir, store=True)[1]).where(F.col("batch_id") <= AS_OF_VERSION).agg(F.max("seq")).first()[0]
+    return iv.at_version(iv.validity(log), upto)
+
+
+@register("as_of_join", O.with_(O.EV, O.CDC_FLAT, """facts AS (SELECT event_id * 3 % (SELECT max(event_id) FROM ev) AS at, 'ord-' || CAST(user_id AS VARCHAR) AS who, event_id AS fact FROM ev WHERE k % 10 = 0),
+dead AS (SELECT f.fact, f.at, f.who, max(c.seq) FILTER (WHERE c.op = 'delete') AS gone FROM facts f LEFT JOIN cdc_flat c ON c.order_id = f.who AND c.seq <= f.at GROUP BY ALL)""") + """
+SELECT d.fact, d.who, d.at, arg_max(c.merchant_id, c.seq) FILTER (WHERE c.merchant_id IS NOT NULL) AS merchant_id,
+       arg_max(c.status, c.seq) FILTER (WHERE c.status IS NOT NULL) AS status, arg_max(c.amount, c.seq) FILTER (WHERE c.amount IS NOT NULL) AS amount
+FROM dead d LEFT JOIN cdc_flat c ON c.order_id = d.who AND c.seq <= d.at AND c.op <> 'delete' AND c.seq > coalesce(d.gone, -1)
+GROUP BY d.fact, d.who, d.at""")
+def q_as_of_join(spark, sf_dir):
+    """Each fact with its order's row as it was at the fact's own place in the log."""
+    log = td.cdc_flat_k(spark, sf_dir)
+    last = log.agg(F.max("seq")).first()[0]
+    facts = log.where(F.col("k") % 10 == 0).select(F.col("seq").alias("fact"), F.col("order_id").alias("who"), (F.col("seq") * 3 % last).alias("at"))
+    return iv.as_of_join(facts, iv.validity(log.drop("k"), value_cols=["merchant_id", "status", "amount"]), "who", "at")
+
+
 _RET_VALUES = ", ".join(f"('{t}', {d})" for t, d in RETENTION_DAYS.items())
 _ZONE_VALUES = ", ".join(f"('{z}', {d})" for z, d in ZONE_RETENTION_DAYS.items())
 
