@@ -12,12 +12,15 @@ taken differ from the target by at most half a document.  The prefix is found in
 then the documents of the one bucket that is cut, so no source passes one task.
 
 Defined results: null texts have no words; sources without words get target 0 and their documents are taken never or
-whole times with 0 words; rows with equal ids and texts are each their own, ordered by row number; an empty table gives no rows.
+whole times with 0 words; rows with equal ids and texts are each their own, and which of them is taken
+once more makes no difference; null ids count as one id, null texts as empty; columns other than doc_id, source and text aren't read; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WORD, fresh, numbered, row_number, stored, text_or_empty
@@ -51,30 +54,44 @@ def mix(docs: DataFrame, seed: str = "mix-1", weights=WEIGHTS, budget: float = 1
     """Per document: rid (the column ``rid``, or a new number), doc_id, source, size, source_size, target, repeats, taken."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
                        F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long").alias("size"),
-                       row_number(rid)) \
+                       F.md5(text_or_empty().cast("binary")).alias("text_order"), row_number(rid)) \
         .withColumn("order", F.md5(F.concat(F.lit(seed + "|"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
-    rows = stored(rows.withColumn("bucket", F.substring("order", 1, BUCKET_DIGITS)), "op4-rows")
-    buckets = rows.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
-    goal = targets(buckets.groupBy("source").agg(F.sum("words").alias("source_size")), weights, budget, max_epochs) \
+    rows = stored(rows, "op4-rows")
+    goal = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, budget, max_epochs) \
         .withColumn("whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")) \
         .withColumn("part", F.col("target") - F.col("whole") * F.col("source_size"))
-    by_bucket = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    cut = buckets.withColumn("ahead", F.coalesce(F.sum("words").over(by_bucket), F.lit(0).cast("long"))) \
-        .withColumnRenamed("source", "s").join(goal.withColumnRenamed("source", "s2"), F.col("s").eqNullSafe(F.col("s2"))).drop("s2") \
-        .withColumnRenamed("bucket", "b")
-    # A bucket lies inside the prefix, outside, or is the one in which it ends.
-    cut = stored(cut.withColumn("state", F.when(F.col("ahead") + F.col("words") <= F.col("part"), 1)
-                                .when(F.col("ahead") >= F.col("part"), 0).otherwise(2)), "op4-buckets")
-    joined = rows.join(cut, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b"))).drop("s", "b")
-    in_bucket = Window.partitionBy("source", "bucket").orderBy("order", "rid").rowsBetween(Window.unboundedPreceding, -1)
-    ended = joined.where("state = 2") \
-        .withColumn("ahead", F.col("ahead") + F.coalesce(F.sum("size").over(in_bucket), F.lit(0).cast("long"))) \
-        .withColumn("extra", (2 * F.col("ahead") + F.col("size") <= 2 * F.col("part")).cast("long"))
-    sure = joined.where("state < 2").withColumn("extra", F.col("state").cast("long"))
-    return sure.unionByName(ended).withColumn("repeats", F.col("whole") + F.col("extra")) \
+    goal = stored(goal.withColumn("ahead", F.lit(0).cast("long")).withColumnRenamed("source", "s"), "op4-targets")
+    open_, done = rows.join(goal, F.col("source").eqNullSafe(F.col("s"))).drop("s"), []
+    steps = _steps()
+    for n, step in enumerate(steps, 1):
+        sums = open_.withColumn("step", step).groupBy("source", "step", "part", "ahead").agg(F.sum("size").alias("words"))
+        before = Window.partitionBy("source").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
+        ahead = F.col("ahead") + F.coalesce(F.sum("words").over(before), F.lit(0).cast("long"))
+        taken = (2 * ahead + F.col("words") <= 2 * F.col("part")).cast("int")  # of one document
+        if n < len(steps):
+            taken = F.when(ahead + F.col("words") <= F.col("part"), 1).when(ahead >= F.col("part"), 0).otherwise(2)
+        cut = sums.select(F.col("source").alias("s"), F.col("step").alias("b"), ahead.alias("now"), taken.alias("state"))
+        judged = open_.withColumn("step", step).join(cut, F.col("source").eqNullSafe(F.col("s")) & (F.col("step") == F.col("b"))) \
+            .withColumn("ahead", F.col("now")).drop("s", "b", "now", "step")
+        if n < len(steps):
+            judged = stored(judged, "op4-judged") if n == 1 else judged
+            open_ = stored(judged.where("state = 2").drop("state"), "op4-cut")
+        done.append(judged.where("state < 2"))
+    return reduce(DataFrame.unionByName, done).withColumn("repeats", F.col("whole") + F.col("state")) \
         .select("rid", "doc_id", "source", "size", "source_size", "target", "repeats", (F.col("size") * F.col("repeats")).alias("taken"))
 
 
+def _steps() -> list[Column]:
+    """How the group in which a source's prefix ends is divided, step by step, down to one document.
+
+    Ids by the first digits of their hash, then one by one; of equal ids, texts by the first digits of theirs, then one by one; of equal rows, which
+    are interchangeable, the parts of the input that hold them, then one by one.  No step sorts more than some thousand sums of a source, or the
+    members of one group of the step before.
+    """
+    digits = lambda c: F.substring(c, 1, BUCKET_DIGITS)
+    return [digits("order"), F.col("order"), digits("text_order"), F.col("text_order"), F.shiftright("rid", 33).cast("string"), F.lpad(F.col("rid").cast("string"), 20, "0")]
+
+
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as it is taken."""
     rows, rid = numbered(docs, "op4-docs")
