@@ -97,6 +97,29 @@ def q_event_publish(spark, sf_dir):
                        F.from_json("value", PAYLOAD, opts).alias("p")).select("seq", "p.*")
 
 
+@register("event_publish_once", O.with_(O.EV, O.CDC_FLAT) + "SELECT seq, order_id, status, 1 AS events FROM cdc_flat")
+def q_event_publish_once(spark, sf_dir):
+    """A run that publishes twice is in the outbox once, and every record has an id of its own."""
+    outbox, records = work_path(spark, "outbox"), cs.to_records(td.cdc_flat(spark, sf_dir), "order_id", "payments.cdc.orders")
+    for _ in range(2):
+        cs.publish_once(records, outbox, "run-1")
+    back = spark.read.schema("key string, value string, offset long, event_id string, run string, topic string").json(outbox)
+    opts = {"timestampNTZFormat": TS_FORMAT}
+    rows = back.select(F.col("offset").alias("seq"), F.from_json("value", PAYLOAD, opts).alias("p"), "event_id")
+    return rows.groupBy("seq", "p.order_id", "p.status").agg(F.count_distinct("event_id").cast("int").alias("events"))
+
+
+@register("run_records", O.with_(O.EV, O.CDC_FLAT) + f"SELECT count(*) AS records, min(seq) AS first_offset, max(seq) AS last_offset, {FILES} AS files FROM cdc_flat")
+def q_run_records(spark, sf_dir):
+    """What the commits say about their runs: all records, offsets and source files are accounted for, each file once."""
+    src, root, ckpt = (work_path(spark, n) for n in ("cdc-in", "ledger", "cdc-ckpt"))
+    _land_records(_records(spark, sf_dir), src, FILES)
+    _run(spark, src, root, ckpt)
+    runs = ledger.runs(spark, root).where("job is not null and run_id is not null")
+    return runs.agg(F.sum("records").alias("records"), F.min("first_offset").alias("first_offset"), F.max("last_offset").alias("last_offset"),
+                    F.size(F.flatten(F.collect_list("sources"))).alias("files"))
+
+
 @register("cdc_source", O.with_(O.EV, O.CDC_FLAT)
           + "SELECT seq AS \"offset\", order_id AS key, 'payments.cdc.orders' AS topic FROM cdc_flat")
 def q_cdc_source(spark, sf_dir):

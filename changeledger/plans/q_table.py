@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import branches as br
 from ..operators import quality as qc
 from ..operators.aggregates import apply_signed, exact_totals, money_sum, totals_view
 from ..operators.merge import latest_per_key
+from ..schemas import RETENTION_DAYS, SNAPSHOT_TAGS, TARGET_FILE_BYTES
 from ..session import cut_lineage, work_path
 from ..sources import testdata as td
 from ..sources.daytable import DayTable, Rejected
@@ -161,3 +165,25 @@ def q_table_totals_refresh(spark, sf_dir):
     stored = cut_lineage(exact_totals(table.read()), "exact-totals")
     table.upsert(_delta(spark, sf_dir))
     return totals_view(apply_signed(stored, table.signed_changes(1, 2)))
+
+
+POLICY_TABLES = list(RETENTION_DAYS)
+
+
+@register("table_maintenance", O.with_(O.ORDERS_SRC, O.ORDERS_DELTA, O.DELTA_LATEST, O.UPSERTED) + f"""
+SELECT t.table_name, s.step, CASE s.step WHEN 'rows' THEN (SELECT count(*) FROM upserted) WHEN 'small_days' THEN 0
+                                         WHEN 'tags' THEN t.tags ELSE 1 + t.frozen END AS value
+FROM (VALUES {', '.join(f"('{t}', {len(SNAPSHOT_TAGS.get(t, [])) + 1}, 1)" for t in POLICY_TABLES)}) AS t(table_name, tags, frozen),
+     (VALUES ('rows'), ('small_days'), ('tags'), ('versions_kept')) AS s(step)""")
+def q_table_maintenance(spark, sf_dir):
+    """All policy tables: months of small files are rewritten, the first load is frozen by a tag, older versions and their files go."""
+    reports = []
+    for name in POLICY_TABLES:
+        table, target = _table(spark, sf_dir, name.replace(".", "-")), TARGET_FILE_BYTES[name]
+        for _ in range(2):
+            table.upsert(_delta(spark, sf_dir))
+        policy = [("first-load", "first"), *SNAPSHOT_TAGS.get(name, [])]
+        reports.append(table.maintain(name, target, RETENTION_DAYS[name], policy, "2999-01-01 00:00:00").where(F.col("step").isin("rows", "tags", "versions_kept")))
+        small = table.file_groups(target).where("compact").agg(F.count(F.lit(1)).alias("value"))
+        reports.append(small.select(F.lit(name).alias("table_name"), F.lit("small_days").alias("step"), "value"))
+    return reduce(DataFrame.unionByName, reports)

@@ -115,11 +115,21 @@ class DayTable:
 
     # ---- writing
 
-    def _stage(self, rows: DataFrame) -> tuple[str, dict[str, str], dict[str, int]]:
-        """Write rows by day into a run folder of their own: its name, each day's folder, each day's number of rows."""
+    def _stage(self, rows: DataFrame, files: dict[str, int] | None = None) -> tuple[str, dict[str, str], dict[str, int]]:
+        """Write rows by day into a run folder of their own: its name, each day's folder, each day's number of rows.
+
+        With ``files`` a day gets that many at most: its rows are dealt into so many groups, and a group isn't split."""
         run = uuid.uuid4().hex[:16]
         path = f"{self.root}/data/run={run}"
-        dated = lay.distribute_for_write(rows.withColumn(DAY, self._day()), DAY, [self.key])
+        dated = rows.withColumn(DAY, self._day())
+        if files:
+            wanted = self.spark.createDataFrame(list(files.items()), "_day string, _files long")  # a row a day
+            day = F.coalesce(F.col(DAY).cast("string"), F.lit(NO_DAY))
+            dated = dated.join(F.broadcast(wanted), day == F.col("_day"), "left") \
+                .withColumn("_group", F.pmod(F.xxhash64(self.key, self.ts), F.coalesce("_files", F.lit(1)))) \
+                .repartition(max(1, min(sum(files.values()), 8 * lay.write_tasks(self.spark))), DAY, "_group").sortWithinPartitions(DAY).drop("_day", "_files", "_group")
+        else:
+            dated = lay.distribute_for_write(dated, DAY, [self.key])
         dated.write.option("partitionOverwriteMode", "static").partitionBy(DAY).parquet(path)
         staged = self.spark.read.schema(T.StructType([T.StructField(DAY, T.StringType())])).parquet(path)
         counts = {r[0] or NO_DAY: r[1] for r in staged.groupBy(DAY).count().collect()}  # a row a day
@@ -155,13 +165,13 @@ class DayTable:
         return self._publish(name, (v.number,), "branch", "", v.schema, v.days, v.rows)
 
     def replace_days(self, rows: DataFrame, days: set[str], branch: str = "main", operation: str = "replace_days", parent: int | None = None,
-                     also: tuple[int, ...] = (), check: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> int:
+                     also: tuple[int, ...] = (), files: dict[str, int] | None = None, check: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> int:
         """Publish ``rows`` as the whole content of ``days`` (and of days they bring), other days as they are.
 
         ``check(before, staged)`` gives a quality report; when a check fails nothing is published and ``Rejected`` is raised.
         """
         v = self.version(parent, branch)
-        run, staged, counts = self._stage(rows)
+        run, staged, counts = self._stage(rows, files)
         if check is not None:
             report = cut_lineage(check(self._read(v, days | set(staged)), self._folders(v.schema, sorted(staged.values()))), "quality")
             if not qc.all_passed(report):
@@ -233,7 +243,7 @@ class DayTable:
             return None
         columns = [f.name for f in ours.schema.fields]
         rows = br.merged_rows(compared, self._read(ours, days).select(*columns), self.key, prefer)
-        return self.replace_days(rows, days, into, f"merge {branch}", ours.number, (theirs.number,), check)
+        return self.replace_days(rows, days, into, f"merge {branch}", ours.number, (theirs.number,), check=check)
 
     def signed_changes(self, v_from: int, v_to: int) -> DataFrame:
         """What lies between two versions as signed rows, read from the days whose folders differ alone: the rows of the old folders
@@ -243,10 +253,62 @@ class DayTable:
         rows = [self._read(v, days).select(*[f.name for f in v.schema.fields], F.lit(sign).alias("sign")) for v, sign in ((old, -1), (new, 1))]
         return rows[0].unionByName(rows[1], allowMissingColumns=True)
 
+    # ---- maintenance
+
+    def file_groups(self, target_bytes: int, branch: str = "main", min_files: int = 2, small_ratio: float = 0.75) -> DataFrame:
+        """Each day's number of files, bytes, mean size and whether it is worth rewriting (O57), with the number of files it should have."""
+        days = self.spark.createDataFrame(sorted(self.version(branch=branch).days.items()), "day string, folder string")
+        listed = lay.file_stats(self.spark, f"{self.root}/data") \
+            .withColumn("folder", F.regexp_extract(h.plain_path(F.col("path")), rf"/data/(run=[^/]+/{DAY}=[^/]+)/", 1))
+        sized = lay.compaction_candidates(listed.join(days, "folder"), target_bytes, "day", min_files, small_ratio)
+        return sized.withColumn("wanted", F.ceil(F.col("bytes") / F.lit(target_bytes)))
+
+    def compact(self, target_bytes: int, branch: str = "main", min_files: int = 2, small_ratio: float = 0.75) -> int | None:
+        """Rewrite the days of many small files into files near the target, as a new version.
+
+        Other days keep their folders and files.  Gives the version, or None when no day is worth it.  A day whose number of rows would change
+        is an error, and nothing is published.
+        """
+        flagged = self.file_groups(target_bytes, branch, min_files, small_ratio).where("compact").collect()  # a row a day
+        if not flagged:
+            return None
+        v, days = self.version(branch=branch), {r.day for r in flagged}
+        rows = self._read(v, days).select(*[f.name for f in v.schema.fields])
+        return self.replace_days(rows, days, branch, "compact", v.number, files={r.day: r.wanted for r in flagged}, check=self._same_rows)
+
+    def _same_rows(self, before: DataFrame, staged: DataFrame) -> DataFrame:
+        counts = [df.groupBy(DAY).agg(F.count(F.lit(1)).alias(n)) for df, n in ((before, "a"), (staged, "b"))]
+        wrong = counts[0].join(counts[1].withColumnRenamed(DAY, "_d"), F.col(DAY).eqNullSafe(F.col("_d")), "full_outer").where(~F.col("a").eqNullSafe(F.col("b")))
+        return wrong.agg(F.count(F.lit(1)).cast("double").alias("value")).select(
+            F.lit("rows_of_a_day").alias("check_name"), "value", F.lit(0.0).alias("threshold"), (F.col("value") == 0).alias("passed"))
+
+    def tag(self, policy: list[tuple[str, str]], branch: str = "main") -> DataFrame:
+        """Store the policy's tags of a branch's versions (O47); a tag that exists already moves."""
+        (h.tag_snapshots(self.spark, self.commits().where(F.col("branch") == branch), policy).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy("tag").parquet(f"{self.root}/tags"))
+        return self.tags()
+
+    def tags(self) -> DataFrame:
+        try:
+            return self.spark.read.schema("snapshot_id long, committed_at timestamp_ntz, tag string").parquet(f"{self.root}/tags")
+        except AnalysisException:  # none yet
+            return self.spark.createDataFrame([], "snapshot_id long, committed_at timestamp_ntz, tag string")
+
+    def maintain(self, name: str, target_bytes: int, retention_days: int, tag_policy: list[tuple[str, str]], now: str) -> DataFrame:
+        """Compact, tag, expire, in this order (O60): a report of what was done, one row a step."""
+        before = self.version()
+        compacted = self.compact(target_bytes)
+        tags = self.tag(tag_policy).count() if tag_policy else self.tags().count()
+        removed = self.expire(now, retention_days).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("b")).first()
+        after = self.version()
+        steps = [("compacted_days", sum(before.days[d] != after.days.get(d) for d in before.days) if compacted else 0), ("tags", tags),
+                 ("versions_kept", self.versions().count()), ("files_removed", removed.n), ("bytes_removed", removed.b), ("rows", sum(after.rows.values()))]
+        return self.spark.createDataFrame([(name, step, int(value)) for step, value in steps], "table_name string, step string, value long")
+
     # ---- retention
 
     def keep(self, now: str, retention_days: int, tags: list[int] | None = None) -> DataFrame:
-        """The versions that stay (O50): heads of branches, tagged ones, those younger than the retention, and the versions
+        """The versions that stay (O50): heads of branches, tagged ones (stored or given), those younger than the retention, and the versions
         that two kept branches come from, which a later merge needs."""
         versions = self.versions().select("version", "branch", "committed_at", "parents")
         heads = versions.groupBy("branch").agg(F.max("version").alias("version")).select("version")
@@ -254,7 +316,7 @@ class DayTable:
         numbers = sorted(r[0] for r in heads.collect())
         joints = {self.common_version(a, b) for a in numbers for b in numbers if a < b}
         pinned = self.spark.createDataFrame([(int(n),) for n in {*(tags or []), *joints}], "version long")
-        return heads.unionByName(young).unionByName(pinned).distinct()
+        return heads.unionByName(young).unionByName(pinned).unionByName(self.tags().select(F.col("snapshot_id").alias("version"))).distinct()
 
     def expire(self, now: str, retention_days: int, tags: list[int] | None = None, dry_run: bool = False) -> DataFrame:
         """Remove versions past their retention, then the day folders that no kept version points to.

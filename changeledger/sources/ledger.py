@@ -35,6 +35,14 @@ _SEQ_TYPES: dict[str, T.DataType] = {}
 COMMIT_SCHEMA = "snapshot_id long, committed_at timestamp_ntz, operation string, added_rows long, id_deletes long, batch_id long"
 
 
+RUN_SCHEMA = COMMIT_SCHEMA + ", job string, run_id string, sources array<string>, records long, first_offset long, last_offset long"
+
+
+def runs(spark: SparkSession, root: str) -> DataFrame:
+    """The record of the run behind each commit (O14): job, query, source files (or topic partitions), records and offsets."""
+    return spark.read.schema(RUN_SCHEMA).parquet(f"{root}/commits").drop("batch_id")
+
+
 def _log(spark: SparkSession, root: str) -> DataFrame:
     """The log in ``LOG_SCHEMA``; ``seq`` has the type it was written with, a number or a composite place."""
     if root not in _SEQ_TYPES:

@@ -10,13 +10,14 @@ is the replay of the committed log (``sources.ledger``).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.cdc import cdc_project, event_order, parse_envelope, parse_full_documents
 from ..operators.changes import keyed_by_id
 from ..schemas import TS_FORMAT
 
+SOURCE = "_source_path"
 RECORD_SCHEMA = "key string, value string, topic string, partition int, offset long"
 
 
@@ -31,11 +32,11 @@ def kafka_source(spark: SparkSession, servers: str, topic: str,
 
 
 def file_source(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Broker-shaped records (key, value, topic, partition, offset) from JSON files."""
+    """Broker-shaped records (key, value, topic, partition, offset) from JSON files (O05), with the file of each."""
     r = spark.readStream.schema(RECORD_SCHEMA)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return r.json(path)
+    return r.json(path).select("*", F.col("_metadata.file_path").alias(SOURCE))
 
 
 def publish(records: DataFrame, path: str | None = None, kafka_servers: str | None = None,
@@ -53,6 +54,21 @@ def publish(records: DataFrame, path: str | None = None, kafka_servers: str | No
             .options(timestampFormat=TS_FORMAT, timestampNTZFormat=TS_FORMAT).json(path))
 
 
+def publish_once(records: DataFrame, outbox: str, run_id: str, topic_col: str = "topic") -> DataFrame:
+    """Publish through an outbox (O08): the records of a run lie in a folder of its own, which a repeated run replaces.
+
+    Each record gets ``event_id``, the hash of topic, run and the record itself with its number among equal ones, so a
+    consumer that was handed a run twice can tell.  Gives the outbox's records of the run.
+    """
+    body = F.sha2(F.to_json(F.struct(*sorted(records.columns))), 256)
+    twin = F.row_number().over(Window.partitionBy(body).orderBy(body))
+    keyed = records.withColumn("event_id", F.sha2(F.concat_ws("|", F.col(topic_col), F.lit(run_id), body, twin.cast("string")), 256))
+    path = f"{outbox.rstrip('/')}/run={run_id}"
+    (keyed.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(topic_col)
+        .options(timestampFormat=TS_FORMAT, timestampNTZFormat=TS_FORMAT).json(path))
+    return records.sparkSession.read.schema(keyed.schema).option("basePath", path).json(path)
+
+
 def to_records(df: DataFrame, key: str, topic: Column | str, seq: str = "seq") -> DataFrame:
     """Rows → broker records: JSON ``value`` of all columns but ``seq`` (the offset)."""
     payload = [c for c in df.columns if c != seq]
@@ -110,8 +126,12 @@ def write_counted(projected: DataFrame, root: str, batch_id: int) -> dict[str, i
     return {k: int(obs.get.get(k) or 0) for k in ("ok", "id_deletes")}
 
 
-def write_commit(spark: SparkSession, root: str, batch_id: int, added: int, id_deletes: int | None = None) -> None:
-    commit = spark.range(1).select(
+def write_commit(spark: SparkSession, root: str, batch_id: int, added: int, id_deletes: int | None = None, run: dict | None = None) -> None:
+    """The batch's commit, with the record of the run that made it (``run_record``)."""
+    run = run or {}
+    origin = [F.lit(run.get(c)).cast("string").alias(c) for c in ("job", "run_id")]
+    files = F.array(*[F.lit(f) for f in sorted(run.get("sources") or [])]).cast("array<string>")
+    commit = spark.range(1).select(*origin, files.alias("sources"), *[F.lit(run.get(c)).cast("long").alias(c) for c in ("records", "first_offset", "last_offset")],
         F.lit(batch_id).cast("long").alias("snapshot_id"),
         F.localtimestamp().alias("committed_at"),
         F.lit("append").alias("operation"),
@@ -120,12 +140,23 @@ def write_commit(spark: SparkSession, root: str, batch_id: int, added: int, id_d
     commit.write.mode("overwrite").parquet(f"{root}/commits/batch_id={batch_id}")
 
 
-def batch_writer(root: str, full_document_only: bool = False, order: str = "offset"):
+def run_record(records: DataFrame, job: str, batch_id: int) -> tuple[DataFrame, Observation]:
+    """``records`` observed on their way (O14): where they came from and how many, without another pass over them."""
+    obs = Observation(f"{job}_{batch_id}")
+    sources = F.collect_set(SOURCE) if SOURCE in records.columns else F.collect_set(F.concat_ws("/", "topic", "partition")) \
+        if {"topic", "partition"} <= set(records.columns) else F.array().cast("array<string>")
+    return records.observe(obs, (sources if SOURCE in records.columns or "topic" in records.columns else F.max(sources)).alias("sources"),
+                           F.count(F.lit(1)).alias("records"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset")), obs
+
+
+def batch_writer(root: str, full_document_only: bool = False, order: str = "offset", job: str = "ledger"):
     def _apply(batch_df: DataFrame, batch_id: int) -> None:
         if batch_df.isEmpty():          # O40: no files, no commit for empty batches
             return
-        n = write_counted(project_records(batch_df, full_document_only, order), root, batch_id)
-        write_commit(batch_df.sparkSession, root, batch_id, n["ok"], n["id_deletes"])
+        records, seen = run_record(batch_df, job, batch_id)
+        n = write_counted(project_records(records, full_document_only, order), root, batch_id)
+        run = {**seen.get, "job": job, "run_id": batch_df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")}
+        write_commit(batch_df.sparkSession, root, batch_id, n["ok"], n["id_deletes"], run)
     return _apply
 
 

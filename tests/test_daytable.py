@@ -226,3 +226,39 @@ def test_a_filter_on_the_day_prunes_folders(spark):
     df = table.read().where(F.col("event_date") == "2024-01-03")
     assert "PartitionFilters: [isnotnull(event_date" in df._jdf.queryExecution().executedPlan().toString()
     assert df.count() == 1
+
+
+def names(table, version):
+    """Data files of each day of a version."""
+    v, data = table.version(version), table.root.removeprefix("file:") + "/data"
+    return {d: sorted(f for f in os.listdir(f"{data}/{folder}") if f.endswith(".parquet")) for d, folder in v.days.items()}
+
+
+def test_compaction_rewrites_days_of_small_files_only(spark):
+    rng = random.Random(2)
+    many = [row(f"k{i}", rng.choice("abc"), float(i), rng.choice([1, 2])) for i in range(400)]
+    table = table_of(spark, [*many, row("one", "x", 1.0, 3), row(None, "n", 1.0, None)])
+    before, old = names(table, 1), table.head()
+    assert len(before["2024-01-01"]) > 2 and len(before["2024-01-03"]) == 1
+    flagged = {r.day for r in table.file_groups(1 << 20).where("compact").collect()}
+    assert flagged == {"2024-01-01", "2024-01-02"}
+    new = table.compact(1 << 20)
+    after = names(table, new)
+    assert len(after["2024-01-01"]) == len(after["2024-01-02"]) == 1
+    assert after["2024-01-03"] == before["2024-01-03"] and table.version(new).days["2024-01-03"] == table.version(old).days["2024-01-03"]
+    assert content(table.read(new)) == content(table.read(old))
+    assert table.compact(1 << 20) is None and table.head() == new  # nothing left to do
+    sizes = sum(r.bytes for r in table.file_groups(1 << 20).where("day = '2024-01-01'").collect())
+    smaller = table.compact(-(-sizes // 3), min_files=1, small_ratio=4.0)
+    assert 2 <= len(names(table, smaller)["2024-01-01"]) <= 3 + 1 and content(table.read(smaller)) == content(table.read(old))
+
+
+def test_maintenance_freezes_tags_and_expires_the_rest(spark):
+    table = table_of(spark, [row(f"k{i}", "a", 1.0, 1) for i in range(50)])
+    for n in range(3):
+        table.upsert(spark.createDataFrame([row(f"k{n}", "b", 2.0, 1)], SCHEMA))
+    report = {r.step: r.value for r in table.maintain("t", 1 << 20, 7, [("first", "first")], "2999-01-01 00:00:00").collect()}
+    assert report["tags"] == 1 and report["versions_kept"] == 2 and report["rows"] == 50 and report["files_removed"] > 0 and report["compacted_days"] == 1
+    assert {r.tag: r.snapshot_id for r in table.tags().collect()} == {"first": 1}
+    assert table.read(1).where("status = 'b'").count() == 0 and table.read().where("status = 'b'").count() == 3
+    assert table.maintain("t", 1 << 20, 7, [], "2999-01-01 00:00:00").where("step = 'files_removed'").first().value == 0
