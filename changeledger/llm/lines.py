@@ -2,15 +2,17 @@
 
 A line with a word fails by the first of these that holds:
 
-* ``boilerplate``: at most ``BOILERPLATE_WORDS`` words and one of the ``BOILERPLATE`` phrases in it.
-* ``navigation``: at least ``NAV_MARKS`` separators (| • › » anywhere; → / > alone), and they are more than ``NAV_SHARE`` of its words.
-* ``punctuation``, for lines of at least ``LONG_LINE`` words: marks and symbols are over ``MARK_SHARE`` of the characters that
-  aren't space; or nine letters in ten are capitals; or there is no sentence mark anywhere in the line.
+* ``boilerplate``: at most ``BOILERPLATE_WORDS`` words and one of the ``BOILERPLATE`` phrases in it, as whole words.
+* ``navigation``: at least ``NAV_MARKS`` separators (| • anywhere; › » → / > alone, as › and » also close quotations), and they are more than ``NAV_SHARE`` of its words.
+* ``punctuation``, for lines of at least ``LONG_LINE`` words: punctuation and symbols, by Unicode category, are over ``MARK_SHARE`` of
+  the characters that aren't space; or nine letters in ten are capitals, in scripts that have them; or there is no sentence mark of any
+  script anywhere in the line, unless its script writes none.
 
 The document is rejected when it fails the base test (too few words, or mostly repeated three-word windows), or when the failing
 lines hold more than ``MAX_LOST`` of the characters in words.
 
-Defined results: a null text has no words and fails the base test; an empty table gives no rows; other columns are not read.
+Defined results: a null, empty or blank text has no words and fails the base test; a very long text is judged whole, line by line; repeated
+rows and null ids are rows of their own, each judged alike; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,10 +43,24 @@ BOILERPLATE = ("all rights reserved", "licensed under", "released under the", "t
 
 _WORD = re.compile(WORD)
 _OTHER_SPACE = re.compile("[\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]")
-_MARK = re.compile(r"[^\w\s]")
-_NAV = re.compile(r"(?:^|(?<=\s))[|•›»→/>](?:\s|$)|[|•›»]")
-_SENTENCE = re.compile("[.!?…。！？｡।؟:;]")
+
+
+def _characters(pattern: str) -> str:
+    """The characters of the basic plane that a Unicode property matches, as ranges for a character class."""
+    codes = [c for c in range(0x10000) if not 0xD800 <= c < 0xE000 and regex.match(pattern, chr(c))]
+    cuts = [k for k, c in enumerate(codes) if k == 0 or c != codes[k - 1] + 1]
+    runs = [(codes[i], codes[j - 1]) for i, j in zip(cuts, [*cuts[1:], len(codes)])]
+    return "".join(f"\\u{a:04x}" if a == b else f"\\u{a:04x}-\\u{b:04x}" for a, b in runs)
+
+
+#: Punctuation and symbols by Unicode category: vowel signs and accents belong to their letters.
+_MARK = re.compile(f"[{_characters(r'[\p{P}\p{S}]')}]")
+#: What ends a sentence in any script, and colons and semicolons.  Sentences of the scripts of ``_UNMARKED`` (Thai, Lao, Tibetan, Khmer) end without a mark.
+_SENTENCE = re.compile(f"[…:;؛：；{_characters(r'\p{Sentence_Terminal}')}]")
+_UNMARKED = re.compile(f"[{_characters(r'[\p{Thai}\p{Lao}\p{Tibetan}\p{Khmer}]')}]")
+_NAV = re.compile(r"(?:^|(?<=\s))[|•›»→/>](?:\s|$)|[|•]")
 _SYMBOL = re.compile(r"[#*$%&|<>]")
+_BOILERPLATE = re.compile(rf"\b(?:{'|'.join(BOILERPLATE)})\b")
 
 _SCHEMA = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
            "base_failed boolean, kept boolean, lost_chars long, lines_removed array<string>, clean_text string")
@@ -57,14 +74,13 @@ def failing(line: str, words: list[str]) -> str | None:
     """The rule that a line with words fails."""
     n = len(words)
     if n <= BOILERPLATE_WORDS:
-        low = line.lower()
-        if any(p in low for p in BOILERPLATE):
+        if _BOILERPLATE.search(line.lower()):
             return "boilerplate"
     marks = len(_NAV.findall(line))
     if marks >= NAV_MARKS and marks > NAV_SHARE * n:
         return "navigation"
     if n >= LONG_LINE:
-        if len(_MARK.findall(line)) > MARK_SHARE * sum(map(len, words)) or not _SENTENCE.search(line):
+        if len(_MARK.findall(line)) > MARK_SHARE * sum(map(len, words)) or not (_SENTENCE.search(line) or _UNMARKED.search(line)):
             return "punctuation"
         if line.upper() == line or not any(w.islower() for w in words):
             letters = [c for c in line if c.isalpha()]

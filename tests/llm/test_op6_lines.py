@@ -62,3 +62,47 @@ def test_text_that_is_left(spark):
     assert out[1].kept and out[1].clean_text == f"{good}\n" and out[1].lines_removed == ["navigation", "boilerplate"]
     assert not out[2].kept and not out[2].base_failed and out[2].clean_text == good
     assert out[3].base_failed and out[3].clean_text == ""
+
+
+@pytest.mark.parametrize("text", [
+    "भारत एक विशाल देश है और यहाँ अनेक भाषाएँ बोली जाती हैं।", "தமிழ் மொழி உலகின் மிகப் பழமையான மொழிகளில் ஒன்றாகும்.", "বাংলা ভাষা একটি প্রাচীন ভাষা এবং এটি সুন্দর।",
+    "یہ ایک عام اردو جملہ ہے جو آسان ہے۔", "Սա սովորական հայերեն նախադասություն է։", "ภาษา ไทย เป็น ภาษา ที่ มี ความ สวยงาม มาก", "ሰላም ለዓለም ሁሉ ይሁን።",
+    "မြန်မာ ဘာသာ စကား ဖြစ် သည်။", "ព្រះរាជាណាចក្រ កម្ពុជា ជា ប្រទេស មួយ", "これ は 普通 の 文 です。", "Это обычное русское предложение из слов.", "هذه جملة عربية عادية جدا؟",
+    "« Oui », répondit-il enfin, « nous viendrons demain matin avec les enfants. »",
+    "In his blog in the spring of 2010 he wrote it.", "She found the catalog in the hall of records.", "They spread more butter on it."])
+def test_prose_of_many_scripts_stays(text):
+    assert lines.failing(text, lines.words_of(text)) is None
+    whole = "\n".join(f"{text[:-1]} {i} {text}" for i in range(40))
+    assert lines.judged(whole)[6] or lines.judged(whole)[5]  # kept, unless the base test fails it for its repetitions
+
+
+def brute_verdict(text):
+    """Lines judged character by character with the categories of the Unicode database."""
+    import unicodedata
+
+    total = lost = 0
+    for line in (text or "").split("\n"):
+        words = re.findall(r"[^\x20\x09-\x0D]+", line)
+        if not words:
+            continue
+        chars = "".join(words)
+        low, n = line.lower(), len(words)
+        solid = "".join(c if c.isalnum() or c == "_" or unicodedata.category(c).startswith("M") else " " for c in low)
+        alone = sum(w in ("|", "•", "›", "»", "→", "/", ">") for w in line.split()) + sum(w.count("|") + w.count("•") for w in line.split() if w not in ("|", "•"))
+        fails = n <= lines.BOILERPLATE_WORDS and any(f" {p} " in f" {solid} " for p in lines.BOILERPLATE)
+        fails = fails or (alone >= 3 and alone > 0.25 * n)
+        if n >= 4:
+            marks = sum(unicodedata.category(c)[0] in "PS" for c in line)
+            letters = [c for c in line if c.isalpha()]
+            fails = fails or marks > 0.2 * len(chars) or not any(c in ".!?…。！？｡।؟:;：；؛" for c in line)
+            fails = fails or (not any(w.islower() for w in words) and sum(map(str.isupper, letters)) >= 0.9 * len(letters) > 0)
+        total += len(chars)
+        lost += len(chars) * fails
+    return lost <= 0.4 * total
+
+
+@pytest.mark.parametrize("where", ["edge_dir", "sample_dir"])
+def test_verdicts_against_a_plain_version(spark, where, request):
+    d = request.getfixturevalue(where)
+    got = Counter((r.doc_id, r.kept) for r in Q.op6(spark, d).collect())
+    assert got == Counter((i, not brute(t)[-1] and brute_verdict(t)) for i, t in rows_of(spark, d, "doc_id", "text"))
