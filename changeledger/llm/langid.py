@@ -1,21 +1,23 @@
 """Language identification by cross-parsing entropy (operator 8).
 
 Per language, a suffix automaton of labelled text accepts exactly the substrings of that text.  A document is parsed
-greedily: each phrase is the longest match that the automaton accepts from here on.  With a text of n symbols for
-training, c phrases over m symbols estimate c * log2(n) / m bits a symbol; the language with the fewest normalised
-phrases wins, the first by code point among equals.
+greedily: each phrase is the longest match that the automaton accepts from here on.  With n symbols of
+training text, c phrases over m symbols estimate c * log2(n) / m bits a symbol.  All languages pay the price of the largest sample, n, for a
+phrase: a language with hardly any text would else win by its cheap phrases, long as its parse may be.  The language with the fewest
+normalised phrases wins, the first by code point among equals.
 
-Training text is a bounded sample: of each language the ``ROWS_PER_LANGUAGE`` labelled rows with the smallest hash of their id, and of
-each the first ``CHARS_PER_ROW`` characters.  Every document is predicted from its whole text.
+Training text is a bounded sample: of each language the ``ROWS_PER_LANGUAGE`` labelled rows with the smallest hash of their id (fewer if that
+would be over ``SAMPLE_ROWS`` of all languages), and of each the first ``CHARS_PER_ROW`` characters.  Every document is predicted from its whole text.
 
 Text is lower-cased and every run of characters other than letters counts as one space.  Every letter of the training text is
 a symbol, however rare; any other letter matches nothing and is a phrase by itself.  Steps by the space and the ``DENSE`` - 2 most frequent
-letters are looked up in a table of all states, steps by rarer ones among the sorted edges, so memory grows with the sample, not
-with states times letters.  Documents are parsed in stretches of ``STRETCH``
-symbols, each from a new phrase on, so that numpy steps through thousands of stretches at a time.
+letters are looked up in a table of all states, steps by rarer ones among the sorted edges; with many languages the table is left out, so
+memory grows with the sample, not with states times letters.  Documents are cut into stretches of ``STRETCH`` symbols, so that numpy steps
+through thousands of stretches at a time.  Each stretch is first parsed as if a phrase began with it; then the parse of the stretch
+before is carried on until both begin a phrase at the same place, from where they agree.  So the count is that of the unbroken parse.
 
-Defined results: ``und`` and score 0 for a null text, one without a letter, or where no language was learned; null
-ids are not held out and not learned from; an empty table gives no rows.  Else the score is the margin to the runner-up,
+Defined results: ``und`` and score 0 for a null or empty text, one without a letter, or where no language was learned; null
+ids are not held out and not learned from; repeated rows are predicted alike, each on its own; a very long text is parsed whole; an empty table gives no rows.  Else the score is the margin to the runner-up,
 (second - best) / second, or 1 if only one language was learned.
 """
 
@@ -33,9 +35,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_LANGUAGE = 48
+SAMPLE_ROWS = 4800
 CHARS_PER_ROW = 800
-#: Symbols with a column in the table of steps.
+#: Symbols with a column in the table of steps, and the most cells it may have; beyond them fewer symbols get a column.
 DENSE = 64
+TABLE_CELLS = 16_000_000
 STRETCH = 1024
 #: Characters parsed at once by a worker.
 PARSED_AT_ONCE = 2_000_000
@@ -51,12 +55,14 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def sample(docs: DataFrame) -> dict[str, list[str]]:
-    """Training passages per language; at most ROWS_PER_LANGUAGE short strings each."""
+    """Training passages per language; at most ROWS_PER_LANGUAGE short strings each, and fewer where that would be over SAMPLE_ROWS in all."""
+    labelled = docs.where(~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    languages = labelled.agg(F.count_distinct("lang")).first()[0]
+    each = max(1, min(ROWS_PER_LANGUAGE, SAMPLE_ROWS // max(1, languages)))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "passage")
-    rows = (docs.where(~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-            .select(F.col("lang").cast("string").alias("lang"), F.col("doc_id").cast("long").alias("doc_id"), F.substring("text", 1, CHARS_PER_ROW).alias("passage"))
+    rows = (labelled.select(F.col("lang").cast("string").alias("lang"), F.col("doc_id").cast("long").alias("doc_id"), F.substring("text", 1, CHARS_PER_ROW).alias("passage"))
             .where(F.col("passage").rlike(r"\p{L}"))
-            .withColumn("n", F.row_number().over(order)).where(F.col("n") <= ROWS_PER_LANGUAGE).orderBy("lang", "n").collect())
+            .withColumn("n", F.row_number().over(order)).where(F.col("n") <= each).orderBy("lang", "n").collect())
     out: dict[str, list[str]] = {}
     for r in rows:
         out.setdefault(r["lang"], []).append(r["passage"])
@@ -118,7 +124,8 @@ class Parser:
         chars = [c for c, _ in sorted(often.items(), key=lambda x: (-x[1], x[0]))]
         # 0: space, 1 to k: letters that training saw, k + 1: any other letter.
         self.other = len(chars) + 1
-        self.size = min(self.other + 1, DENSE)
+        states = 2 * sum(len(t) for v in folded.values() for t in v) + len(folded)
+        self.size = max(1, min(self.other + 1, DENSE, TABLE_CELLS // max(1, states)))
         self.of_char = np.full(0x110000, self.other, np.min_scalar_type(self.other))
         for code in range(0x3000):
             if not chr(code).isalpha():
@@ -127,7 +134,7 @@ class Parser:
             self.of_char[ord(c)] = k + 1
         tables, roots, at = [], [], 0
         rare = []
-        self.bits = []
+        self.symbols_learned = []
         for k in self.languages:
             symbols = self.of_char[np.frombuffer("".join(folded[k]).encode("utf-32-le"), "<u4")].tolist()
             edges = suffix_edges(symbols)
@@ -143,7 +150,7 @@ class Parser:
             tables.append(table)
             roots.append(at)
             at += len(edges)
-            self.bits.append(np.log2(len(symbols) + 2))
+            self.symbols_learned.append(len(symbols))
         self.table = np.concatenate(tables).reshape(-1) if tables else np.zeros(0, np.int32)
         self.roots = np.array(roots, np.int64)
         rare.append((np.array([np.iinfo(np.int64).max]), np.zeros(1, np.int32)))  # an end that no search passes
@@ -163,15 +170,17 @@ class Parser:
         return sym[keep], np.cumsum(keep)[ends - 1]
 
     def step(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-        """The states [language, lane] after ``symbol`` [lane], 0 for none."""
+        """The states of any language after ``symbol``, 0 for none; shapes broadcast."""
         if self.other < self.size:
             return self.table[state * self.size + symbol]
-        to = self.table[state * self.size + np.where(symbol < self.size, symbol, 0)]
-        lanes = np.flatnonzero(symbol >= self.size)
-        if len(lanes):
-            key = np.broadcast_to(state, (len(self.roots), len(symbol)))[:, lanes] * (self.other + 1) + symbol[lanes]
+        state, symbol = np.broadcast_arrays(state, symbol)
+        common = symbol < self.size
+        to = self.table[state * self.size + np.where(common, symbol, 0)]
+        rare = ~common
+        if rare.any():
+            key = state[rare] * (self.other + 1) + symbol[rare]
             at = np.searchsorted(self.rare, key)
-            to[:, lanes] = np.where(self.rare[at] == key, self.rare_to[at], 0)
+            to[rare] = np.where(self.rare[at] == key, self.rare_to[at], 0)
         return to
 
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -190,39 +199,73 @@ class Parser:
         padded = np.concatenate([sym, np.zeros(STRETCH, sym.dtype)])
         grid = np.ascontiguousarray(padded[start[:, None] + np.arange(STRETCH)].T) if lanes else np.zeros((0, 0), sym.dtype)
         state = np.repeat(self.roots[:, None], lanes, 1)
-        count = np.zeros((langs, lanes), np.int32)
         active = np.searchsorted(-length, -np.arange(STRETCH), side="left")  # lanes longer than t
-        root = self.roots[:, None]
+        begins = np.zeros((STRETCH, langs, lanes), bool)  # where phrases begin in each stretch parsed by itself
         for t in range(STRETCH):
             k = int(active[t])
             if not k:
                 break
-            c = grid[t, :k].astype(np.int64)
-            s = state[:, :k]
-            to = self.step(s, c)
-            none = to == 0
-            count[:, :k] += none | (s == root)  # here a phrase begins
-            again = self.step(root, c)
-            to = np.where(none & (s != root), again, to)
-            state[:, :k] = np.where(to == 0, root, to)
+            state[:, :k], begins[t, :, :k] = self.parse(state[:, :k], grid[t, :k].astype(np.int64), self.roots[:, None])
+        count = begins.sum(0, dtype=np.int64)
+        lane_of = np.empty(lanes, np.int64)
+        lane_of[order] = np.arange(lanes)  # of each stretch, in the order of the texts
+        self._join_stretches(state, begins, count, grid, length, lane_of, pieces)
         total = np.zeros((len(texts), langs), np.int64)
         np.add.at(total, owner, count.T)
         return total, n
 
+    def parse(self, state: np.ndarray, symbol: np.ndarray, root: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The states after one more symbol, and where a phrase begins with it."""
+        to = self.step(state, symbol)
+        none = to == 0
+        again = self.step(root, symbol)
+        after = np.where(none & (state != root), again, to)
+        return np.where(after == 0, root, after), none | (state == root)
+
+    def _join_stretches(self, state: np.ndarray, begins: np.ndarray, count: np.ndarray, grid: np.ndarray, length: np.ndarray,
+                        lane_of: np.ndarray, pieces: np.ndarray) -> None:
+        """Correct ``count`` for parses that run over the borders of stretches, second stretches of all texts first, then third ones.
+
+        The parse of the stretches before is carried on, its phrases counted, until it begins one where the stretch's own parse does.
+        The stretch's own phrases before that place don't count; if they never meet, none does.
+        """
+        first, many, nth = np.cumsum(pieces) - pieces, np.flatnonzero(pieces > 1), 1
+        true = state[:, lane_of[first[many]]]
+        while len(many):
+            lane = lane_of[first[many] + nth]
+            lang, doc = (x.ravel() for x in np.indices(true.shape))
+            s, at, root, met = true.ravel(), lane[doc], self.roots[lang], np.zeros(true.size, bool)
+            extra, live = np.zeros(true.size, np.int64), np.arange(true.size)
+            for t in range(STRETCH):
+                live = live[length[at[live]] > t]
+                if not len(live):
+                    break
+                s[live], started = self.parse(s[live], grid[t, at[live]].astype(np.int64), root[live])
+                own = begins[t, lang[live], at[live]]
+                here = started & own
+                extra[live] += started.astype(np.int64) - own
+                met[live[here]] = True
+                live = live[~here]
+            count[:, lane] += extra.reshape(true.shape)
+            true = np.where(met.reshape(true.shape), state[:, lane], s.reshape(true.shape))
+            nth += 1
+            go = pieces[many] > nth
+            many, true = many[go], true[:, go]
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         best, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
         asked = [i for i, t in enumerate(texts) if has_letter(t)]
         if not self.languages or not asked:
             return best, score
-        at = 0
+        at, at_once = 0, PARSED_AT_ONCE * 8 // max(8, len(self.languages))
         while at < len(asked):
             chars, end = 0, at
-            while end < len(asked) and (end == at or chars + len(texts[asked[end]]) <= PARSED_AT_ONCE):
+            while end < len(asked) and (end == at or chars + len(texts[asked[end]]) <= at_once):
                 chars += len(texts[asked[end]])
                 end += 1
             part = asked[at:end]
             count, n = self.phrases([texts[i] for i in part])
-            rate = count * np.array(self.bits) / np.maximum(n, 1)[:, None]
+            rate = count * np.log2(max(self.symbols_learned) + 2) / np.maximum(n, 1)[:, None]
             order = np.argsort(rate, axis=1, kind="stable")
             for i, r, o in zip(part, rate, order):
                 best[i] = self.languages[o[0]]

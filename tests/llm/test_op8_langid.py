@@ -15,20 +15,64 @@ def folded(text):
 
 
 def brute_phrases(text, training, other):
-    """Greedy longest matches by substring search, anew at every stretch."""
+    """Greedy longest matches by substring search, from the first symbol to the last."""
     s = folded(text)
-    n = 0
-    for at in range(0, len(s), langid.STRETCH):
-        part, i = s[at:at + langid.STRETCH], 0
-        while i < len(part):
-            k = 0
-            while i + k < len(part) and part[i:i + k + 1] in training and part[i + k] not in other:
-                k += 1
-            i += max(1, k)
-            n += 1
+    n = i = 0
+    while i < len(s):
+        k = 0
+        while i + k < len(s) and s[i:i + k + 1] in training and s[i + k] not in other:
+            k += 1
+        i += max(1, k)
+        n += 1
     return n, len(s)
 
 
+@pytest.mark.parametrize("stretch", [1, 2, 3, 7, 40])
+def test_stretches_do_not_break_the_parse(monkeypatch, stretch):
+    """Also where the parse of a stretch never meets the one before: periodic texts, and texts that the training holds whole."""
+    rng = random.Random(stretch)
+    whole = "".join(rng.choices("abc ", k=300))
+    training = {"p": ["abcabc" * 40], "q": [whole], "r": ["".join(rng.choices("ab", k=200))]}
+    monkeypatch.setattr(langid, "STRETCH", stretch)
+    p = langid.Parser(training)
+    texts = ["abc" * 50, "bcab" * 30, whole, whole[7:150] + whole, "".join(rng.choices("abcd ", k=200)), "a", "ab" * 60, "z" * 50]
+    count, _ = p.phrases(texts)
+    joined = {k: "".join(" " + folded(t) for t in v) for k, v in training.items()}
+    for t, c in zip(texts, count):
+        for k, lang in enumerate(p.languages):
+            assert int(c[k]) == brute_phrases(t, joined[lang], "")[0], (t, lang)
+
+
+def test_languages_with_hardly_any_text_take_nothing(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    lang = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
+    for tiny in ("ok", "Saluton mondo"):
+        extra = spark.createDataFrame([(10**9, tiny, "xx")], "doc_id long, text string, lang string")
+        tested = [r for r in langid.identify(docs.unionByName(extra, allowMissingColumns=True)).collect() if r.held_out and lang.get(r.doc_id)]
+        assert sum(r.lang_pred == lang[r.doc_id] for r in tested) >= 0.98 * len(tested)
+        assert not any(r.lang_pred == "xx" for r in tested)
+
+
+def test_many_languages_in_bounded_memory():
+    rng = random.Random(8)
+    training = {}
+    for k in range(200):
+        letters = [chr(0x100 + rng.randrange(0x500)) for _ in range(25)]
+        letters = [c for c in letters if c.isalpha() and c.lower() == c] or ["a"]
+        training[f"l{k:03d}"] = ["".join(rng.choices([*letters, " "], k=langid.CHARS_PER_ROW)) for _ in range(langid.SAMPLE_ROWS // 200)]
+    p = langid.Parser(training)
+    held = sum(x.nbytes for x in (p.table, p.rare, p.rare_to, p.of_char))
+    assert held < 300e6
+    texts = [t[100:400] for t in (training["l007"][3], training["l150"][0])]
+    assert p.predict(texts)[0] == ["l007", "l150"]
+
+
+def test_the_sample_is_bounded_over_all_languages(spark):
+    rows = [(i, f"text of language number {i % 700} word{i}", f"l{i % 700}") for i in range(7000)]
+    got = langid.sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(got) == 700 and sum(map(len, got.values())) <= langid.SAMPLE_ROWS
+
+
 def test_phrase_counts_match_substring_search():
     rng = random.Random(1)
     alphabet = "abcdeé "
