@@ -21,6 +21,7 @@ from ..operators import quality as qc
 from ..operators.merge import latest_per_key, snapshot_upsert
 from ..schemas import ORDER_COLUMNS
 from ..session import cut_lineage
+from ..sources.daytable import DayTable
 from ..sources.raw import raw_scan
 
 ABSENT_TYPES = {"amount": "double", "event_ts": "timestamp_ntz"}
@@ -65,6 +66,42 @@ def ingest_batch(spark: SparkSession, raw_root: str, target: DataFrame,
     return snapshot_upsert(target, source, "order_id", order_by=None)
 
 
+def ingest_day(spark: SparkSession, raw_root: str, table: DayTable, date: str, run_ts: str | None = None,
+               dead_letters: str | None = None, max_null_rate: float = 0.05) -> int:
+    """One landed day into the stored table (O61, O64, O04): the new version's number.
+
+    A day that wasn't landed raises ``MissingDay``.  The merged days are staged, checked (repeated keys, null rates of key, time
+    and status) and published by the table's pointer, so readers see all of the day or nothing, and a repeated run leaves the
+    same table.  Documents without a readable time go to ``dead_letters``, which a repeated run replaces.
+    """
+    source, bad = prepare_snapshot(raw_scan(spark, raw_root, date, must_exist=True), run_ts)
+    if dead_letters:
+        bad.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{dead_letters.rstrip('/')}/dt={date}")
+
+    def gate(before: DataFrame, staged: DataFrame) -> DataFrame:
+        return qc.quality_report(before, staged, [table.key], [table.key, table.ts, "status"], max_change=float("inf"), max_null_rate=max_null_rate, materialize=False)
+
+    return table.upsert(source, check=gate)
+
+
+def backfill_days(spark: SparkSession, raw_root: str, table: DayTable, start: str, end: str, columns: list[str], branch: str | None = None) -> int | None:
+    """Re-ingest the raw days [start, end) on a branch of the table and merge it (O65): main's new version, or None when a conflict blocks it.
+
+    A row takes main's place unless main's is newer.  What main gained meanwhile is merged with the branch by key and column.
+    """
+    branch = branch or f"backfill/{start}-{uuid.uuid4().hex[:8]}"
+    raw = raw_scan(spark, raw_root, dates=(start, end)).drop("dt")
+    flat = normalize_event_ts(flatten(raw.withColumn("_src_path", F.col("_metadata.file_path"))))
+    if "_bad_event_ts" in flat.columns:
+        flat = flat.where(F.col("_bad_event_ts").isNull())
+    new = latest_per_key(flat.where(F.col(table.key).isNotNull()), table.key, [table.ts, "_src_path"]).select(*columns)
+    table.branch(branch)
+    held = table.read(branch=branch).groupBy(table.key).agg(F.max(table.ts).alias("_held"))
+    fresh = new.join(held, table.key, "left").where(F.col("_held").isNull() | (F.col(table.ts) >= F.col("_held"))).drop("_held")
+    table.upsert(fresh, branch)
+    return table.merge(branch)
+
+
 def write_audit_publish(staged: DataFrame, previous: DataFrame, main_path: str,
                         key: list[str], attributes: list[str], mode: str = "overwrite",
                         partition_by: str | None = None, **thresholds) -> tuple[bool, DataFrame]:

@@ -14,6 +14,7 @@ from ..session import listing_parallelism, work_path
 from ..sources import paged
 from ..sources import raw as rw
 from ..sources import testdata as td
+from ..sources.daytable import DayTable
 from . import jobs
 from . import oracle as O
 from .registry import register
@@ -212,6 +213,28 @@ def q_ingest_batch(spark, sf_dir):
                       rest_value("src_file").alias("rest_src_file"))
 
 
+RUN_DATE = "2001-08-02"
+
+
+@register("ingest_day", INGEST_SQL)
+def q_ingest_day(spark, sf_dir):
+    """The landed snapshot of a run date into the stored table, twice; a date that wasn't landed fails."""
+    root = work_path(spark, "raw-run")
+    rw.raw_land_run(td.orders_delta(spark, sf_dir), root, RUN_DATE)
+    target = td.orders_src(spark, sf_dir).select(*td.ORDER_FIELDS) \
+        .withColumn("ingestion_ts", F.lit("2001-08-01 00:00:00").cast("timestamp_ntz"))
+    table = DayTable(spark, work_path(spark, "ingested-orders"), unit="month")
+    table.create(rest_pack(target, ORDER_COLUMNS).select(*ORDER_COLUMNS, "_rest"))
+    try:
+        jobs.ingest_day(spark, root, table, "2001-08-03", RUN_TS)
+        raise AssertionError("a missing day was ingested")
+    except rw.MissingDay:
+        pass
+    for _ in range(2):
+        jobs.ingest_day(spark, root, table, RUN_DATE, RUN_TS)
+    return table.read().select(*ORDER_COLUMNS, F.size("_rest").alias("n_rest"), rest_value("src_file").alias("rest_src_file"))
+
+
 BACKFILL = ("1996-01-01", "1996-02-01")
 
 
@@ -233,6 +256,21 @@ def q_backfill_branch(spark, sf_dir):
         return spark.read.parquet(main).select(*td.ORDER_FIELDS)
 
 
+@register("backfill_days", O.with_(O.ORDERS_SRC)
+          + "SELECT order_id, merchant_id, status, amount, currency, event_ts FROM orders_src")
+def q_backfill_days(spark, sf_dir):
+    """The stored table misses January 1996; a branch gets those days from raw and is merged into main."""
+    raw_root = work_path(spark, "raw-orders")
+    rw.raw_land(td.nested_docs(spark, sf_dir), raw_root)
+    full = td.orders_src(spark, sf_dir).select(*td.ORDER_FIELDS)
+    lo, hi = (F.lit(b).cast("timestamp_ntz") for b in BACKFILL)
+    table = DayTable(spark, work_path(spark, "backfilled-orders"), unit="month")
+    table.create(full.where(~((F.col("event_ts") >= lo) & (F.col("event_ts") < hi))))
+    if jobs.backfill_days(spark, raw_root, table, *BACKFILL, td.ORDER_FIELDS) is None:
+        raise RuntimeError("backfill blocked by conflicts")
+    return table.read().select(*td.ORDER_FIELDS)
+
+
 WAP_SQL = O.with_(O.ORDERS_SRC, O.ORDERS_DELTA, O.DELTA_LATEST, O.UPSERTED).rstrip() + """,
 checks AS (
   SELECT 'row_count_delta' AS check_name,

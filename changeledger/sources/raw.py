@@ -15,6 +15,20 @@ from ..session import listing_parallelism
 JSON_OPTS = {"timestampFormat": TS_FORMAT, "timestampNTZFormat": TS_FORMAT}
 
 
+class MissingDay(ValueError):
+    """A day that should have been landed isn't there."""
+
+
+def raw_land_run(df: DataFrame, root: str, run_date: str, page_size: int = EXTRACT_PAGE_SIZE) -> str:
+    """Land one run's documents under the date of the run, ``root/dt=<run date>`` (O02): whatever the documents' own times say.
+
+    A repeated run replaces its folder.  Rows are dealt to the session's writers as they come.
+    """
+    path = f"{root.rstrip('/')}/dt={dt.date.fromisoformat(run_date).isoformat()}"
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").option("maxRecordsPerFile", page_size).options(**JSON_OPTS).json(path)
+    return path
+
+
 def raw_land(df: DataFrame, root: str, date_col: str = "event_ts",
              page_size: int = EXTRACT_PAGE_SIZE, mode: str = "append") -> DataFrame:
     """Land documents as ``root/dt=YYYY-MM-DD/*.json``.
@@ -31,8 +45,9 @@ def raw_land(df: DataFrame, root: str, date_col: str = "event_ts",
 
 
 def raw_scan(spark: SparkSession, root: str, date: str | None = None,
-             schema=None, dates: tuple[str, str] | None = None) -> DataFrame:
-    """Read a collection's landed documents, optionally one day.
+             schema=None, dates: tuple[str, str] | None = None, must_exist: bool = False) -> DataFrame:
+    """Read a collection's landed documents, optionally one day (O01).  With ``must_exist`` a day that wasn't
+    landed raises ``MissingDay``; else it reads as empty.
 
     With ``basePath`` set to the collection root, ``dt`` stays a partition
     column even when only the day folder ``dt=<date>`` is read, so one day
@@ -44,7 +59,9 @@ def raw_scan(spark: SparkSession, root: str, date: str | None = None,
     if date is not None:
         try:
             return reader.json(f"{root.rstrip('/')}/dt={date}")
-        except AnalysisException:  # nothing landed that day: empty result, collection schema
+        except AnalysisException as exc:  # nothing landed that day: empty result, collection schema
+            if must_exist:
+                raise MissingDay(f"no documents landed for {date} in {root}") from exc
             with listing_parallelism(spark):
                 return reader.json(root).where(F.col("dt") == F.lit(date).cast("date"))
     if dates is not None:
