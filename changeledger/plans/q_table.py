@@ -187,3 +187,15 @@ def q_table_maintenance(spark, sf_dir):
         small = table.file_groups(target).where("compact").agg(F.count(F.lit(1)).alias("value"))
         reports.append(small.select(F.lit(name).alias("table_name"), F.lit("small_days").alias("step"), "value"))
     return reduce(DataFrame.unionByName, reports)
+
+
+@register("table_erase", O.with_(O.ORDERS_SRC, """erase AS (SELECT 'm-' || CAST(c_custkey AS VARCHAR) AS merchant_id FROM customer WHERE c_mktsegment = 'MACHINERY')""")
+          + f"SELECT {', '.join(COLUMNS)} FROM orders_src WHERE merchant_id NOT IN (SELECT merchant_id FROM erase)")
+def q_table_erase(spark, sf_dir):
+    """The orders of customers to be forgotten leave the table, its old versions and its tags."""
+    table = _table(spark, sf_dir, "erased-table")
+    table.tag([("first-load", "first")])
+    customers = td.read_table(spark, sf_dir, "customer").where(F.col("c_mktsegment") == "MACHINERY")
+    forgotten = customers.select(F.concat(F.lit("m-"), F.col("c_custkey").cast("string")).alias("merchant_id"))
+    table.erase(table.read().join(forgotten, "merchant_id", "left_semi"))
+    return table.read().select(*COLUMNS)

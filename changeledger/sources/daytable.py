@@ -253,6 +253,28 @@ class DayTable:
         rows = [self._read(v, days).select(*[f.name for f in v.schema.fields], F.lit(sign).alias("sign")) for v, sign in ((old, -1), (new, 1))]
         return rows[0].unionByName(rows[1], allowMissingColumns=True)
 
+    # ---- erasure
+
+    def erase(self, keys: DataFrame) -> int:
+        """Remove every row of the listed keys from the heads of all branches, and all that is older (O29): the number of rows removed.
+
+        Only days that hold such rows are rewritten.  Older versions and tags still hold them, so both go at once, whatever their
+        retention; branches that have lost the version they came from can't be merged any more.
+        """
+        listed = cut_lineage(keys.select(self.key).where(F.col(self.key).isNotNull()).distinct(), "erase-keys")
+        gone = 0
+        for branch in sorted(r[0] for r in self.versions().select("branch").distinct().collect()):
+            v = self.version(branch=branch)
+            hit = self._read(v).join(listed, self.key, "left_semi").groupBy(F.coalesce(F.col(DAY).cast("string"), F.lit(NO_DAY)).alias("day")).count().collect()
+            if hit:
+                days = {r.day for r in hit}
+                kept = self._read(v, days).join(listed, self.key, "left_anti").select(*[f.name for f in v.schema.fields])
+                self.replace_days(kept, days, branch, "erase", v.number)
+                gone += sum(r["count"] for r in hit)
+        h.delete_files(lay.file_stats(self.spark, self.root).where(h.plain_path(F.col("path")).contains("/tags/tag=")), dry_run=False)
+        self.expire("9999-01-01 00:00:00", 0, joints=False)
+        return gone
+
     # ---- maintenance
 
     def file_groups(self, target_bytes: int, branch: str = "main", min_files: int = 2, small_ratio: float = 0.75) -> DataFrame:
@@ -307,23 +329,23 @@ class DayTable:
 
     # ---- retention
 
-    def keep(self, now: str, retention_days: int, tags: list[int] | None = None) -> DataFrame:
-        """The versions that stay (O50): heads of branches, tagged ones (stored or given), those younger than the retention, and the versions
+    def keep(self, now: str, retention_days: int, tags: list[int] | None = None, joints: bool = True) -> DataFrame:
+        """The versions that stay (O50): heads of branches, tagged ones (stored or given), those younger than the retention, and (``joints``) the versions
         that two kept branches come from, which a later merge needs."""
         versions = self.versions().select("version", "branch", "committed_at", "parents")
         heads = versions.groupBy("branch").agg(F.max("version").alias("version")).select("version")
         young = versions.where(F.col("committed_at") >= F.lit(now).cast("timestamp_ntz") - F.make_dt_interval(F.lit(retention_days))).select("version")
         numbers = sorted(r[0] for r in heads.collect())
-        joints = {self.common_version(a, b) for a in numbers for b in numbers if a < b}
-        pinned = self.spark.createDataFrame([(int(n),) for n in {*(tags or []), *joints}], "version long")
+        parted = {self.common_version(a, b) for a in numbers for b in numbers if a < b} if joints else set()
+        pinned = self.spark.createDataFrame([(int(n),) for n in {*(tags or []), *parted}], "version long")
         return heads.unionByName(young).unionByName(pinned).unionByName(self.tags().select(F.col("snapshot_id").alias("version"))).distinct()
 
-    def expire(self, now: str, retention_days: int, tags: list[int] | None = None, dry_run: bool = False) -> DataFrame:
+    def expire(self, now: str, retention_days: int, tags: list[int] | None = None, dry_run: bool = False, joints: bool = True) -> DataFrame:
         """Remove versions past their retention, then the day folders that no kept version points to.
 
         Gives ``(path, length)`` of the files removed.  Pointers go first, so no reader finds a version whose folders are gone.
         """
-        keep = cut_lineage(self.keep(now, retention_days, tags), "kept-versions")
+        keep = cut_lineage(self.keep(now, retention_days, tags, joints), "kept-versions")
         pointers = self.versions()
         needed = (pointers.join(keep, "version", "left_semi").select(F.explode("days.folder").alias("folder")).distinct())
         listed = lay.file_stats(self.spark, self.root)

@@ -262,3 +262,17 @@ def test_maintenance_freezes_tags_and_expires_the_rest(spark):
     assert {r.tag: r.snapshot_id for r in table.tags().collect()} == {"first": 1}
     assert table.read(1).where("status = 'b'").count() == 0 and table.read().where("status = 'b'").count() == 3
     assert table.maintain("t", 1 << 20, 7, [], "2999-01-01 00:00:00").where("step = 'files_removed'").first().value == 0
+
+
+def test_erasure_leaves_no_file_with_the_key(spark):
+    table = table_of(spark, [row(f"k{i}", "a", 1.0, 1 + i % 4) for i in range(40)] + [row(None, "n", 1.0, 1)])
+    table.branch("dev")
+    table.upsert(spark.createDataFrame([row("k1", "b", 2.0, 2)], SCHEMA))
+    table.upsert(spark.createDataFrame([row("k2", "c", 2.0, 3)], SCHEMA), "dev")
+    table.tag([("first", "first")])
+    untouched = table.version().days["2024-01-04"]
+    assert table.erase(spark.createDataFrame([("k1",), ("k2",), ("k2",), ("none",), (None,)], "order_id string")) == 4
+    every = spark.read.option("recursiveFileLookup", "true").parquet(f"{table.root}/data")
+    assert every.where("order_id in ('k1', 'k2')").count() == 0
+    assert table.read().count() == table.read(branch="dev").count() == 39
+    assert table.tags().count() == 0 and table.versions().count() == 2 and table.version().days["2024-01-04"] == untouched
