@@ -8,7 +8,7 @@ the ids of its words in order.
 2. The lexicon is a minimal acyclic transducer in one file.  Spark hands the file to every executor (also to one that replaces a lost
    one), where workers map it.
 3. A batch of texts is cut into words, its different words are looked up together, and unseen ones are merged exactly
-   (``Merger``): in each round every word merges its pair of lowest rank, all places of it from the left.  A merge only makes pairs of
+   (``Merges``): in each round every word merges its pair of lowest rank, all places of it from the left.  A merge only makes pairs of
    higher rank (checked when a vocabulary is loaded), so this is the order of the library.
 
 Defined results: a null text counts as empty; an empty text has no ids and decodes to the empty text; the content of an added token in a
@@ -18,6 +18,7 @@ are rows of their own; an empty table gives no rows.  Only the text column is re
 
 from __future__ import annotations
 
+import functools
 import heapq
 import json
 import os
@@ -42,8 +43,9 @@ from .lexicon import Lexicon, PairTable, build
 LEXICON_WORDS = 1 << 18
 #: Bytes of text handled at once, and counted words held by a counting task.
 BATCH_BYTES = 4 << 20
-HELD_WORDS = 1 << 20
-#: Words of more symbols are merged by a queue.
+HELD_WORDS = 1 << 19
+#: Words merged at once (bounds memory), and the symbols beyond which a word is merged by a queue.
+WORDS_AT_ONCE = 1 << 15
 LONG_WORD = 256
 _NEVER = np.int64(1 << 40)
 
@@ -109,41 +111,51 @@ def _byte_symbols() -> list[str]:
     return [chr(b if b in printable else next(others)) for b in range(256)]
 
 
-class Merger:
-    """Ids of words by the merges of a byte-level BPE vocabulary file."""
+class Merges:
+    """The merges of a byte-level BPE model over many words at once.  ``ending``: what the model writes behind a word's last byte."""
 
-    def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
-        library = Tokenizer.from_file(path)
-        self.split = library.pre_tokenizer.pre_tokenize_str
-        self.added = {t.content: i for i, t in library.get_added_tokens_decoder().items()}
-        vocab, merges = model["vocab"], [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        spelled = _byte_symbols()
+    def __init__(self, vocab: dict[str, int], merges: list, ending: str = ""):
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in merges]
         self.base = max(vocab.values()) + 1
         left, right = (np.array([vocab[m[k]] for m in merges], np.int64) for k in (0, 1))
         self.joined = np.array([vocab[a + b] for a, b in merges], np.int64)
         rank_of = np.full(self.base, -1, np.int64)
         rank_of[self.joined[::-1]] = np.arange(len(merges))[::-1]
         if (np.maximum(rank_of[left], rank_of[right]) >= np.arange(len(merges))).any():
-            raise ValueError(f"{path}: a merge comes before the merges of its parts")
+            raise ValueError("a merge comes before the merges of its parts")
         keys = left * self.base + right
         self.pairs = PairTable.of(keys)
         self.rank_at = np.zeros(len(self.pairs.slots), np.int64)
         self.rank_at[self.pairs.find(keys)] = np.arange(len(merges))
-        self.rank = dict(zip(keys.tolist(), range(len(merges))))
+        spelled = _byte_symbols()
         self.symbol = np.array([vocab[c] for c in spelled], np.int64)
-        byte = {c: b for b, c in enumerate(spelled)}
-        #: What each id stands for; an added token stands for its content.
-        self.bytes_of = [b""] * (max([self.base - 1, *self.added.values()]) + 1)
-        for token, i in vocab.items():
-            self.bytes_of[i] = bytes(byte[c] for c in token)
-        for content, i in self.added.items():
-            self.bytes_of[i] = content.encode()
-        self.decimal = [str(i).encode() for i in range(len(self.bytes_of))]
+        self.last_symbol = np.array([vocab[c + ending] for c in spelled], np.int64)
+
+    def of_words(self, data: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of ``size`` bytes each (none empty) that lie one after another in ``data``, and their numbers of ids."""
+        ends, parts = np.cumsum(size), []
+        for i in range(0, len(size), WORDS_AT_ONCE):
+            j = min(len(size), i + WORDS_AT_ONCE)
+            parts.append(self._some(data[ends[i] - size[i]:ends[j - 1]], size[i:j]))
+        return tuple(np.concatenate([np.zeros(0, np.int64), *(p[k] for p in parts)]) for k in (0, 1))
+
+    def _some(self, data: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        symbols = self.symbol[data]
+        ends = np.cumsum(size)
+        symbols[ends - 1] = self.last_symbol[data[ends - 1]]
+        size = size.astype(np.int64)
+        begin, long = ends - size, np.flatnonzero(size > LONG_WORD)
+        if not len(long):
+            return self._merge(symbols, size)
+        short = np.flatnonzero(size <= LONG_WORD)
+        merged = [np.array(self._merge_long(symbols[begin[k]:begin[k] + size[k]].tolist()), np.int64) for k in long]
+        if len(short):
+            ids, size[short] = self._merge(gather(symbols, begin, size, short), size[short])
+            merged.insert(0, ids)
+        size[long] = [len(m) for m in merged[-len(long):]]
+        order = np.concatenate([short, long])
+        begin[order] = np.cumsum(size[order]) - size[order]
+        return gather(np.concatenate(merged), begin, size, np.arange(len(size))), size
 
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         slot = self.pairs.find(left * self.base + right)
@@ -193,7 +205,12 @@ class Merger:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         run, size, ids = (np.concatenate([d[k] for d in done]) for k in range(3))
         back = np.argsort(run)
-        return _gather(ids, np.cumsum(size) - size, size, back), size[back]
+        return gather(ids, np.cumsum(size) - size, size, back), size[back]
+
+    @functools.cached_property
+    def rank(self) -> dict[int, int]:
+        at = np.flatnonzero(self.pairs.slots >= 0)
+        return dict(zip(self.pairs.slots[at].tolist(), self.rank_at[at].tolist()))
 
     def _merge_long(self, symbols: list[int]) -> list[int]:
         """The same for one run, by a queue of (rank, place): time grows with n log n."""
@@ -217,6 +234,30 @@ class Merger:
                 heapq.heappush(queue, (new, h))
         return [s for s, a in zip(symbols, alive) if a]
 
+
+class Merger:
+    """Ids of words by the merges of a byte-level BPE vocabulary file."""
+
+    def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        library = Tokenizer.from_file(path)
+        self.split = library.pre_tokenizer.pre_tokenize_str
+        self.added = {t.content: i for i, t in library.get_added_tokens_decoder().items()}
+        vocab = model["vocab"]
+        self.merges = Merges(vocab, model["merges"])
+        byte = {c: b for b, c in enumerate(_byte_symbols())}
+        #: What each id stands for; an added token stands for its content.
+        self.bytes_of = [b""] * (max([*vocab.values(), *self.added.values()]) + 1)
+        for token, i in vocab.items():
+            self.bytes_of[i] = bytes(byte[c] for c in token)
+        for content, i in self.added.items():
+            self.bytes_of[i] = content.encode()
+        self.decimal = [str(i).encode() for i in range(len(self.bytes_of))]
+
     def _parts(self, words: list[str]) -> tuple[list[str], list[int]]:
         """The vocabulary's own runs of each word, and how many each word has.
 
@@ -251,23 +292,13 @@ class Merger:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         parts, per_word = self._parts(words)
         coded = pa.array(parts, pa.large_string()).dictionary_encode()
-        symbols = self.symbol[np.frombuffer(coded.dictionary.buffers()[2], np.uint8)]
-        size = pc.binary_length(coded.dictionary).to_numpy().astype(np.int64)
-        begin, long = np.cumsum(size) - size, np.flatnonzero(size > LONG_WORD)
-        short = np.flatnonzero(size <= LONG_WORD)
-        merged = [np.array(self._merge_long(symbols[begin[k]:begin[k] + size[k]].tolist()), np.int64) for k in long]
-        if len(short):
-            ids, size[short] = self._merge(_gather(symbols, begin, size, short), size[short])
-            merged.insert(0, ids)
-        size[long] = [len(m) for m in merged[-len(long):]] if len(long) else []
-        order = np.concatenate([short, long])
-        begin[order] = np.cumsum(size[order]) - size[order]
+        data = np.frombuffer(coded.dictionary.buffers()[2], np.uint8)
+        ids, size = self.merges.of_words(data, pc.binary_length(coded.dictionary).to_numpy())
         index = coded.indices.to_numpy()
-        ends = np.cumsum(size[index])
-        return _gather(np.concatenate(merged), begin, size, index), ends[np.cumsum(per_word) - 1]
+        return gather(ids, np.cumsum(size) - size, size, index), np.cumsum(size[index])[np.cumsum(per_word) - 1]
 
 
-def _gather(values: np.ndarray, begin: np.ndarray, size: np.ndarray, index: np.ndarray) -> np.ndarray:
+def gather(values: np.ndarray, begin: np.ndarray, size: np.ndarray, index: np.ndarray) -> np.ndarray:
     """The slices ``values[begin[k] : begin[k] + size[k]]`` for k in ``index``, one after another."""
     parts = [values[:0]]
     for i in (index[at:at + (1 << 18)] for at in range(0, len(index), 1 << 18)):
@@ -297,13 +328,13 @@ class Encoder:
         if len(known):
             found, inverse = np.unique(place[known], return_inverse=True)
             n = self.lexicon.ends[found + 1] - self.lexicon.ends[found]
-            ids = np.concatenate([fresh_ids, _gather(self.lexicon.ids, self.lexicon.ends, np.diff(self.lexicon.ends), found)])
+            ids = np.concatenate([fresh_ids, gather(self.lexicon.ids, self.lexicon.ends, np.diff(self.lexicon.ends), found)])
             begin[known], size[known] = (len(fresh_ids) + np.cumsum(n) - n)[inverse], n[inverse]
         size[unseen] = np.diff(fresh_ends, prepend=0)
         begin[unseen] = fresh_ends - size[unseen]
         index = coded.indices.to_numpy()
         ends = np.concatenate([[0], np.cumsum(size[index])])[upto]
-        return _gather(ids, begin, size, index), ends
+        return gather(ids, begin, size, index), ends
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         texts = texts.cast(pa.large_string())
@@ -372,7 +403,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
             yield from _narrow(total())
 
     rows = docs.select(text_or_empty().cast("string").alias("text")).mapInArrow(count, "word string, n long")
-    return rows.groupBy("word").agg(F.sum("n").alias("n"))
+    return rows.repartition("word").groupBy("word").agg(F.sum("n").alias("n"))  # added up before the shuffle already
 
 
 def _narrow(rows: pa.Table) -> Iterator[pa.RecordBatch]:

@@ -10,15 +10,18 @@ memo, and the library encodes each missing one once.  A text that holds the cont
 from __future__ import annotations
 
 import gc
+import json
 import os
 import re
 from itertools import chain
-from unicodedata import is_normalized, normalize
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from .bpe import Merges, gather
+
 #: Chunks remembered per worker; beyond it the memo starts anew (memory bound, no effect on the ids).
 MEMO_CHUNKS = 700_000
 #: Bytes of text handled at once.
@@ -29,24 +32,17 @@ _ODD_SPACE = (r"[\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{20
               r"|\A[ \n]|[ \n]\z|[ \n][ \n]")
 #: ASCII punctuation but the apostrophe, which can begin a contraction.
 _TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-#: Letters up to here are told alike by all versions of Unicode.
-LAST_LATIN = "\u024f"
 _LOADED: dict[str, Encoder] = {}
 
 
-def _byte_chars() -> dict[int, int]:
-    """Byte-level vocabularies spell a byte by its Latin-1 character where that is printable, the others by 256, 257 and so on."""
-    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    others = [b for b in range(256) if b not in printable]
-    return {b: 256 + k for k, b in enumerate(others)}
-
-
-_BYTE_CHARS = _byte_chars()
-
-
 def _still_letter(char: str) -> bool:
     """A letter that stays one when normalised and lower-cased (some become a letter and a mark)."""
-    return char.isalpha() and normalize("NFC", char).lower().isalpha()
+    return char.isalpha() and normalize("NFC", char) == char and normalize("NFC", char).lower().isalpha()
+
+
+#: Letters up to U+024F, which all versions of Unicode tell alike, and those of them that are not capitals.
+_LATIN = [c for c in map(chr, range(0x250)) if _still_letter(c)]
+_LETTERS, _LOWER_LETTERS = "".join(_LATIN), "".join(c for c in _LATIN if c.lower() == c)
 
 
 def vocabulary_path(name: str) -> str:
@@ -72,6 +68,9 @@ class Encoder:
         self.added = "|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values())
         if self.added and self.folds_case:  # chunks are lower-cased here, and only the library knows which spelling counts
             self.added = f"(?i){self.added}"
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        self.merges = Merges(model["vocab"], model["merges"], model["end_of_word_suffix"] or "")
         self.tails: dict[str, list[int]] = {}
         self._forget()
 
@@ -91,18 +90,6 @@ class Encoder:
         cut = np.searchsorted(word, np.arange(len(chunks) + 1)).tolist()
         return [ids[i:j] for i, j in zip(cut, cut[1:])]
 
-    def _letters(self, cores: list[str]) -> dict[str, list[int]]:
-        """Ids of those chunks that the vocabulary's preparation leaves as they are, one run of Latin letters: its merges alone."""
-        merge, out = self.tokenizer.model.tokenize, {}
-        space = "\u0120" if self.keeps_space else ""  # how byte-level vocabularies spell a space
-        for core in cores:
-            if core.isascii():
-                if core.isalpha() and (not self.folds_case or core.islower()):
-                    out[core] = [t.id for t in merge(space + core)]
-            elif core.isalpha() and max(core) <= LAST_LATIN and is_normalized("NFC", core) and not (self.folds_case and core.lower() != core):
-                out[core] = [t.id for t in merge(space + core.encode().decode("latin-1").translate(_BYTE_CHARS))]
-        return out
-
     def _tail(self, tail: str) -> list[int]:
         if tail not in self.tails:
             if len(self.tails) > 10_000:
@@ -110,36 +97,66 @@ class Encoder:
             self.tails[tail] = self._whole(tail).tolist()
         return self.tails[tail]
 
-    def _of(self, number: int) -> list[int]:
-        return self.ids[self.ends[number]:self.ends[number + 1]].tolist()
-
-    def _learn(self, missing: list[str]) -> None:
+    def _learn(self, missing: pa.Array) -> None:
         """Remember new chunks.  Punctuation after a letter is merged apart from it, so "word," needs "word" and ","."""
-        core_of, cores = {}, set()
-        for c in missing:
-            if c.isalpha() and (not self.folds_case or c.islower()):
-                cores.add(c)
-                continue
-            core = c.rstrip(_TAIL)
-            if len(core) == len(c) or not core or not _still_letter(core[-1]):
-                core = c
-            core_of[c] = core = core.lower() if self.folds_case and core.isascii() else core
-            cores.add(core)
-        new = self._letters([c for c in cores if c not in self.memo])
-        odd = [c for c in cores if c not in new and c not in self.memo]
-        new.update(zip(odd, self._each([self._plain(c) for c in odd])))
-        for c, core in core_of.items():
-            ids = new[core] if core in new else self._of(self.memo[core])
-            new[c] = ids + self._tail(c[len(core):]) if len(core) < len(c) else ids
-        n, size = len(self.memo), np.cumsum(np.fromiter(map(len, new.values()), np.int32, len(new)))
-        at, total = int(self.ends[n]), int(size[-1])
+        stripped = pc.utf8_rtrim(missing, characters=_TAIL)
+        core = pc.if_else(pc.match_substring_regex(stripped, f"[{_LETTERS}]$"), stripped, missing)
+        if self.folds_case:
+            core = pc.if_else(pc.string_is_ascii(core), pc.ascii_lower(core), core)
+        coded = core.dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        number = np.array([self.memo.get(c, -1) for c in names], np.int64)
+        new = np.flatnonzero(number < 0)
+        number[new] = self._remember([names[k] for k in new], *self._cores(coded.dictionary.take(pa.array(new))))
+        # Chunks that are more than their core: its ids and those of the punctuation.
+        longer = np.flatnonzero(~pc.equal(core, missing).to_numpy(zero_copy_only=False))
+        chunks = missing.take(pa.array(longer)).to_pylist()
+        cut = (pc.binary_length(missing).to_numpy() - pc.binary_length(core).to_numpy())[longer].tolist()
+        tails = pa.array([c[len(c) - n:] for c, n in zip(chunks, cut)], pa.string()).dictionary_encode()
+        tail_ids = [self._tail(t) for t in tails.dictionary.to_pylist()]
+        tail_size = np.array([len(t) for t in tail_ids], np.int64)
+        of_core, of_tail = number[coded.indices.to_numpy()[longer]], tails.indices.to_numpy()
+        core_size = (self.ends[of_core + 1] - self.ends[of_core]).astype(np.int64)
+        cores = gather(self.ids, self.ends[of_core], core_size, np.arange(len(of_core)))
+        ids = np.concatenate([cores, np.fromiter(chain.from_iterable(tail_ids), self.dtype, int(tail_size.sum()))])
+        begin = np.stack([np.cumsum(core_size) - core_size, len(cores) + (np.cumsum(tail_size) - tail_size)[of_tail]], 1).ravel()
+        size = np.stack([core_size, tail_size[of_tail]], 1)
+        self._remember(chunks, gather(ids, begin, size.ravel(), np.arange(size.size)), size.sum(1))
+
+    def _cores(self, cores: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks without punctuation at the end, and their numbers: runs of Latin letters, which the vocabulary's preparation leaves
+        as they are, by its merges alone and all at once, others by the library."""
+        letters = pc.match_substring_regex(cores, f"^[{_LOWER_LETTERS if self.folds_case else _LETTERS}]+$").to_numpy(zero_copy_only=False)
+        plain, odd = np.flatnonzero(letters), np.flatnonzero(~letters)
+        size = np.zeros(len(cores), np.int64)
+        parts = [np.zeros(0, np.int64)]
+        if len(plain):
+            words = cores.take(pa.array(plain))
+            if self.keeps_space:
+                words = pc.binary_join_element_wise(pa.scalar(" ", words.type), words, pa.scalar("", words.type))
+            begin, end = np.frombuffer(words.buffers()[1], np.int64)[[words.offset, words.offset + len(words)]]
+            ids, size[plain] = self.merges.of_words(np.frombuffer(words.buffers()[2], np.uint8)[begin:end], pc.binary_length(words).to_numpy())
+            parts.append(ids)
+        if len(odd):
+            lists = self._each([self._plain(c) for c in cores.take(pa.array(odd)).to_pylist()])
+            size[odd] = [len(x) for x in lists]
+            parts.append(np.fromiter(chain.from_iterable(lists), np.int64))
+        order = np.concatenate([plain, odd])
+        begin = np.zeros(len(cores), np.int64)
+        begin[order] = np.cumsum(size[order]) - size[order]
+        return gather(np.concatenate(parts), begin, size, np.arange(len(cores))), size
+
+    def _remember(self, chunks: list[str], ids: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Number chunks that the memo doesn't have, with their ids one after another."""
+        n, at, total = len(self.memo), int(self.ends[len(self.memo)]), len(ids)
         while at + total > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while n + len(new) + 1 > len(self.ends):
+        while n + len(chunks) + 1 > len(self.ends):
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        self.ids[at:at + total] = np.fromiter(chain.from_iterable(new.values()), self.dtype, total)
-        self.ends[n + 1:n + 1 + len(new)] = at + size
-        self.memo.update(zip(new, range(n, n + len(new))))
+        self.ids[at:at + total] = ids
+        self.ends[n + 1:n + 1 + len(chunks)] = at + np.cumsum(size)
+        self.memo.update(zip(chunks, range(n, n + len(chunks))))
+        return np.arange(n, n + len(chunks))
 
     def _plain(self, chunk: str) -> str:
         """The text that a chunk stands for: with the space before it, unless it begins a line."""
@@ -170,10 +187,9 @@ class Encoder:
         found = list(map(self.memo.get, different))
         unknown = [k for k, n in enumerate(found) if n is None]
         if unknown:
-            missing = [different[k] for k in unknown]
-            self._learn(missing)
-            for k, n in zip(unknown, map(self.memo.__getitem__, missing)):
-                found[k] = n
+            self._learn(chunks.dictionary.take(pa.array(unknown)))
+            for k in unknown:
+                found[k] = self.memo[different[k]]
         number = np.array(found, np.int32)
         begin, size = self.ends[number], self.ends[number + 1] - self.ends[number]
         index = chunks.indices.to_numpy()
