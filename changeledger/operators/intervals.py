@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from .changes import KEY, VALUE_COLUMNS, _after, accumulators
 from ..schemas import DELETE_OP, UPSERT_OPS
+from ..session import cut_lineage
 
 #: Rows of a key and slice that one task walks, about.
 SLICE_ROWS = 100_000
@@ -78,6 +79,7 @@ def as_of_join(facts: DataFrame, intervals: DataFrame, fact_key: str, fact_at: s
     """
     cols = [c for c in intervals.columns if c not in (key, "valid_from", "valid_to")]
     row = F.struct(*cols)
+    intervals = cut_lineage(intervals, "intervals")  # a computed input is computed once
     starts = intervals.select(F.col(key).alias("_k"), F.col("valid_from").alias("_at"), F.struct(F.lit(True).alias("alive"), row.alias("row")).alias("_state"))
     ends = intervals.where("valid_to is not null").select(F.col(key).alias("_k"), F.col("valid_to").alias("_at"),
                                                          F.struct(F.lit(False).alias("alive"), F.lit(None).cast(intervals.select(row).schema[0].dataType).alias("row")).alias("_state"))
@@ -86,6 +88,7 @@ def as_of_join(facts: DataFrame, intervals: DataFrame, fact_key: str, fact_at: s
     asked = facts.where(F.col(fact_key).isNotNull() & F.col(fact_at).isNotNull()).select(
         F.col(fact_key).alias("_k"), F.col(fact_at).alias("_at"), F.struct(*facts.columns).alias("_fact"))
     both = borders.withColumn("_fact", F.lit(None).cast(asked.schema["_fact"].dataType)).unionByName(asked.withColumn("_state", F.lit(None).cast(borders.schema["_state"].dataType)))
+    both = cut_lineage(both, "as-of-rows")  # read for the slices, their last states and the walk
     both = both.withColumn("_slice", slice_of(both, "_at", "_k", slice_rows))
     last = both.groupBy("_k", "_slice").agg(F.max_by("_state", F.when(F.col("_state").isNotNull(), F.col("_at"))).alias("_state"))
     before = Window.partitionBy("_k").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
