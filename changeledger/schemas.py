@@ -46,8 +46,8 @@ TOPIC_INFIX = "cdc"
 DLQ_SUFFIX = "dlq"
 # Six-digit fractional seconds so JSON round trips keep microseconds.
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-# -----------------------------------------------------------------------------
 
+# Fields of a document and of the envelope around it.
 FULL_DOCUMENT = T.StructType([
     T.StructField("_id", T.StringType()),
     T.StructField("order_id", T.StringType()),
@@ -64,6 +64,7 @@ ENVELOPE = T.StructType([
     T.StructField("documentKey", T.StructType([T.StructField("_id", T.StringType())])),
     T.StructField("clusterTime", T.StringType()),
 ])
+# ---- end of fixed values ----------------------------------------------------
 
 # Flat change row (one per event) after projection; `seq` orders events.
 CHANGE_ROW = T.StructType([

@@ -62,8 +62,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        master = sc.master if sc is not None else "local"
-        if not master.startswith("local"):
+        if sc is None or not sc.master.startswith("local"):  # a Connect session's own folders are not the cluster's
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = _LOCAL_FALLBACK.setdefault(id(spark), tempfile.mkdtemp(prefix="changeledger-ckpt-"))
     if sc is None:
@@ -115,13 +114,3 @@ def listing_parallelism(spark: SparkSession, tasks: int | None = None):
             spark.conf.unset(key)
         else:
             spark.conf.set(key, old)
-
-
-def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 * 1024 ** 2,
-                           minimum: int = 200) -> int:
-    """Initial shuffle partition count so each reduce task handles ~``target_bytes``.
-
-    Set it generously for the largest stage (e.g. ~400,000 for 100 TB at 256 MB);
-    AQE then coalesces small stages at run time.
-    """
-    return max(minimum, -(-int(input_bytes) // target_bytes))

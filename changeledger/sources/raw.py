@@ -117,14 +117,3 @@ def seed_orders(customers: DataFrame) -> DataFrame:
         (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
          + F.make_dt_interval(F.lit(0), F.lit(0), (k % 1440).cast("int"))).alias("event_ts"),
     )
-
-
-def list_files(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
-    """Data files below ``root`` with size and modification time.
-
-    Uses the ``binaryFile`` source with only metadata columns selected, so file
-    contents are never read.
-    """
-    df = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-          .option("recursiveFileLookup", "true").load(root))
-    return df.select("path", "modificationTime", "length")

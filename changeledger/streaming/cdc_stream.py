@@ -10,6 +10,7 @@ is the replay of the committed log (``sources.ledger``).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -127,13 +128,22 @@ def write_counted(projected: DataFrame, root: str, batch_id: int) -> dict[str, i
 
 
 def write_commit(spark: SparkSession, root: str, batch_id: int, added: int, id_deletes: int | None = None, run: dict | None = None) -> None:
-    """The batch's commit, with the record of the run that made it (``run_record``)."""
+    """The batch's commit, with the record of the run that made it (``run_record``).
+
+    A replayed batch keeps the time of its first commit, so versions "as of" a time don't move.  Times are UTC.
+    """
+    try:
+        before = spark.read.schema("committed_at timestamp_ntz").parquet(f"{root}/commits/batch_id={batch_id}").first()
+    except AnalysisException:
+        before = None
+    first = before[0] if before else None
+    now = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()).cast("timestamp_ntz")
     run = run or {}
     origin = [F.lit(run.get(c)).cast("string").alias(c) for c in ("job", "run_id")]
     files = F.array(*[F.lit(f) for f in sorted(run.get("sources") or [])]).cast("array<string>")
     commit = spark.range(1).select(*origin, files.alias("sources"), *[F.lit(run.get(c)).cast("long").alias(c) for c in ("records", "first_offset", "last_offset")],
         F.lit(batch_id).cast("long").alias("snapshot_id"),
-        F.localtimestamp().alias("committed_at"),
+        (now if first is None else F.lit(first).cast("timestamp_ntz")).alias("committed_at"),
         F.lit("append").alias("operation"),
         F.lit(added).cast("long").alias("added_rows"),
         F.lit(id_deletes).cast("long").alias("id_deletes"))

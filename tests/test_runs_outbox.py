@@ -41,3 +41,13 @@ def test_a_repeated_run_publishes_once(spark, rows):
     cs.publish_once(frame(rows), outbox, "r2")
     back = spark.read.schema("key string, event_id string, run string, topic string").json(outbox)
     assert back.where("run = 'r1'").count() == 1 and back.count() == 1 + len(rows) and back.select("event_id").distinct().count() == back.count()
+
+
+def test_a_replayed_batch_keeps_its_commit_time(spark):
+    root = work_path(spark, "ledger")
+    rows = cs.project_records(spark.createDataFrame([("k", VALUE % ("k", "k"), "t", 0, 1)], cs.RECORD_SCHEMA))
+    times = []
+    for _ in range(2):
+        cs.write_commit(spark, root, 0, cs.write_batch(rows, root, 0))
+        times.append(ledger.commits(spark, root).first().committed_at)
+    assert times[0] == times[1] and ledger.state(spark, root).count() == 1
