@@ -7,6 +7,7 @@ import pytest
 import xxhash
 
 from changeledger.llm import queries as Q
+from changeledger.llm import components as hooking
 from changeledger.llm import simhash
 from changeledger.llm.components import components
 
@@ -107,3 +108,22 @@ def test_one_row_of_each_component_stays(spark, edge_dir):
     label = brute_components({brute_fingerprint(t) for _, t in rows}, 4)
     assert rest.columns == docs.columns
     assert sorted(label[brute_fingerprint(r.text)] for r in rest.collect()) == sorted(set(label.values()))
+
+
+@pytest.mark.parametrize("shape", ["rising", "falling", "shuffled", "star", "grid"])
+def test_components_in_few_rounds(spark, monkeypatch, shape):
+    """A chain of 1000 nodes, however its labels lie, takes a handful of rounds."""
+    n = 1000
+    order = {"rising": list(range(n)), "falling": list(range(n))[::-1], "shuffled": random.Random(1).sample(range(n), n)}.get(shape)
+    links = list(zip(order, order[1:])) if order else [(0, i) for i in range(1, n)] if shape == "star" else \
+        [(i, i + 1) for i in range(n - 1) if i % 40 != 39] + [(i, i + 40) for i in range(n - 40)]
+    rounds, stored = [], hooking.stored
+
+    def counted(df, name, *args):
+        rounds.append(name)
+        return stored(df, name, *args)
+
+    monkeypatch.setattr(hooking, "stored", counted)
+    got = components(spark.createDataFrame(links, "a long, b long"), "chain").collect()
+    assert {r.node for r in got} == set(range(n)) and {r.label for r in got} == {0}
+    assert rounds.count("chain-links") - 1 <= 8 and rounds.count("chain-hook") <= 30
