@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.cdc import cdc_project, event_order, parse_envelope, parse_full_documents
-from ..operators.changes import keyed_by_id
+from ..operators.changes import KEY, keyed_by_id
 from ..schemas import TS_FORMAT
 
 SOURCE = "_source_path"
@@ -120,8 +120,9 @@ def write_counted(projected: DataFrame, root: str, batch_id: int) -> dict[str, i
         "_payload", F.when(F.col("_reason").isNotNull(), F.col("_payload")))
     obs = Observation(f"ledger_batch_{batch_id}")
     ok = F.col("_lane") == "ok"
+    by_id = keyed_by_id() if {"op", KEY, "source_id"} <= set(projected.columns) else F.lit(False)
     out = out.observe(obs, F.sum(F.when(ok, 1).otherwise(0)).alias("ok"),
-                      F.sum(F.when(ok & keyed_by_id(), 1).otherwise(0)).alias("id_deletes"))
+                      F.sum(F.when(ok & by_id, 1).otherwise(0)).alias("id_deletes"))
     # static: a replayed batch replaces both lanes, also one that no longer occurs
     out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("_lane").parquet(f"{root}/log/batch_id={batch_id}")
     return {k: int(obs.get.get(k) or 0) for k in ("ok", "id_deletes")}
