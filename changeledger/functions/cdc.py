@@ -63,20 +63,28 @@ def read_json(text: Column, schema: T.StructType) -> Column:
     return F.from_json(text, T.StructType(fields), {"columnNameOfCorruptRecord": CORRUPT})
 
 
+def parsed_once(df: DataFrame, keep: list[str], value: str, schema: T.StructType) -> DataFrame:
+    """``keep``, ``_payload`` and the parsed struct as ``_env``.
+
+    A filter on a field moves below a plain projection and takes along a copy of the parser, and of the expression that
+    made the text, for each place that names a field.  It can't move below a generator, so each text is made and parsed once.
+    """
+    text = df.select(*keep, F.col(value).cast("string").alias("_payload"))
+    return text.select(*keep, "_payload", F.explode_outer(F.array(read_json(F.col("_payload"), schema))).alias(PARSED))
+
+
 def parse_envelope(df: DataFrame, value: str = "value", schema=ENVELOPE) -> DataFrame:
     """Payload bytes/text → envelope struct columns and ``_corrupt_record``."""
     keep = [c for c in df.columns if c != value]
-    parsed = df.select(*keep, F.col(value).cast("string").alias("_payload"),
-                       read_json(F.col(value).cast("string"), schema).alias(PARSED))
-    return parsed.select(*keep, "_payload", f"{PARSED}.*")
+    return parsed_once(df, keep, value, schema).select(*keep, "_payload", f"{PARSED}.*")
 
 
 def parse_full_documents(df: DataFrame, value: str = "value") -> DataFrame:
     """Source that only publishes full documents (O06): each becomes an ``update``."""
     keep = [c for c in df.columns if c != value]
-    doc = read_json(F.col(value).cast("string"), FULL_DOCUMENT)
-    return df.select(
-        *keep, F.col(value).cast("string").alias("_payload"),
+    doc = F.col(PARSED)
+    return parsed_once(df, keep, value, FULL_DOCUMENT).select(
+        *keep, "_payload",
         F.when(doc.isNotNull(), F.lit("update")).alias("operationType"),
         doc.alias("fullDocument"),
         F.struct(doc.getField("_id").alias("_id")).alias("documentKey"),
