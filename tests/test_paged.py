@@ -94,3 +94,29 @@ def test_token_within_a_file(spark, collection):
     assert [(p.file, p.first, p.last) for p in parts][0] == (files[0], 25, 55) and (parts[-1].file, parts[-1].first, parts[-1].last) == (files[1], 0, 5)
     assert sum(p.last - p.first for p in parts) == count - 25 + 5
     assert sum(b.num_rows for p in parts for b in reader.read(p)) == count - 25 + 5
+
+
+def test_tasks_do_not_decode_a_large_row_group_again_and_again(spark, monkeypatch):
+    """Few ranges share a row group, a file gives a bounded number of tasks, and a range stops reading at its end."""
+    path = work_path(spark, "one-group")
+    spark.range(6000).coalesce(1).write.parquet(path)
+    c = paged.Collection({"path": path, "pageSize": "10", "pagesPerTask": "2"})
+    parts = c.ranges(c.files()[0], 0)
+    assert len(parts) <= paged.GROUP_TASKS and all(p.first % 10 == 0 for p in parts)
+    assert sorted(i for p in parts for b in c.read(p) for i in b.column("document_no").to_pylist()) == list(range(6000))
+    decoded = []
+
+    class Counted(paged.pq.ParquetFile):
+        def iter_batches(self, *args, **kwargs):
+            for batch in super().iter_batches(*args, **kwargs):
+                decoded.append(batch.num_rows)
+                yield batch
+
+    monkeypatch.setattr(paged.pq, "ParquetFile", Counted)
+    list(c.read(parts[0]))
+    assert sum(decoded) <= parts[0].last + c.page
+    small = work_path(spark, "many-groups")
+    spark.range(3000).coalesce(1).write.option("parquet.block.size", 64).option("parquet.page.size.row.check.min", 1).parquet(small)
+    monkeypatch.setattr(paged, "FILE_TASKS", 7)
+    c = paged.Collection({"path": small, "pageSize": "1", "pagesPerTask": "1"})
+    assert len(c.ranges(c.files()[0], 0)) <= 7
