@@ -60,3 +60,21 @@ def test_dead_letters(spark):
         q = ks.start_dead_letter_stream(cs.file_source(spark, src), root, f"{root}/ckpt")
         q.awaitTermination()
     assert sorted(r.reason for r in spark.read.parquet(f"{root}/dead_letters").collect()) == ["malformed", "null_key"]
+
+
+@pytest.mark.parametrize("order", ["offset", "cluster"])
+def test_events_are_folded_before_the_shuffle(spark, order):
+    # the state takes a row of each key from each task, not a row of each event, and no row goes through Python
+    rows = [(f"k{i % 3}", json.dumps({"operationType": "update", "fullDocument": {"order_id": f"k{i % 3}", "amount": float(i)},
+                                      "clusterTime": "2024-01-01T00:00:00"}), "t", 0, i) for i in range(3000)]
+    src, root, ckpt = (work_path(spark, n) for n in ("in", "state", "ckpt"))
+    spark.createDataFrame(rows, cs.RECORD_SCHEMA).repartition(2).write.json(src)
+    q = ks.start_state_stream(cs.file_source(spark, src), root, ckpt, order=order)
+    q.awaitTermination()
+    assert q.exception() is None
+    plan = q._jsq.explainInternal(False)
+    below = plan[plan.index("Exchange hashpartitioning(order_id"):]
+    assert "partial_max_by" in below
+    assert "Python" not in plan and "PySpark" not in plan
+    assert {(r.order_id, r.amount) for r in ks.current_rows(spark, root).collect()} == {("k0", 2997.0), ("k1", 2998.0), ("k2", 2999.0)}
+    assert {r[0] for r in spark.read.parquet(f"{root}/rows").select("_events").collect()} == {1000}
